@@ -128,7 +128,7 @@ def sample_splits(df: DataFrame, spec: list[Key], n: int, parts: int, cfg: Range
 
 
 def with_range(df: DataFrame, spec: Sequence[Key | str], cfg: RangeConfig = RangeConfig(),
-               n: int | None = None) -> tuple[DataFrame, int, int]:
+               n: int | None = None, sample_from: DataFrame | None = None) -> tuple[DataFrame, int, int]:
     """Add ``_part``: index of the contiguous range of the sort order holding the row.
 
     Returns the frame, the number of ranges and the row count.
@@ -136,7 +136,8 @@ def with_range(df: DataFrame, spec: Sequence[Key | str], cfg: RangeConfig = Rang
     spec = keys_of(spec)
     n = df.count() if n is None else n
     parts = cfg.parts_for(n)
-    splits = sample_splits(df, spec, n, parts, cfg) if parts > 1 else []
+    src = df if sample_from is None else sample_from
+    splits = sample_splits(src, spec, n, parts, cfg) if parts > 1 else []
     part = _range_index(spec, splits, 0, len(splits)) if splits else F.lit(0)
     return df.withColumn(PART, part.cast(T.IntegerType())), len(splits) + 1, n
 
@@ -146,13 +147,16 @@ def _order(spec: list[Key]) -> list[Column]:
 
 
 def global_ntile(df: DataFrame, spec: Sequence[Key | str], k: int, out: str,
-                 cfg: RangeConfig = RangeConfig()) -> DataFrame:
+                 cfg: RangeConfig = RangeConfig(), n: int | None = None,
+                 sample_from: DataFrame | None = None) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY spec)`` without a single-partition window.
 
     Exact when ``spec`` is a total order (end it with a unique column).
+    ``n`` (row count) and ``sample_from`` (a materialized frame with the same
+    rows and key columns) spare recomputing ``df`` for the count and sample.
     """
     spec = keys_of(spec)
-    parted, parts, n = with_range(df, spec, cfg)
+    parted, parts, n = with_range(df, spec, cfg, n=n, sample_from=sample_from)
     if n == 0:
         return df.withColumn(out, F.lit(None).cast(T.LongType()))
     ranked = parted.withColumn("_rn", F.row_number().over(Window.partitionBy(PART).orderBy(*_order(spec))))

@@ -25,6 +25,11 @@ def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    from ..operators.materialize import materialize
+    return materialize(df)
+
+
 # --- order level -----------------------------------------------------------
 
 def order_summary(sales: DataFrame) -> DataFrame:
@@ -104,10 +109,12 @@ def rfm_scores(base: DataFrame, cfg: RangeConfig = RangeConfig()) -> DataFrame:
     Ties are broken by ``user_id`` so scores do not depend on input order.
     """
     uid = Key("user_id")
-    scored = global_ntile(base, [Key("recency", ascending=False), uid], TILES, "r_score", cfg)
-    scored = global_ntile(scored, [Key("frequency"), uid], TILES, "f_score", cfg)
-    scored = global_ntile(scored, [Key("monetary_value"), uid], TILES, "m_score", cfg)
-    return global_ntile(scored, [Key("current_clv"), uid], TILES, "clv_score", cfg)
+    n = base.count()
+    scored = base
+    for out, key in (("r_score", Key("recency", ascending=False)), ("f_score", Key("frequency")),
+                     ("m_score", Key("monetary_value")), ("clv_score", Key("current_clv"))):
+        scored = global_ntile(scored, [key, uid], TILES, out, cfg, n=n, sample_from=base)
+    return scored
 
 
 def label_customers(scored: DataFrame) -> DataFrame:
@@ -131,8 +138,9 @@ def customer_intelligence(sales: DataFrame, as_of: _dt.date | None = None, *,
                           timeline: DataFrame | None = None, cfg: RangeConfig = RangeConfig()) -> DataFrame:
     """RFM scores, CLV tier, churn flag and segment per registered customer."""
     as_of = reference_date(sales) if as_of is None else as_of
-    timeline = order_timeline(order_summary(sales), cfg) if timeline is None else timeline
-    base = persist(customer_base(timeline, as_of))
+    if timeline is None:
+        timeline = order_timeline(checkpointed(order_summary(sales)), cfg)
+    base = checkpointed(customer_base(timeline, as_of))
     return label_customers(rfm_scores(base, cfg)).select(*CUSTOMER_COLUMNS)
 
 
@@ -223,7 +231,7 @@ def _discount_rollup(sales: DataFrame) -> DataFrame:
 
 def gold(sales: DataFrame, as_of: _dt.date | None = None, cfg: RangeConfig = RangeConfig()) -> dict[str, DataFrame]:
     """The five Gold tables from Silver ``sales_fact``; the order timeline is computed once."""
-    summary = persist(order_summary(sales))
+    summary = checkpointed(order_summary(sales))
     timeline = persist(order_timeline(summary, cfg))
     return {
         "customer_intelligence": customer_intelligence(sales, as_of, timeline=timeline, cfg=cfg),

@@ -68,7 +68,7 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "customer_intelligence":
         return M.customer_intelligence(s)
     if name == "customer_rolling_metrics":
-        return M.customer_rolling_metrics(M.order_timeline(M.order_summary(s)))
+        return M.customer_rolling_metrics(M.order_timeline(M.checkpointed(M.order_summary(s))))
     if name == "location_sales_trends":
         return M.location_sales_trends(s)
     if name == "loyalty_roi_analysis":
@@ -156,7 +156,7 @@ def q_order_summary_exact(spark, sf_dir):
     "SELECT user_id, order_id, order_date, " + dbl("order_revenue") + ", is_loyalty, prev_order_date, "
     + dbl("prev_order_revenue") + ", " + big("days_since_prev_order") + ", spend_change_pct FROM order_metrics"))
 def q_order_metrics(spark, sf_dir):
-    return comparable(M.order_metrics(M.order_timeline(M.order_summary(sales(spark, sf_dir)))))
+    return comparable(M.order_metrics(M.order_timeline(M.checkpointed(M.order_summary(sales(spark, sf_dir))))))
 
 
 @register("customer_base", with_ctes(
@@ -165,7 +165,7 @@ def q_order_metrics(spark, sf_dir):
     + big("recency") + " FROM customer_base"))
 def q_customer_base(spark, sf_dir):
     s = sales(spark, sf_dir)
-    base = M.customer_base(M.order_timeline(M.order_summary(s)), M.reference_date(s))
+    base = M.customer_base(M.order_timeline(M.checkpointed(M.order_summary(s))), M.reference_date(s))
     return comparable(base, round6=("avg_spend_change_pct",))
 
 

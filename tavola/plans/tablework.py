@@ -1 +1,168 @@
-"""placeholder"""
+"""Table work around the pipeline: change feeds, validation, quality, calendar, SQL access."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import schemas
+from ..functions.dates import parse_date_key
+from ..operators.cdc import apply_changes
+from ..operators.quality import dq_report, validate_table
+from ..session import ensure_checkpoint_dir
+from ..sources import star
+from ..streaming import ingest
+from . import clean as C
+from .registry import big, bronze, comparable, dbl, gold, register, sales, silver, with_ctes
+
+
+def sales_by_calendar(sales_df: DataFrame, dates: DataFrame) -> DataFrame:
+    """Revenue, orders and lines by weekday, weekend and holiday flags.
+
+    The calendar has one row per day — bounded by the date range, not by
+    sales volume — so it is broadcast.
+    """
+    cal = dates.select(F.col("date_key").alias("_d"), "day_of_week", "is_weekend", "is_holiday")
+    joined = sales_df.join(F.broadcast(cal), sales_df["order_date"] == cal["_d"], "left")
+    return (joined.groupBy("day_of_week", "is_weekend", "is_holiday")
+            .agg(F.sum("total_line_item_revenue").alias("revenue"),
+                 F.count_distinct("order_id").alias("orders"), F.count(F.lit(1)).alias("lines")))
+
+
+def change_base(items: DataFrame) -> DataFrame:
+    """The full load as version 0 of a change feed (``seq`` 0, op ``I``)."""
+    return items.select("order_id", "lineitem_id", "item_name", "item_price", "item_quantity",
+                        F.col("creation_time_utc").alias("commit_ts"), F.lit(0).alias("seq"),
+                        F.lit("I").alias("op"), F.lit(None).cast("bigint").alias("l_partkey"),
+                        F.lit(None).cast("bigint").alias("l_suppkey"),
+                        F.lit(None).cast("double").alias("l_extendedprice"))
+
+
+CDC_OUT = ("order_id", "lineitem_id", "item_name", "item_price", "item_quantity", "commit_ts", "op")
+
+CDC_SQL = """cdc_all AS (
+  SELECT order_id, lineitem_id, item_name, item_price, item_quantity, creation_time_utc AS commit_ts, 0 AS seq,
+         'I' AS op, CAST(NULL AS BIGINT) AS l_partkey, CAST(NULL AS BIGINT) AS l_suppkey,
+         CAST(NULL AS DOUBLE) AS l_extendedprice FROM c_items
+  UNION ALL
+  SELECT CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), p_name,
+         CAST(CASE WHEN p_name LIKE 'small%' OR l_discount = 0 THEN 0 ELSE p_retailprice END AS DECIMAL(12,2)),
+         CAST(l_quantity AS INT), CAST(l_shipdate AS TIMESTAMP), 1,
+         CASE WHEN l_returnflag = 'R' THEN 'D' ELSE 'U' END, l_partkey, l_suppkey, l_extendedprice
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+cdc AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id, lineitem_id ORDER BY commit_ts DESC NULLS LAST,
+         seq DESC, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, l_extendedprice DESC NULLS LAST) AS rn
+         FROM cdc_all) WHERE rn = 1 AND op <> 'D'
+)"""
+
+CDC_SELECT = with_ctes("SELECT order_id, lineitem_id, item_name, " + dbl("item_price") + ", "
+                       + big("item_quantity") + ", commit_ts, op FROM cdc", CDC_SQL)
+
+
+def _clean_items(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    return C.clean_order_items(b.order_items, b.dedup_order, b.drop_after_dedup)
+
+
+@register("cdc_apply", CDC_SELECT)
+def q_cdc_apply(spark, sf_dir):
+    base = change_base(_clean_items(spark, sf_dir))
+    out = apply_changes(base, star.item_changes(spark, sf_dir), schemas.ITEM_KEYS, star.CHANGE_ORDER)
+    return comparable(out.select(*CDC_OUT))
+
+
+@register("cdc_stream_apply", CDC_SELECT)
+def q_cdc_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same change feed landed as files and applied by the incremental stream."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tavola-cdc-{uuid.uuid4().hex}"
+    changes = star.item_changes(spark, sf_dir)
+    changes.repartition(4, "order_id").write.parquet(f"{root}/source")
+    ingest.write_initial_state(change_base(_clean_items(spark, sf_dir)), f"{root}/state")
+    q = ingest.start_ingest(spark, f"{root}/source", changes.schema, f"{root}/state", f"{root}/checkpoint",
+                            schemas.ITEM_KEYS, star.CHANGE_ORDER, available_now=True, max_files_per_trigger=1)
+    q.awaitTermination()
+    return comparable(ingest.current_rows(spark, f"{root}/state").select(*CDC_OUT))
+
+
+@register("ingest_validation", with_ctes(
+    "SELECT 'order_items' AS table_name, CAST(count(*) AS BIGINT) AS row_count,"
+    " CAST(count(*) FILTER (WHERE order_id IS NULL OR lineitem_id IS NULL) AS BIGINT) AS null_key_rows,"
+    " min(CAST(creation_time_utc AS DATE)) AS min_date, max(CAST(creation_time_utc AS DATE)) AS max_date,"
+    " '' AS missing_columns FROM f_items UNION ALL "
+    "SELECT 'order_item_options', count(*), count(*) FILTER (WHERE order_id IS NULL OR lineitem_id IS NULL),"
+    " CAST(NULL AS DATE), CAST(NULL AS DATE), '' FROM f_opts UNION ALL "
+    "SELECT 'date_dim', count(*), count(*) FILTER (WHERE date_key IS NULL),"
+    " min(try_strptime(date_key, '%d-%m-%Y')::DATE), max(try_strptime(date_key, '%d-%m-%Y')::DATE), ''"
+    " FROM raw_dates"))
+def q_ingest_validation(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    items = b.order_items.drop(*b.drop_after_dedup)
+    return (validate_table(items, "order_items", schemas.ITEM_KEYS, F.to_date("creation_time_utc"),
+                           schemas.ORDER_ITEMS)
+            .unionByName(validate_table(b.order_item_options, "order_item_options", schemas.ITEM_KEYS, None,
+                                        schemas.ORDER_ITEM_OPTIONS))
+            .unionByName(validate_table(b.date_dim, "date_dim", ("date_key",), parse_date_key("date_key"),
+                                        schemas.DATE_DIM)))
+
+
+@register("dq_report", with_ctes(
+    "SELECT CASE WHEN order_id IS NULL OR lineitem_id IS NULL THEN 'missing_key'"
+    " WHEN creation_time_utc IS NULL THEN 'missing_timestamp'"
+    " WHEN item_price IS NULL OR item_price < 0 THEN 'bad_price'"
+    " WHEN item_quantity IS NULL OR item_quantity <= 0 THEN 'bad_quantity' ELSE 'valid' END AS outcome,"
+    " CAST(count(*) AS BIGINT) AS rows FROM f_items GROUP BY 1"))
+def q_dq_report(spark, sf_dir):
+    return dq_report(bronze(spark, sf_dir).order_items)
+
+
+@register("sales_by_calendar", with_ctes(
+    "SELECT day_of_week, is_weekend, is_holiday, CAST(sum(total_line_item_revenue) AS DOUBLE) AS revenue,"
+    " CAST(count(DISTINCT order_id) AS BIGINT) AS orders, CAST(count(*) AS BIGINT) AS lines"
+    " FROM sales LEFT JOIN dates ON sales.order_date = dates.date_key GROUP BY ALL"))
+def q_sales_by_calendar(spark, sf_dir):
+    s, d = silver(spark, sf_dir)
+    return comparable(sales_by_calendar(s, d))
+
+
+@register("sql_location_trends", with_ctes(
+    "SELECT restaurant_id, CAST(sum(daily_revenue) AS DOUBLE) AS revenue, "
+    "CAST(sum(daily_order_count) AS BIGINT) AS order_count FROM trends GROUP BY restaurant_id"))
+def q_sql_location_trends(spark, sf_dir):
+    """A Gold table reached through SQL on a temp view."""
+    gold(spark, sf_dir, "location_sales_trends").createOrReplaceTempView("location_sales_trends")
+    return spark.sql("SELECT restaurant_id, CAST(sum(daily_revenue) AS DOUBLE) AS revenue, "
+                     "CAST(sum(daily_order_count) AS BIGINT) AS order_count "
+                     "FROM location_sales_trends GROUP BY restaurant_id")
+
+
+PREVIEW_ORDER = ("order_id", "lineitem_id", "option_name", "option_price", "option_quantity")
+
+
+@register("preview_sales", with_ctes(
+    "SELECT order_id, lineitem_id, item_name, option_name, " + dbl("option_price") + ", " + big("option_quantity")
+    + ", " + dbl("total_line_item_revenue") + " FROM sales ORDER BY order_id NULLS FIRST, lineitem_id NULLS FIRST,"
+    " option_name NULLS FIRST, option_price NULLS FIRST, option_quantity NULLS FIRST LIMIT 10"))
+def q_preview_sales(spark, sf_dir):
+    s = sales(spark, sf_dir)
+    return comparable(s.orderBy(*PREVIEW_ORDER).limit(10)
+                      .select("order_id", "lineitem_id", "item_name", "option_name", "option_price",
+                              "option_quantity", "total_line_item_revenue"))
+
+
+RANGE = ("2000-01-01", "2000-03-31")   # fixed value: the date-scoped report's quarter
+
+
+@register("sales_by_date_range", with_ctes(
+    "SELECT order_date, CAST(sum(total_line_item_revenue) AS DOUBLE) AS revenue,"
+    " CAST(count(DISTINCT order_id) AS BIGINT) AS orders FROM sales"
+    f" WHERE order_date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' GROUP BY order_date"))
+def q_sales_by_date_range(spark, sf_dir):
+    s = sales(spark, sf_dir).filter(F.col("order_date").between(F.lit(RANGE[0]).cast("date"),
+                                                                 F.lit(RANGE[1]).cast("date")))
+    return comparable(s.groupBy("order_date").agg(F.sum("total_line_item_revenue").alias("revenue"),
+                                                   F.count_distinct("order_id").alias("orders")))

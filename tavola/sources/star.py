@@ -71,6 +71,28 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change feed on order lines: every line row is an update at its ship date,
+    and a returned line (flag ``R``) is a delete. ``seq`` orders the feed after
+    the full load (``seq`` 0) at equal timestamps."""
+    li = read_table(spark, sf_dir, "lineitem")
+    p = read_table(spark, sf_dir, "part")
+    free = F.col("p_name").startswith(ALWAYS_FREE_PREFIX) | (F.col("l_discount") == 0)
+    return (li.join(p, li.l_partkey == p.p_partkey)
+            .select(F.col("l_orderkey").cast("string").alias("order_id"),
+                    F.col("l_linenumber").cast("string").alias("lineitem_id"),
+                    F.col("p_name").alias("item_name"),
+                    F.when(free, F.lit(0.0)).otherwise(F.col("p_retailprice")).cast(MONEY).alias("item_price"),
+                    F.col("l_quantity").cast("int").alias("item_quantity"),
+                    F.col("l_shipdate").cast(T.TimestampType()).alias("commit_ts"),
+                    F.lit(1).alias("seq"),
+                    F.when(F.col("l_returnflag") == "R", F.lit("D")).otherwise(F.lit("U")).alias("op"),
+                    "l_partkey", "l_suppkey", "l_extendedprice"))
+
+
+CHANGE_ORDER = ("commit_ts", "seq", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     k = F.explode(F.filter(F.array(F.lit(1), F.lit(2)),

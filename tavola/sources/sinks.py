@@ -8,18 +8,24 @@ from pyspark.sql import functions as F
 
 def write_partitioned(df: DataFrame, path: str, column: str = "order_date", mode: str = "overwrite",
                       dynamic: bool = False, max_records_per_file: int | None = None,
-                      legacy_format: bool = False) -> None:
-    """Write partitioned by ``column``, one shuffle so each value is written by one task.
+                      legacy_format: bool = False, tasks: int | None = None) -> None:
+    """Write partitioned by ``column`` after one range shuffle on (column, row hash).
 
-    Without the repartition every task writes a file into every partition it
-    touches (tasks × partitions small files). ``dynamic=True`` replaces only
-    the partitions present in ``df``; ``max_records_per_file`` bounds file
-    size when one partition value is very large.
+    Without a shuffle every task writes a file into every partition value it
+    touches (tasks × values small files). Hash-repartitioning on the column
+    alone would send a hot value (one very large day) to a single task, and
+    AQE may coalesce it into one writer. A range shuffle on the column plus a
+    row hash, with an explicit task count, keeps values contiguous (few files
+    per value), packs small values together and splits a large value over
+    several tasks. ``dynamic=True`` replaces only the partition values present
+    in ``df``; ``max_records_per_file`` bounds file size.
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
     spark.conf.set("spark.sql.parquet.writeLegacyFormat", "true" if legacy_format else "false")
-    writer = df.repartition(F.col(column)).write.mode(mode).partitionBy(column)
+    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.xxhash64(*[F.col(c) for c in df.columns if c != column])
+    writer = df.repartitionByRange(n, F.col(column), spread).write.mode(mode).partitionBy(column)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)

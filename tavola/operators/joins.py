@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def left_join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str], keep_left: bool = True) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` written as inner ∪ anti.
 
     Spark can only split the left side of a skewed LEFT OUTER join; here the
@@ -18,9 +19,20 @@ def left_join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     map-side before their shuffle.
     """
     keys = list(keys)
-    matched = left.join(right, keys, "inner")
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    # Both branches read the same keyed left side. Adaptive execution does not
+    # always reuse the shuffle behind it across the two branches, so it is
+    # persisted (``keep_left``) and computed once; lost blocks are recomputed
+    # from lineage. Rows with a null key can match nothing and pass straight
+    # through (the filter reaches the scan).
+    left_keyed = left.filter(keyed)
+    if keep_left:
+        left_keyed = left_keyed.persist(StorageLevel.MEMORY_AND_DISK)
+    matched = left_keyed.join(right, keys, "inner")
     right_keys = right.select(*keys).distinct()
-    unmatched = left.join(right_keys, keys, "left_anti")
+    unmatched = left_keyed.join(right_keys, keys, "left_anti").unionByName(left.filter(~keyed))
     extra = [f for f in right.schema.fields if f.name not in keys]
     unmatched = unmatched.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
     return matched.select(*left.columns, *[f.name for f in extra]).unionByName(unmatched)

@@ -32,18 +32,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 # --- order level -----------------------------------------------------------
 
-def order_summary(sales: DataFrame) -> DataFrame:
-    """Registered customers' orders: revenue and loyalty flag per (user, order, date).
+def order_rollup(sales: DataFrame) -> DataFrame:
+    """Revenue and loyalty flag per (user, order, date), guests included.
 
     An order spanning two dates gives two rows; the revenue keeps the
     item × option fan-out of ``sales_fact``.
     """
-    return (sales.filter(F.col("user_id") != GUEST)
-            .groupBy(*ORDER_KEYS)
+    return (sales.groupBy(*ORDER_KEYS)
             .agg(F.sum("total_line_item_revenue").alias("order_revenue"),
                  F.max("is_loyalty").alias("is_loyalty")))
 
 
+def registered(rollup: DataFrame) -> DataFrame:
+    return rollup.filter(F.col("user_id") != GUEST)
+
+
+def order_summary(sales: DataFrame) -> DataFrame:
+    """Registered customers' orders (guests filtered before the roll-up)."""
+    return order_rollup(sales.filter(F.col("user_id") != GUEST))
+
+
 def order_summary_exact(sales: DataFrame) -> DataFrame:
     """As ``order_summary`` but each item total counted once per line, not per option."""
     lines = (sales.filter(F.col("user_id") != GUEST)
@@ -80,7 +88,10 @@ def customer_rolling_metrics(timeline: DataFrame) -> DataFrame:
 # --- customer level --------------------------------------------------------
 
 def reference_date(sales: DataFrame) -> _dt.date | None:
-    """Latest order date over all sales, guests included (one value)."""
+    """Latest order date over all sales, guests included (one value).
+
+    Also right on ``order_rollup`` output, which holds every sales date.
+    """
     return sales.agg(F.max("order_date")).first()[0]
 
 
@@ -137,9 +148,13 @@ CUSTOMER_COLUMNS = ("user_id", "last_purchase_date", "current_clv", "frequency",
 def customer_intelligence(sales: DataFrame, as_of: _dt.date | None = None, *,
                           timeline: DataFrame | None = None, cfg: RangeConfig = RangeConfig()) -> DataFrame:
     """RFM scores, CLV tier, churn flag and segment per registered customer."""
-    as_of = reference_date(sales) if as_of is None else as_of
     if timeline is None:
-        timeline = order_timeline(checkpointed(order_summary(sales)), cfg)
+        # One pass over sales serves both the reference date and the timeline.
+        rollup = checkpointed(order_rollup(sales))
+        as_of = reference_date(rollup) if as_of is None else as_of
+        timeline = order_timeline(registered(rollup), cfg)
+    elif as_of is None:
+        as_of = reference_date(sales)
     base = checkpointed(customer_base(timeline, as_of))
     return label_customers(rfm_scores(base, cfg)).select(*CUSTOMER_COLUMNS)
 
@@ -231,7 +246,9 @@ def _discount_rollup(sales: DataFrame) -> DataFrame:
 
 def gold(sales: DataFrame, as_of: _dt.date | None = None, cfg: RangeConfig = RangeConfig()) -> dict[str, DataFrame]:
     """The five Gold tables from Silver ``sales_fact``; the order timeline is computed once."""
-    summary = checkpointed(order_summary(sales))
+    rollup = checkpointed(order_rollup(sales))
+    as_of = reference_date(rollup) if as_of is None else as_of
+    summary = registered(rollup)
     timeline = persist(order_timeline(summary, cfg))
     return {
         "customer_intelligence": customer_intelligence(sales, as_of, timeline=timeline, cfg=cfg),

@@ -69,8 +69,12 @@ def clean_date_dim(date_dim: DataFrame) -> DataFrame:
     return lower_case_columns(date_dim).withColumn("date_key", parse_date_key("date_key"))
 
 
-def clean(bronze) -> tuple[DataFrame, DataFrame]:
-    """Silver ``sales_fact`` and ``date_dim`` from a ``Bronze`` bundle."""
+def clean(bronze, dedup_options: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Silver ``sales_fact`` and ``date_dim`` from a ``Bronze`` bundle.
+
+    ``dedup_options=True`` drops exact duplicate option rows before the join
+    (the source pipeline keeps them, doubling those options' revenue).
+    """
     items = clean_order_items(bronze.order_items, bronze.dedup_order, bronze.drop_after_dedup)
-    options = clean_order_item_options(bronze.order_item_options)
+    options = clean_order_item_options(bronze.order_item_options, dedup=dedup_options)
     return sales_fact(items, options), clean_date_dim(bronze.date_dim)

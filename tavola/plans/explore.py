@@ -157,3 +157,13 @@ def q_option_price_sets(spark, sf_dir):
     " WHERE u.user_id IS NOT DISTINCT FROM i.user_id))"))
 def q_user_membership_counts(spark, sf_dir):
     return user_membership_counts(_raw_items(spark, sf_dir))
+
+
+@register("free_option_names", with_ctes("SELECT DISTINCT option_name FROM f_opts WHERE option_price = 0"))
+def q_free_option_names(spark, sf_dir):
+    return free_option_names(star.order_item_options(spark, sf_dir))
+
+
+@register("paid_option_names", with_ctes("SELECT DISTINCT option_name FROM f_opts WHERE option_price > 0"))
+def q_paid_option_names(spark, sf_dir):
+    return paid_option_names(star.order_item_options(spark, sf_dir))

@@ -126,6 +126,18 @@ def q_silver_sales_fact(spark, sf_dir):
     return comparable(sales(spark, sf_dir))
 
 
+@register("sales_fact_dedup_options", with_ctes(
+    "SELECT order_id, lineitem_id, option_name, CAST(sum(total_line_item_revenue) AS DOUBLE) AS revenue, "
+    "CAST(count(*) AS BIGINT) AS lines FROM (SELECT i.order_id, i.lineitem_id, o.option_name, "
+    "i.item_total + coalesce(o.option_total, 0) AS total_line_item_revenue FROM c_items i LEFT JOIN "
+    "(SELECT *, option_price * option_quantity AS option_total FROM (SELECT DISTINCT * FROM f_opts)) o "
+    "ON i.order_id = o.order_id AND i.lineitem_id = o.lineitem_id) GROUP BY order_id, lineitem_id, option_name"))
+def q_sales_fact_dedup_options(spark, sf_dir):
+    s = C.clean(bronze(spark, sf_dir), dedup_options=True)[0]
+    return comparable(s.groupBy("order_id", "lineitem_id", "option_name").agg(
+        F.sum("total_line_item_revenue").alias("revenue"), F.count(F.lit(1)).alias("lines")))
+
+
 @register("date_dim_parse", with_ctes(
     "SELECT date_key, day_of_week, " + big("week") + ", month, " + big("year")
     + ", is_weekend, is_holiday, holiday_name FROM dates"))

@@ -170,6 +170,53 @@ def global_ntile(df: DataFrame, spec: Sequence[Key | str], k: int, out: str,
             .drop(PART, "_rn", "_off"))
 
 
+def multi_ntile(df: DataFrame, specs: dict[str, Sequence[Key | str]], k: int,
+                cfg: RangeConfig = RangeConfig(), n: int | None = None) -> DataFrame:
+    """Several ``NTILE(k) OVER (ORDER BY spec)`` columns (``out: spec``) in one plan.
+
+    ``df`` should be materialized (it is read for the count, one shared key
+    sample, one count per range of every order, and the final pass). Range
+    offsets are written into the plan as literal arrays, so each output
+    column costs one shuffle (by its range) and one windowed row number.
+    """
+    specs = {out: keys_of(spec) for out, spec in specs.items()}
+    n = df.count() if n is None else n
+    if n == 0:
+        return df.select("*", *[F.lit(None).cast(T.LongType()).alias(out) for out in specs])
+    parts = cfg.parts_for(n)
+    names = sorted({key.name for spec in specs.values() for key in spec})
+    if parts > 1:
+        fraction = min(1.0, cfg.sample_per_part * parts / n)
+        sample = df.select(*names)
+        if fraction < 1.0:
+            sample = sample.sample(withReplacement=False, fraction=fraction, seed=cfg.seed)
+        local = df.sparkSession.createDataFrame(sample.collect(), df.select(*names).schema)  # bounded sample
+    part_cols = {}
+    for out, spec in specs.items():
+        splits = sample_splits(local, spec, n, parts, RangeConfig(
+            rows_per_part=cfg.rows_per_part, min_parts=cfg.min_parts, max_parts=cfg.max_parts,
+            sample_per_part=n, seed=cfg.seed)) if parts > 1 else []
+        part_cols[out] = (_range_index(spec, splits, 0, len(splits)) if splits else F.lit(0)).cast(T.IntegerType())
+    parted = df.select("*", *[c.alias(f"_p_{out}") for out, c in part_cols.items()])
+    # Rows per (order, range): at most len(specs) * parts rows reach the driver.
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("s"), F.col(f"_p_{out}").alias("p"))
+                                for i, out in enumerate(specs)])).alias("sp")
+    counts = parted.select(pairs).groupBy("sp.s", "sp.p").count().collect()
+    result = parted
+    for i, (out, spec) in enumerate(specs.items()):
+        per = {r["p"]: r["count"] for r in counts if r["s"] == i}
+        top = max(per) + 1 if per else 1
+        offsets, acc = [], 0
+        for p in range(top):
+            offsets.append(acc)
+            acc += per.get(p, 0)
+        pcol = F.col(f"_p_{out}")
+        rn = F.row_number().over(Window.partitionBy(pcol).orderBy(*_order(spec)))
+        off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pcol + 1)
+        result = result.withColumn(out, ntile_from_position(off + rn, F.lit(n).cast("long"), k))
+    return result.drop(*[f"_p_{out}" for out in specs])
+
+
 def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
                  lags: dict[str, str] | None = None, running: dict[str, str] | None = None,
                  cfg: RangeConfig = RangeConfig()) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct_change, ratio
-from ..operators.ordering import Key, RangeConfig, global_ntile, grouped_scan
+from ..operators.ordering import Key, RangeConfig, grouped_scan, multi_ntile
 from .clean import GUEST
 
 # Fixed values of the customer model.
@@ -120,12 +120,9 @@ def rfm_scores(base: DataFrame, cfg: RangeConfig = RangeConfig()) -> DataFrame:
     Ties are broken by ``user_id`` so scores do not depend on input order.
     """
     uid = Key("user_id")
-    n = base.count()
-    scored = base
-    for out, key in (("r_score", Key("recency", ascending=False)), ("f_score", Key("frequency")),
-                     ("m_score", Key("monetary_value")), ("clv_score", Key("current_clv"))):
-        scored = global_ntile(scored, [key, uid], TILES, out, cfg, n=n, sample_from=base)
-    return scored
+    return multi_ntile(base, {"r_score": [Key("recency", ascending=False), uid], "f_score": [Key("frequency"), uid],
+                              "m_score": [Key("monetary_value"), uid], "clv_score": [Key("current_clv"), uid]},
+                       TILES, cfg)
 
 
 def label_customers(scored: DataFrame) -> DataFrame:
@@ -202,20 +199,31 @@ def discount_flags(sales: DataFrame) -> DataFrame:
     return flagged.withColumn("is_true_discount", F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
+def _priced_names(sales: DataFrame) -> Column:
+    """Each row's item and option as (kind, name, price) pairs."""
+    return F.explode(F.array(
+        F.struct(F.lit("item").alias("kind"), F.col("item_name").alias("name"), F.col("item_price").alias("price")),
+        F.struct(F.lit("option").alias("kind"), F.col("option_name").alias("name"),
+                 F.col("option_price").alias("price")))).alias("np")
+
+
 def discounted_orders(sales: DataFrame) -> DataFrame:
     """Orders holding at least one true-discount row (one row per order_id).
 
     Same answer as flagging every row and taking the per-order maximum, but
-    only (order, name) pairs with a zero price travel to the name lookups.
+    only (order, kind, name) triples with a zero price travel to the
+    per-name maxima, which come from one aggregation over items and options.
     """
-    items, options = max_price_ever(sales)
-    hits = []
-    for name, price, maxima, mx in (("item_name", "item_price", items, "max_item_price_ever"),
-                                    ("option_name", "option_price", options, "max_option_price_ever")):
-        zero = sales.filter(F.col(price) == 0).select("order_id", F.col(name).alias("_name")).distinct()
-        paid = maxima.filter(F.col(mx) > 0).select(F.col(name).alias("_paid"))
-        hits.append(zero.join(paid, zero["_name"].eqNullSafe(paid["_paid"]), "left_semi").select("order_id"))
-    return hits[0].union(hits[1]).distinct()
+    maxima = (sales.select(_priced_names(sales)).groupBy("np.kind", "np.name")
+              .agg(F.max("np.price").alias("max_price")))
+    paid = maxima.filter(F.col("max_price") > 0).select(F.col("kind").alias("_k"), F.col("name").alias("_n"))
+    zero = (sales.filter((F.col("item_price") == 0) | (F.col("option_price") == 0))
+            .select("order_id", _priced_names(sales))
+            .filter(F.col("np.price") == 0)
+            .select("order_id", F.col("np.kind").alias("kind"), F.col("np.name").alias("name"))
+            .distinct())
+    hit = zero.join(paid, (zero["kind"] == paid["_k"]) & zero["name"].eqNullSafe(paid["_n"]), "left_semi")
+    return hit.select("order_id").distinct()
 
 
 def discount_effectiveness(sales: DataFrame) -> DataFrame:

@@ -75,3 +75,14 @@ def test_running_total_at_last_row_equals_customer_total(spark):
             .collect()}
     totals = {r["user_id"]: r["current_clv"] for r in M.customer_intelligence(sales).collect()}
     assert last == totals
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 23, 1003])
+def test_multi_ntile_matches_builtin(spark, n):
+    from tavola.operators.ordering import multi_ntile
+    df = frame(spark, n, ties=4, nulls=True).withColumn("w", (F.col("v") * 7) % 3)
+    specs = {"a": [Key("v", ascending=False), Key("user_id")], "b": [Key("w"), Key("user_id")]}
+    got = multi_ntile(df, specs, 5, SMALL)
+    want = (df.withColumn("a", F.ntile(5).over(Window.orderBy(F.col("v").desc(), "user_id")))
+            .withColumn("b", F.ntile(5).over(Window.orderBy("w", "user_id"))))
+    assert sorted(got.collect()) == sorted(want.select(got.columns).collect())

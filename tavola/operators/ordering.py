@@ -15,6 +15,9 @@ joined back by broadcast.
 
 from __future__ import annotations
 
+import datetime as _dt
+import decimal as _decimal
+import functools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -103,20 +106,65 @@ def _range_index(spec: list[Key], splits: list[tuple], lo: int, hi: int) -> Colu
         .otherwise(_range_index(spec, splits, mid + 1, hi))
 
 
-def sample_splits(df: DataFrame, spec: list[Key], n: int, parts: int, cfg: RangeConfig) -> list[tuple]:
+_PLAIN = (bool, int, float, str, bytes, _dt.date, _dt.datetime, _decimal.Decimal)
+
+
+def _cmp_values(x, y) -> int:
+    if isinstance(x, float) and math.isnan(x):
+        return 0 if isinstance(y, float) and math.isnan(y) else 1      # NaN sorts last, as in Spark
+    if isinstance(y, float) and math.isnan(y):
+        return -1
+    return (x > y) - (x < y)
+
+
+def sort_like_spark(rows: list[tuple], spec: list[Key]) -> list[tuple] | None:
+    """Sort a bounded sample on the driver with SQL ORDER BY semantics, or
+    ``None`` when a value type is not one whose order matches Spark's."""
+    for r in rows:
+        for v in r:
+            if v is not None and not isinstance(v, _PLAIN):
+                return None
+
+    def cmp(a, b):
+        for key, x, y in zip(spec, a, b):
+            if x is None or y is None:
+                if x is None and y is None:
+                    continue
+                first = -1 if key.nf else 1
+                return first if x is None else -first
+            c = _cmp_values(x, y)
+            if c:
+                return c if key.ascending else -c
+        return 0
+    return sorted(rows, key=functools.cmp_to_key(cmp))
+
+
+def sample_splits(df: DataFrame, spec: list[Key], n: int, parts: int, cfg: RangeConfig,
+                  rows: list[tuple] | None = None) -> list[tuple]:
     """``parts - 1`` split keys at even quantiles of a bounded sample.
 
     The sample holds about ``parts * sample_per_part`` keys whatever the size
-    of ``df``; it is sorted by Spark itself so the splits follow Spark's
-    ordering exactly. Uneven splits only unbalance the ranges; results stay
-    exact.
+    of ``df``. It is ordered exactly as Spark orders (strings by code point
+    = UTF-8 bytes, nulls placed per key, NaN last), on the driver for plain
+    types and by Spark otherwise. Uneven splits only unbalance the ranges;
+    results stay exact.
     """
-    fraction = min(1.0, cfg.sample_per_part * parts / max(n, 1))
     names = [k.name for k in spec]
-    sample = df.select(*names)
-    if fraction < 1.0:
-        sample = sample.sample(withReplacement=False, fraction=fraction, seed=cfg.seed)
-    rows = [tuple(r) for r in sample.orderBy(*[k.sort_expr() for k in spec]).collect()]
+    if rows is None:
+        fraction = min(1.0, cfg.sample_per_part * parts / max(n, 1))
+        sample = df.select(*names)
+        if fraction < 1.0:
+            sample = sample.sample(withReplacement=False, fraction=fraction, seed=cfg.seed)
+        rows = [tuple(r) for r in sample.collect()]
+        ordered = sort_like_spark(rows, spec)
+        if ordered is None:
+            ordered = [tuple(r) for r in sample.orderBy(*[k.sort_expr() for k in spec]).collect()]
+    else:
+        ordered = sort_like_spark(rows, spec)
+        if ordered is None:
+            local = df.sparkSession.createDataFrame(rows, df.select(*names).schema)
+            ordered = [tuple(r) for r in local.orderBy(*[k.sort_expr() for k in spec]).collect()]
+    rows = ordered
     if not rows:
         return []
     splits: list[tuple] = []
@@ -185,17 +233,18 @@ def multi_ntile(df: DataFrame, specs: dict[str, Sequence[Key | str]], k: int,
         return df.select("*", *[F.lit(None).cast(T.LongType()).alias(out) for out in specs])
     parts = cfg.parts_for(n)
     names = sorted({key.name for spec in specs.values() for key in spec})
+    sample_rows: list[tuple] = []
     if parts > 1:
         fraction = min(1.0, cfg.sample_per_part * parts / n)
         sample = df.select(*names)
         if fraction < 1.0:
             sample = sample.sample(withReplacement=False, fraction=fraction, seed=cfg.seed)
-        local = df.sparkSession.createDataFrame(sample.collect(), df.select(*names).schema)  # bounded sample
+        sample_rows = [tuple(r) for r in sample.collect()]   # one bounded sample for every order
     part_cols = {}
     for out, spec in specs.items():
-        splits = sample_splits(local, spec, n, parts, RangeConfig(
-            rows_per_part=cfg.rows_per_part, min_parts=cfg.min_parts, max_parts=cfg.max_parts,
-            sample_per_part=n, seed=cfg.seed)) if parts > 1 else []
+        idx = [names.index(k.name) for k in spec]
+        keyed = [tuple(r[i] for i in idx) for r in sample_rows]
+        splits = sample_splits(df, spec, n, parts, cfg, rows=keyed) if parts > 1 else []
         part_cols[out] = (_range_index(spec, splits, 0, len(splits)) if splits else F.lit(0)).cast(T.IntegerType())
     parted = df.select("*", *[c.alias(f"_p_{out}") for out, c in part_cols.items()])
     # Rows per (order, range): at most len(specs) * parts rows reach the driver.

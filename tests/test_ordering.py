@@ -86,3 +86,24 @@ def test_multi_ntile_matches_builtin(spark, n):
     want = (df.withColumn("a", F.ntile(5).over(Window.orderBy(F.col("v").desc(), "user_id")))
             .withColumn("b", F.ntile(5).over(Window.orderBy("w", "user_id"))))
     assert sorted(got.collect()) == sorted(want.select(got.columns).collect())
+
+
+def test_driver_sort_matches_spark_order(spark):
+    import datetime as dt
+    from tavola.operators.ordering import sort_like_spark
+    rnd = random.Random(3)
+    words = ["", "a", "B", "ä", "z", "Ω", "日本", "aé", "ab"]
+    rows = []
+    for i in range(300):
+        rows.append((rnd.choice(words + [None]),
+                     rnd.choice([None, float("nan"), -0.0, 0.0, 1.5, -2.0, float("inf")]),
+                     None if rnd.random() < 0.1 else Decimal(rnd.randrange(-500, 500)) / 10,
+                     None if rnd.random() < 0.1 else dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randrange(9)),
+                     i))
+    df = spark.createDataFrame(rows, "s string, f double, d decimal(10,1), t date, i int")
+    for spec in ([Key("s"), Key("i")], [Key("f", ascending=False), Key("i")],
+                 [Key("d", nulls_first=False), Key("t", ascending=False, nulls_first=True), Key("i")]):
+        names = [k.name for k in spec]
+        want = [r["i"] for r in df.orderBy(*[k.sort_expr() for k in spec]).collect()]
+        got = [r[-1] for r in sort_like_spark([tuple(r) for r in df.select(*names).collect()], spec)]
+        assert got == want

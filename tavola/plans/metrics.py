@@ -257,7 +257,7 @@ def gold(sales: DataFrame, as_of: _dt.date | None = None, cfg: RangeConfig = Ran
     rollup = checkpointed(order_rollup(sales))
     as_of = reference_date(rollup) if as_of is None else as_of
     summary = registered(rollup)
-    timeline = persist(order_timeline(summary, cfg))
+    timeline = order_timeline(summary, cfg)
     return {
         "customer_intelligence": customer_intelligence(sales, as_of, timeline=timeline, cfg=cfg),
         "customer_rolling_metrics": customer_rolling_metrics(timeline),

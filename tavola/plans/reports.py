@@ -122,6 +122,13 @@ def winback_formatted(intel: DataFrame) -> DataFrame:
 
 # --- 4. sales trends -----------------------------------------------------------
 
+def coerce_trends(trends: DataFrame) -> DataFrame:
+    """Dates as dates and revenue as numbers; unparsable values become null (no zero fill)."""
+    from ..functions.numeric import to_number
+    return trends.withColumn("order_date", F.to_date("order_date")) \
+        .withColumn("daily_revenue", to_number("daily_revenue"))
+
+
 def location_count(trends: DataFrame) -> DataFrame:
     return trends.agg(F.count_distinct("restaurant_id").alias("locations"))
 
@@ -400,6 +407,14 @@ def q_winback_formatted(spark, sf_dir):
     return comparable(winback_formatted(_intel(spark, sf_dir)))
 
 
+@register("trends_coerced", with_ctes(
+    "SELECT CAST(order_date AS DATE) AS order_date, restaurant_id, item_category, "
+    "TRY_CAST(CAST(daily_revenue AS VARCHAR) AS DOUBLE) AS daily_revenue, " + big("daily_order_count")
+    + " FROM trends"))
+def q_trends_coerced(spark, sf_dir):
+    return comparable(coerce_trends(_trends(spark, sf_dir)))
+
+
 @register("location_count", with_ctes(
     "SELECT CAST(count(DISTINCT restaurant_id) AS BIGINT) AS locations FROM trends"))
 def q_location_count(spark, sf_dir):

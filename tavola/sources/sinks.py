@@ -45,12 +45,18 @@ def compact(spark: SparkSession, src: str, dst: str, files: int, partition_by: s
         df.repartition(files).write.mode("overwrite").parquet(dst)
 
 
-def register_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
-    """Expose written tables to SQL as temp views (partition columns discovered)."""
+def register_tables(spark: SparkSession, root: str, names, cache: bool = False) -> dict[str, DataFrame]:
+    """Expose written tables to SQL as temp views (partition columns discovered).
+
+    ``cache=True`` keeps them in executor memory/disk for repeated report
+    queries (Spark has no time-to-live: re-register after a refresh).
+    """
     out = {}
     for name in names:
         df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
         df.createOrReplaceTempView(name)
+        if cache:
+            spark.catalog.cacheTable(name)
         out[name] = df
     return out
 

@@ -129,3 +129,13 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "segment" in df.columns
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 60
+
+
+def test_register_gold_tables_for_sql(spark, tmp_out):
+    from tavola.sources.sinks import register_tables, write_table
+    write_table(spark.createDataFrame([("R1", 2.0), ("R2", 3.0)], "restaurant_id string, v double"),
+                f"{tmp_out}/t_demo")
+    register_tables(spark, tmp_out, ["t_demo"], cache=True)
+    assert spark.sql("SELECT sum(v) AS s FROM t_demo").first()["s"] == 5.0
+    assert spark.catalog.isCached("t_demo")
+    spark.catalog.uncacheTable("t_demo")

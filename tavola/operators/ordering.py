@@ -63,7 +63,7 @@ class RangeConfig:
 
     rows_per_part: int = 2_000_000
     min_parts: int = 8
-    max_parts: int = 1024
+    max_parts: int = 256   # the range lookup stays within one compiled method up to here
     sample_per_part: int = 64
     seed: int = 17
 
@@ -98,6 +98,56 @@ def _sorts_before(spec: list[Key], split: tuple) -> Column:
     return expr
 
 
+_SQL_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+              T.DecimalType, T.StringType, T.DateType)
+
+
+def _sql_literal(value, dtype: T.DataType) -> str:
+    if isinstance(value, float):
+        text = "NaN" if math.isnan(value) else ("Infinity" if value == math.inf else
+                                                 "-Infinity" if value == -math.inf else repr(value))
+    elif isinstance(value, bool):
+        text = "true" if value else "false"
+    else:
+        text = value.isoformat() if isinstance(value, _dt.date) else str(value)
+    return "CAST('" + text.replace("\\", "\\\\").replace("'", "\\'") + "' AS " + dtype.simpleString() + ")"
+
+
+def _range_index_sql(spec: list[Key], splits: list[tuple], types: dict[str, T.DataType]) -> Column | None:
+    """The same binary search as ``_range_index``, rendered as one SQL expression
+    (one call into the JVM instead of thousands); None for unsupported key types."""
+    if not all(isinstance(types[k.name], _SQL_TYPES) for k in spec):
+        return None
+
+    def col(k):
+        return "`" + k.name.replace("`", "``") + "`"
+
+    def before(k, v):
+        a = col(k)
+        if v is None:
+            return "false" if k.nf else f"({a} IS NOT NULL)"
+        lt = f"coalesce({a} {'<' if k.ascending else '>'} {_sql_literal(v, types[k.name])}, false)"
+        return f"({a} IS NULL OR {lt})" if k.nf else lt
+
+    def equal(k, v):
+        a = col(k)
+        return f"({a} IS NULL)" if v is None else f"coalesce({a} = {_sql_literal(v, types[k.name])}, false)"
+
+    def sorts_before(split):
+        e = before(spec[-1], split[-1])
+        for k, v in zip(reversed(spec[:-1]), reversed(split[:-1])):
+            e = f"({before(k, v)} OR ({equal(k, v)} AND {e}))"
+        return e
+
+    def search(lo, hi):
+        if lo >= hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {sorts_before(splits[mid])} THEN {search(lo, mid)} ELSE {search(mid + 1, hi)} END"
+
+    return F.expr(search(0, len(splits)))
+
+
 def _range_index(spec: list[Key], splits: list[tuple], lo: int, hi: int) -> Column:
     """Number of splits ``<=`` the row, by binary search over ``splits[lo:hi]``."""
     if lo >= hi:
@@ -140,6 +190,14 @@ def sort_like_spark(rows: list[tuple], spec: list[Key]) -> list[tuple] | None:
     return sorted(rows, key=functools.cmp_to_key(cmp))
 
 
+def _part_expr(df: DataFrame, spec: list[Key], splits: list[tuple]) -> Column:
+    if not splits:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    sql = _range_index_sql(spec, splits, types)
+    return sql if sql is not None else _range_index(spec, splits, 0, len(splits))
+
+
 def sample_splits(df: DataFrame, spec: list[Key], n: int, parts: int, cfg: RangeConfig,
                   rows: list[tuple] | None = None) -> list[tuple]:
     """``parts - 1`` split keys at even quantiles of a bounded sample.
@@ -187,7 +245,7 @@ def with_range(df: DataFrame, spec: Sequence[Key | str], cfg: RangeConfig = Rang
     parts = cfg.parts_for(n)
     src = df if sample_from is None else sample_from
     splits = sample_splits(src, spec, n, parts, cfg) if parts > 1 else []
-    part = _range_index(spec, splits, 0, len(splits)) if splits else F.lit(0)
+    part = _part_expr(df, spec, splits)
     return df.withColumn(PART, part.cast(T.IntegerType())), len(splits) + 1, n
 
 
@@ -246,7 +304,7 @@ def multi_ntile(df: DataFrame, specs: dict[str, Sequence[Key | str]], k: int,
         idx = [names.index(k.name) for k in spec]
         keyed = [tuple(r[i] for i in idx) for r in sample_rows]
         splits = sample_splits(df, spec, n, parts, cfg, rows=keyed) if parts > 1 else []
-        part_cols[out] = (_range_index(spec, splits, 0, len(splits)) if splits else F.lit(0)).cast(T.IntegerType())
+        part_cols[out] = _part_expr(df, spec, splits).cast(T.IntegerType())
     parted = df.select("*", *[c.alias(f"_p_{out}") for out, c in part_cols.items()])
     # Rows per (order, range): at most len(specs) * parts rows reach the driver.
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("s"), F.col(f"_p_{out}").alias("p"))

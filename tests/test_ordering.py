@@ -107,3 +107,16 @@ def test_driver_sort_matches_spark_order(spark):
         want = [r["i"] for r in df.orderBy(*[k.sort_expr() for k in spec]).collect()]
         got = [r[-1] for r in sort_like_spark([tuple(r) for r in df.select(*names).collect()], spec)]
         assert got == want
+
+
+def test_ntile_with_awkward_key_values(spark):
+    rnd = random.Random(11)
+    texts = ["it's", "a\\b", "", "日本", "z", None, 'q"q']
+    floats = [float("nan"), float("inf"), -float("inf"), -0.0, 0.0, 1e-5, 2.5, None]
+    rows = [(rnd.choice(texts), rnd.choice(floats), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "s string, f double, i int")
+    for spec in ([Key("s"), Key("i")], [Key("f", ascending=False), Key("s", nulls_first=False), Key("i")]):
+        got = global_ntile(df, spec, 5, "b", SMALL)
+        want = df.withColumn("b", F.ntile(5).over(Window.orderBy(*[k.sort_expr() for k in spec])))
+        key = lambda r: (r["i"], r["b"])
+        assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .materialize import keep
+
 
 def left_join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str], keep_left: bool = True) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` written as inner ∪ anti.
@@ -29,7 +30,7 @@ def left_join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str], kee
     # through (the filter reaches the scan).
     left_keyed = left.filter(keyed)
     if keep_left:
-        left_keyed = left_keyed.persist(StorageLevel.MEMORY_AND_DISK)
+        left_keyed = keep(left_keyed)
     matched = left_keyed.join(right, keys, "inner")
     right_keys = right.select(*keys).distinct()
     unmatched = left_keyed.join(right_keys, keys, "left_anti").unionByName(left.filter(~keyed))

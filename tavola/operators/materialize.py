@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
 
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a reused intermediate (memory, spilling to disk); ``release()`` drops it.
+
+    Lost blocks are recomputed from lineage, so this never affects results.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(kept)
+    return kept
+
+
+def release() -> None:
+    """Unpersist every intermediate kept by the library so far (after a job's writes)."""
+    while _KEPT:
+        _KEPT.pop().unpersist(blocking=False)
+
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to ``spark.checkpoint.dir`` and read it from there.
@@ -14,7 +33,6 @@ def materialize(df: DataFrame) -> DataFrame:
     samples, boundary facts, final pass): it is computed once, and a lost
     executor does not send the recomputation back to the source tables.
     """
-    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
     # Persist first so writing the checkpoint does not compute the plan twice.
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)

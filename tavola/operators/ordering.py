@@ -22,12 +22,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.buckets import ntile_from_position
+from .materialize import keep
 
 PART = "_part"
 
@@ -353,7 +353,7 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
 
     # The windows feed both the boundary facts and the output: keep them once
     # (lost blocks are recomputed from the same literal ranges).
-    scanned = scanned.persist(StorageLevel.MEMORY_AND_DISK)
+    scanned = keep(scanned)
     # Facts at each range's ends: its first group, its last row and the
     # running totals of the last group there.
     last_fields = [group] + list(lags.values()) + list(running.keys())

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +21,8 @@ TIMELINE = (Key("order_date"), Key("order_id"))   # per-customer order; order_id
 
 def persist(df: DataFrame) -> DataFrame:
     """Keep a reused intermediate; lost blocks are recomputed from lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    from ..operators.materialize import keep
+    return keep(df)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

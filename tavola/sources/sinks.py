@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,19 +23,31 @@ def write_partitioned(df: DataFrame, path: str, column: str = "order_date", mode
     in ``df``; ``max_records_per_file`` bounds file size.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    spark.conf.set("spark.sql.parquet.writeLegacyFormat", "true" if legacy_format else "false")
     n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = F.xxhash64(*[F.col(c) for c in df.columns if c != column])
-    writer = df.repartitionByRange(n, F.col(column), spread).write.mode(mode).partitionBy(column)
+    writer = (df.repartitionByRange(n, F.col(column), spread).write.mode(mode).partitionBy(column)
+              .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
+    with _legacy_format(spark, legacy_format):
+        writer.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", legacy_format: bool = False) -> None:
-    df.sparkSession.conf.set("spark.sql.parquet.writeLegacyFormat", "true" if legacy_format else "false")
-    df.write.mode(mode).parquet(path)
+    with _legacy_format(df.sparkSession, legacy_format):
+        df.write.mode(mode).parquet(path)
+
+
+@contextmanager
+def _legacy_format(spark: SparkSession, on: bool):
+    """Parquet legacy decimal/integer encoding for readers that need it; the session value is restored."""
+    key = "spark.sql.parquet.writeLegacyFormat"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true" if on else "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def compact(spark: SparkSession, src: str, dst: str, files: int, partition_by: str | None = None) -> None:

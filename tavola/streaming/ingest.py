@@ -2,9 +2,10 @@
 
 New parquet files landing in ``source`` are read as a stream; each
 micro-batch is merged into the keyed state with ``operators.cdc``. Every
-batch writes a complete new state version to ``state_root/v=<batch_id>``
-(a new path, never the one being read) and a replayed batch finds its
-version already written and skips, so a restarted query is idempotent.
+batch writes a complete new state version as partition ``tavola_version=<batch>`` of
+``state_root`` (a new path, never the one being read). A version exists
+only once its write job has committed, and a replayed batch finds its
+version present and skips, so a restarted query is idempotent.
 ``trigger(availableNow=True)`` processes everything present and stops —
 the daily refresh; ``processingTime`` keeps it running.
 """
@@ -13,42 +14,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import latest_by_key, live, merge_changes
 
-VERSION_PREFIX = "v="
+VERSION = "tavola_version"   # partition column naming a state version
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _version_path(state_root: str, version: int) -> str:
+    return f"{state_root.rstrip('/')}/{VERSION}={version}"
+
+
+def _all_versions(spark: SparkSession, state_root: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(state_root)     # partition discovery: one `v` per committed version
+    except AnalysisException:
+        return None                               # nothing committed yet
 
 
 def committed_versions(spark: SparkSession, state_root: str) -> list[int]:
-    fs, root = _hadoop_fs(spark, state_root)
-    if not fs.exists(root):
+    df = _all_versions(spark, state_root)
+    if df is None or VERSION not in df.columns:
         return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith(VERSION_PREFIX) and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[len(VERSION_PREFIX):]))
-    return sorted(out)
+    return sorted(r[0] for r in df.select(VERSION).distinct().collect())   # one row per version
 
 
-def read_state(spark: SparkSession, state_root: str, schema: T.StructType | None = None) -> DataFrame | None:
-    versions = committed_versions(spark, state_root)
-    if not versions:
+def read_state(spark: SparkSession, state_root: str, version: int | None = None) -> DataFrame | None:
+    df = _all_versions(spark, state_root)
+    if df is None:
         return None
-    return spark.read.parquet(f"{state_root.rstrip('/')}/{VERSION_PREFIX}{versions[-1]:08d}")
+    if version is None:
+        versions = committed_versions(spark, state_root)
+        if not versions:
+            return None
+        version = versions[-1]
+    return df.filter(F.col(VERSION) == version).drop(VERSION)    # partition pruning: one version read
 
 
 def write_initial_state(base: DataFrame, state_root: str) -> None:
     """Version 0: the full-load snapshot the changes apply to."""
-    base.write.mode("overwrite").parquet(f"{state_root.rstrip('/')}/{VERSION_PREFIX}{0:08d}")
+    base.write.mode("overwrite").parquet(_version_path(state_root, 0))
 
 
 def start_ingest(spark: SparkSession, source: str, schema: T.StructType, state_root: str, checkpoint: str,
@@ -58,16 +66,15 @@ def start_ingest(spark: SparkSession, source: str, schema: T.StructType, state_r
     keys, order = list(keys), list(order)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        target = f"{state_root.rstrip('/')}/{VERSION_PREFIX}{batch_id + 1:08d}"
-        done = committed_versions(batch.sparkSession, state_root)
+        s = batch.sparkSession
+        done = committed_versions(s, state_root)
         if batch_id + 1 in done:
             return                                   # replayed batch: already applied
         prior = [v for v in done if v <= batch_id]
-        current = batch.sparkSession.read.parquet(
-            f"{state_root.rstrip('/')}/{VERSION_PREFIX}{prior[-1]:08d}") if prior else None
+        current = read_state(s, state_root, prior[-1]) if prior else None
         merged = latest_by_key(batch, keys, order) if current is None \
             else merge_changes(current, batch, keys, order)
-        merged.write.mode("overwrite").parquet(target)
+        merged.write.mode("overwrite").parquet(_version_path(state_root, batch_id + 1))
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:

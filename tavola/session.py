@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,6 +59,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="tavola-ckpt-")
-    os.makedirs(configured, exist_ok=True) if "://" not in configured else None
-    sc.setCheckpointDir(configured)
+    sc.setCheckpointDir(configured)   # created through the cluster file system if missing
     return sc.getCheckpointDir() or configured

@@ -129,8 +129,10 @@ def coerce_trends(trends: DataFrame) -> DataFrame:
         .withColumn("daily_revenue", to_number("daily_revenue"))
 
 
-def location_count(trends: DataFrame) -> DataFrame:
-    return trends.agg(F.count_distinct("restaurant_id").alias("locations"))
+def location_count(trends: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Distinct locations; ``approx=True`` uses a HyperLogLog sketch (one pass, no shuffle of values)."""
+    n = F.approx_count_distinct("restaurant_id", rsd) if approx else F.count_distinct("restaurant_id")
+    return trends.agg(n.alias("locations"))
 
 
 def default_locations(trends: DataFrame, k: int = DEFAULT_LOCATIONS) -> DataFrame:

@@ -74,3 +74,10 @@ def test_silver_row_count_property(spark):
     lines = {(o, l) for o, l, *_ in TRAP_ITEMS}
     per_line = {k: sum(1 for o, l, *_ in TRAP_OPTIONS if (o, l) == k) for k in lines}
     assert sales.count() == sum(max(1, c) for c in per_line.values())
+
+
+def test_location_count_exact_and_approx(spark):
+    from tavola.plans.reports import location_count
+    df = spark.createDataFrame([(f"R{i % 37}",) for i in range(500)], "restaurant_id string")
+    assert location_count(df).first()["locations"] == 37
+    assert abs(location_count(df, approx=True).first()["locations"] - 37) <= 2

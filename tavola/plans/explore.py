@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.profile import column_profile, non_null_counts
 from ..sources import star
-from .registry import big, comparable, dbl, register, with_ctes
+from .registry import comparable, register, with_ctes
 
 
 def order_subtotals(items: DataFrame) -> DataFrame:

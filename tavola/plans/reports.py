@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_end, week_ending_sunday
-from ..functions.labels import MEMBER_LABEL, NON_MEMBER_LABEL, loyalty_label, money, normalise_bool
-from ..functions.numeric import as_double, pct_change, ratio, to_number_or_zero
+from ..functions.labels import loyalty_label, money, normalise_bool
+from ..functions.numeric import as_double, ratio, to_number_or_zero
 from ..functions.buckets import equal_width_bin
 from . import metrics as M
 from .registry import big, comparable, dbl, gold, register, sales, with_ctes

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.dates import parse_date_key

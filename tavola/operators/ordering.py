@@ -382,12 +382,17 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
             totals.append(add(here, carried))
         prev = (last[0], tuple(last[1:1 + len(lags)]), tuple(totals))
 
-    fields = [T.StructField(PART, T.IntegerType()), T.StructField("_cg", df.schema[group].dataType)]
-    fields += [T.StructField(f"_cl_{out}", df.schema[c].dataType) for out, c in lags.items()]
-    fields += [T.StructField(f"_cr_{out}", scanned.schema[out].dataType) for out in running]
-    boundary = df.sparkSession.createDataFrame(carry_rows, T.StructType(fields))
-
-    fixed = scanned.join(F.broadcast(boundary), PART, "inner")
+    # Boundary facts travel as literal arrays indexed by range (at most max_parts entries each).
+    top = max(r[PART] for r in rows) + 1
+    by_part = {row[0]: row[1:] for row in carry_rows}
+    types = [df.schema[group].dataType] + [df.schema[c].dataType for c in lags.values()] \
+        + [scanned.schema[out].dataType for out in running]
+    names = ["_cg"] + [f"_cl_{out}" for out in lags] + [f"_cr_{out}" for out in running]
+    fixed = scanned
+    for j, (name, dtype) in enumerate(zip(names, types)):
+        values = [by_part[p][j] if p in by_part else None for p in range(top)]
+        arr = F.array(*[F.lit(v).cast(dtype) for v in values])
+        fixed = fixed.withColumn(name, F.element_at(arr, F.col(PART) + 1))
     same_prev = F.coalesce(F.col("_cg") == F.col(group), F.lit(False))
     for out in lags:
         first = F.col("_rn") == 1

@@ -139,3 +139,28 @@ def test_register_gold_tables_for_sql(spark, tmp_out):
     assert spark.sql("SELECT sum(v) AS s FROM t_demo").first()["s"] == 5.0
     assert spark.catalog.isCached("t_demo")
     spark.catalog.uncacheTable("t_demo")
+
+
+def test_partitioned_write_splits_a_hot_day(spark, tmp_out):
+    import datetime as _dt
+    from tavola.sources.sinks import write_partitioned
+    hot = [(_dt.date(2024, 1, 1), i) for i in range(4000)]
+    small = [(_dt.date(2024, 1, d), i) for d in range(2, 12) for i in range(10)]
+    df = spark.createDataFrame(hot + small, "order_date date, v int")
+    write_partitioned(df, f"{tmp_out}/t", "order_date", tasks=8)
+    files = lambda d: [f for f in os.listdir(f"{tmp_out}/t/order_date={d}") if f.endswith(".parquet")]
+    assert len(files("2024-01-01")) >= 3                      # the hot day is written by several tasks
+    assert all(len(files(f"2024-01-{d:02d}")) == 1 for d in range(2, 12))   # small days stay in one file
+    assert spark.read.parquet(f"{tmp_out}/t").count() == 4100
+
+
+def test_schema_drift_is_tolerated(spark, tmp_out):
+    from tavola import schemas
+    from tavola.sources.bronze import read_parquet
+    spark.createDataFrame([("o1", "l1", "x")], "order_id string, lineitem_id string, option_name string") \
+        .write.parquet(f"{tmp_out}/drift/part=a")
+    spark.createDataFrame([("o2", "l1", "y", 2)], "ORDER_ID string, LINEITEM_ID string, OPTION_NAME string, "
+                                                    "OPTION_QUANTITY int").write.parquet(f"{tmp_out}/drift/part=b")
+    got = read_parquet(spark, f"{tmp_out}/drift", schemas.ORDER_ITEM_OPTIONS, merge_schema=True)
+    rows = sorted((r["order_id"], r["option_quantity"]) for r in got.collect())
+    assert rows == [("o1", None), ("o2", 2)]

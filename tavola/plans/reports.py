@@ -116,6 +116,11 @@ def winback_list(intel: DataFrame) -> DataFrame:
             .orderBy(F.col("recency").desc(), F.col("user_id")))
 
 
+def has_winback(intel: DataFrame) -> bool:
+    """Whether any High-tier customer is in Churn Risk (stops at the first row, no count)."""
+    return not winback_list(intel).isEmpty()
+
+
 def winback_formatted(intel: DataFrame) -> DataFrame:
     return winback_list(intel).withColumn("current_clv", money("current_clv"))
 

@@ -164,3 +164,15 @@ def test_schema_drift_is_tolerated(spark, tmp_out):
     got = read_parquet(spark, f"{tmp_out}/drift", schemas.ORDER_ITEM_OPTIONS, merge_schema=True)
     rows = sorted((r["order_id"], r["option_quantity"]) for r in got.collect())
     assert rows == [("o1", None), ("o2", 2)]
+
+
+def test_compaction_of_a_partitioned_table(spark, tmp_out):
+    import datetime as _dt
+    from tavola.sources.sinks import compact
+    df = spark.createDataFrame([(_dt.date(2024, 1, 1 + i % 3), i) for i in range(90)], "order_date date, v int")
+    df.repartition(9).write.partitionBy("order_date").parquet(f"{tmp_out}/many")
+    compact(spark, f"{tmp_out}/many", f"{tmp_out}/few", 3, partition_by="order_date")
+    for d in range(1, 4):
+        files = [f for f in os.listdir(f"{tmp_out}/few/order_date=2024-01-0{d}") if f.endswith(".parquet")]
+        assert len(files) == 1
+    assert spark.read.parquet(f"{tmp_out}/few").count() == 90

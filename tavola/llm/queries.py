@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing
+from . import chat, mixing, simhash
 from .common import prepare, table
 
 
@@ -45,6 +45,10 @@ SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE
 FROM c"""
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), words_per_shingle=4, max_bits=4)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
@@ -80,6 +84,7 @@ FROM e GROUP BY conv_id"""
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op3_simhash": op3_simhash,
     "op8_chat_format": op8_chat_format,
 }
 ORACLES = {

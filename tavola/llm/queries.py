@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, simhash
+from . import chat, mixing, packing, simhash
 from .common import prepare, table
 
 
@@ -45,6 +46,11 @@ SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE
 FROM c"""
 
 
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  public_tokenizers.path("byte_bpe_50k.json"), max_len=2048, end_id=0)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), words_per_shingle=4, max_bits=4)
 
@@ -84,6 +90,7 @@ FROM e GROUP BY conv_id"""
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op2_pack": op2_pack,
     "op3_simhash": op3_simhash,
     "op8_chat_format": op8_chat_format,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, simhash
+from . import chat, embeddings, mixing, packing, simhash, warc
 from .common import prepare, table
 
 
@@ -88,13 +88,37 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), min_cosine=0.98)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(_read(spark, sf_dir, "pages").select("page_id", "url", "html"), min_bytes=0)
+    return warc.read_archives(manifest)
+
+
+# The digest columns from the tables alone. DuckDB has no base32: each 5-bit group of the digest is looked up.
+OP10_SQL = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS x FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY x, payload_bytes) AS best FROM h),
+d AS (SELECT *, list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((('0x' || substr(x, CAST((i * 5) // 4 AS BIGINT) + 1, 2) || CASE WHEN (i * 5) // 4 >= 39 THEN '0' ELSE '' END)::INTEGER
+              >> CAST(3 - (i * 5) % 4 AS INTEGER)) & 31 AS BIGINT) + 1, 1)), 'string_agg', '') AS payload_digest FROM m)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> best THEN best END AS refers_to FROM d"""
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_pack": op2_pack,
     "op3_simhash": op3_simhash,
     "op8_chat_format": op8_chat_format,
+    "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_warc": op10_warc,
 }
 ORACLES = {
     "op1_source_mix": OP1_SQL,
     "op8_chat_format": OP8_SQL,
+    "op10_warc": OP10_SQL,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, mixing, packing, simhash, warc
+from . import chat, embeddings, mixing, packing, quality, simhash, warc
 from .common import prepare, table
 
 
@@ -55,6 +55,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), words_per_shingle=4, max_bits=4)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                     _read(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                         "score")
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
@@ -102,7 +109,7 @@ OP10_SQL = r"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 h AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS x FROM p),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY x, payload_bytes) AS best FROM h),
-d AS (SELECT *, list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+d AS (SELECT *, list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
         CAST((('0x' || substr(x, CAST((i * 5) // 4 AS BIGINT) + 1, 2) || CASE WHEN (i * 5) // 4 >= 39 THEN '0' ELSE '' END)::INTEGER
               >> CAST(3 - (i * 5) % 4 AS INTEGER)) & 31 AS BIGINT) + 1, 1)), 'string_agg', '') AS payload_digest FROM m)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
@@ -113,6 +120,7 @@ QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_pack": op2_pack,
     "op3_simhash": op3_simhash,
+    "op6_quality": op6_quality,
     "op8_chat_format": op8_chat_format,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, mixing, packing, quality, simhash, warc
+from . import chat, embeddings, lm, mixing, packing, quality, simhash, tokenfiles, warc
 from .common import prepare, table
 
 
@@ -55,6 +55,21 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), words_per_shingle=4, max_bits=4)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and n_tokens of every document, from flat token files of a byte-level vocabulary."""
+    return tokenfiles.token_counts(_read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    model = lm.train(docs.filter(~held_out))
+    return lm.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+                                        F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score",
+                                        "perplexity")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"),
                                      _read(spark, sf_dir, "labels").select("doc_id", "quality"))
@@ -120,6 +135,8 @@ QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_pack": op2_pack,
     "op3_simhash": op3_simhash,
+    "op4_token_counts": op4_token_counts,
+    "op5_lm_score": op5_lm_score,
     "op6_quality": op6_quality,
     "op8_chat_format": op8_chat_format,
     "op9_embedding_dedup": op9_embedding_dedup,

@@ -3,13 +3,15 @@
 A text is cut where a token can never cross, each different piece is encoded
 once by the library, and the pieces' ids are put together in order:
 
-* byte-level vocabularies: before a space that a non-space follows (the
-  pre-tokenizer always starts a new piece there);
-* word vocabularies that drop white space: at white space.
-
-Texts for which a cut might not be exact (a space before other white space,
-control characters that only Python counts as space, marks of special tokens)
-are encoded whole by the library. The cache of pieces is bounded.
+* byte-level vocabularies: before a space and around a line feed that stand
+  between non-spaces (the pre-tokenizer always starts a new piece there);
+* word vocabularies that lower-case and drop white space: at white space;
+* both: between a letter and a single full stop or comma before white space.
+
+Texts for which a cut might not be exact (two white-space characters in a row,
+control characters that only Python counts as space, letters outside Latin-1
+where case matters, marks of special tokens) are encoded whole by the library.
+The cache of pieces is bounded.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from collections.abc import Sequence
 
 SPECIAL = "<|"
 MAX_PIECES = 1_000_000
-FIRST = "\x1f"   # marks a text's first piece, which has no space before it
+NO_SPACE = "\x1f"   # marks a piece without a space before it
+BEFORE_STOP = re.compile(r"(?<=[a-zA-Z])(?=[.,](?:\s|$))")
 _encoders: dict = {}
 
 
@@ -42,7 +45,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.words = (spec.get("normalizer") or {}).get("type") == "Sequence"
-        self.unsafe = re.compile(r"[\x1c-\x1f]|<\|" if self.words else r" \s| $|<\||\x1f")
+        self.unsafe = re.compile(r"[^\x00-\x1b\x20-\xff]|<\|" if self.words else r"\s\s|\s$|^\s|<\||[\x1c-\x1f]")
         self._reset()
 
     def _reset(self):
@@ -56,7 +59,7 @@ class Encoder:
         if not pieces:
             return
         base = len(self.index)
-        texts = pieces if self.words else [p[1:] if p[:1] == FIRST else " " + p for p in pieces]
+        texts = pieces if self.words else [p[1:] if p[:1] == NO_SPACE else " " + p for p in pieces]
         found = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
@@ -66,9 +69,9 @@ class Encoder:
 
     def _pieces(self, text: str) -> list[str]:
         if self.words:
-            return text.split()
-        pieces = text.split(" ")
-        pieces[0] = FIRST + pieces[0]
+            return BEFORE_STOP.sub(" ", text.lower()).split()
+        pieces = BEFORE_STOP.sub(" " + NO_SPACE, text).replace("\n", f" {NO_SPACE}\n {NO_SPACE}").split(" ")
+        pieces[0] = NO_SPACE + pieces[0]
         return pieces
 
     def encode(self, texts: Sequence[str | None]) -> tuple:

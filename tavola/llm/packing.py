@@ -156,7 +156,7 @@ def pack(pieces: DataFrame, max_len: int = 2048) -> DataFrame:
     # Both small tables are bounded by max_len, not by the data.
     offsets = F.broadcast(spark.createDataFrame(before, "_l long, _s int, _before long"))
     places = F.broadcast(spark.createDataFrame(runs, "_len long, _lo long, _hi long, _seq long, _times long, _off long"))
-    w = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
+    w = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = salted.withColumn("_rn", F.row_number().over(w)) \
         .join(offsets, (F.col("length") == F.col("_l")) & (F.col("_salt") == F.col("_s"))) \
         .withColumn("_rank", F.col("_before") + F.col("_rn") - 1)

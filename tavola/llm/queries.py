@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, lm, mixing, packing, quality, simhash, tokenfiles, warc
+from . import chat, embeddings, idfiles, lm, mixing, packing, quality, simhash, tokenfiles, warc
 from .common import prepare, table
 
 
@@ -77,6 +77,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score")
 
 
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = idfiles.write_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                       public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return idfiles.read_documents(manifest)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
@@ -138,6 +144,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_lm_score": op5_lm_score,
     "op6_quality": op6_quality,
+    "op7_token_ids": op7_token_ids,
     "op8_chat_format": op8_chat_format,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,

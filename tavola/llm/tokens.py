@@ -19,10 +19,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-SPECIAL = "<|"
 MAX_PIECES = 1_000_000
 NO_SPACE = "\x1f"   # marks a piece without a space before it
-BEFORE_STOP = re.compile(r"(?<=[a-zA-Z])(?=[.,](?:\s|$))")
+STOP = re.compile(r"[.,](?<=[a-zA-Z][.,])(?=\s|$)")
+ODD_SPACE = re.compile(r"[^\S \n]")   # white space besides space and line feed; control characters 28 to 31 count too
+ODD_CONTROL = re.compile(r"[\x1c-\x1f]")
 _encoders: dict = {}
 
 
@@ -34,6 +35,18 @@ def encoder(path: str, plain_specials: bool = False) -> "Encoder":
     return _encoders[key]
 
 
+class Pieces(dict):
+    """Numbers of pieces; an unknown piece gets the next number and is listed as new."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        self.new.append(piece)
+        return n
+
+
 class Encoder:
     def __init__(self, path: str, plain_specials: bool = False):
         import json
@@ -45,32 +58,61 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.words = (spec.get("normalizer") or {}).get("type") == "Sequence"
-        self.unsafe = re.compile(r"[^\x00-\x1b\x20-\xff]|<\|" if self.words else r"\s\s|\s$|^\s|<\||[\x1c-\x1f]")
+        # A separator that is always one token of its own and in no piece.
+        self.join = " \x01 " if self.words else "\n"
+        self.join_id = self._whole(self.join.strip(" "))
+        if len(self.join_id) != 1:
+            raise ValueError("the vocabulary has no single token for the separator")
         self._reset()
 
+    def _whole(self, text: str):
+        import numpy as np
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def _reset(self):
         import numpy as np
-        self.index: dict[str, int] = {}
+        self.index = Pieces()
         self.start = np.zeros(1, np.int64)
         self.flat = np.empty(0, np.uint32)
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self) -> None:
+        """Encode the new pieces, joined by the separator, in one call."""
         import numpy as np
-        if not pieces:
-            return
-        base = len(self.index)
-        texts = pieces if self.words else [p[1:] if p[:1] == NO_SPACE else " " + p for p in pieces]
-        found = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
-        self.index.update(zip(pieces, range(base, base + len(pieces))))
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
-        self.flat = np.concatenate([self.flat, flat])
+        new, self.index.new = self.index.new, []
+        starts, flats = [self.start], [self.flat]
+        for i in range(0, len(new), 10_000):
+            part = new[i:i + 10_000]
+            lone = [] if self.words else [k for k, p in enumerate(part) if p == NO_SPACE + "\n"]
+            texts = part if self.words else [p[1:] if p[:1] == NO_SPACE else " " + p for p in part]
+            for k in lone:
+                texts[k] = ""
+            ids = self._whole(self.join.join(texts))
+            seps = np.flatnonzero(ids == self.join_id[0])
+            if len(seps) != len(part) - 1:
+                raise ValueError("pieces do not stand alone in this vocabulary")
+            size = np.diff(np.concatenate([[-1], seps, [len(ids)]])) - 1
+            flat = np.delete(ids, seps)
+            for k in lone:
+                flat = np.insert(flat, size[:k].sum(), self.join_id)
+                size[k] = 1
+            starts.append(starts[-1][-1] + np.cumsum(size))
+            flats.append(flat)
+        self.start, self.flat = np.concatenate(starts), np.concatenate(flats)
+
+    def _safe(self, text: str) -> bool:
+        if "<|" in text or "\x01" in text:
+            return False
+        if self.words:
+            # Latin-1 lower-cases character by character and is its own normal form.
+            return (text.isascii() or max(text) <= "\xff") and not ODD_CONTROL.search(text)
+        if text[0].isspace() or text[-1].isspace():
+            return False
+        return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or ODD_SPACE.search(text))
 
     def _pieces(self, text: str) -> list[str]:
         if self.words:
-            return BEFORE_STOP.sub(" ", text.lower()).split()
-        pieces = BEFORE_STOP.sub(" " + NO_SPACE, text).replace("\n", f" {NO_SPACE}\n {NO_SPACE}").split(" ")
+            return STOP.sub(r" \g<0>", text.lower()).split()
+        pieces = STOP.sub(f" {NO_SPACE}\\g<0>", text).replace("\n", f" {NO_SPACE}\n {NO_SPACE}").split(" ")
         pieces[0] = NO_SPACE + pieces[0]
         return pieces
 
@@ -85,16 +127,11 @@ class Encoder:
             nonlocal held
             if group:
                 everything = [p for _, ps in group for p in ps]
-                at = list(map(self.index.get, everything))
-                missing = [i for i, v in enumerate(at) if v is None]
-                new = list(dict.fromkeys(everything[i] for i in missing))
-                if len(self.index) + len(new) > MAX_PIECES:
+                if len(self.index) > MAX_PIECES:
                     self._reset()
-                    missing, new = range(len(everything)), list(dict.fromkeys(everything))
-                self._learn(new)
-                for i in missing:
-                    at[i] = self.index[everything[i]]
-                at = np.array(at, np.int64)
+                at = np.fromiter(map(self.index.__getitem__, everything), np.int64, len(everything))
+                if self.index.new:
+                    self._learn()
                 size = self.start[at + 1] - self.start[at]
                 end = np.cumsum(size)
                 ids.append(self.flat[np.repeat(self.start[at] - (end - size), size) + np.arange(end[-1] if len(end) else 0)])
@@ -107,9 +144,9 @@ class Encoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if self.unsafe.search(text):
+            if not self._safe(text):
                 flush()
-                whole = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+                whole = self._whole(text)
                 ids.append(whole)
                 sizes[k] = len(whole)
                 continue

@@ -131,7 +131,7 @@ def slot_runs(plan: list[tuple[int, tuple[tuple[int, int], ...]]]) -> list[tuple
 
 
 def pack(pieces: DataFrame, max_len: int = 2048) -> DataFrame:
-    """``pieces`` (with ``length`` from 1 to ``max_len``, a doc_id and a piece number) plus ``sequence_id`` and ``offset``.
+    """``pieces`` (columns of ``tokenized_pieces``, lengths from 1 to ``max_len``) plus ``sequence_id`` and ``offset``.
 
     The table should be written already: it is read for the counts and for the
     ranks. Pieces equal in every column may stand in any order. No rows give no

@@ -7,19 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import first_by_key
+
 DELETE = "D"   # fixed value: op code of a delete
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key by ``order`` (ascending, nulls first), as a hash aggregate.
-
-    ``max_by`` over a struct collapses a key's rows map-side before the
-    shuffle, so a key with many changes costs one row per map task.
-    """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns])
+    """The last row per key by ``order`` (ascending, nulls first)."""
+    return first_by_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
 def merge_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

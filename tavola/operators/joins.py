@@ -7,36 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .materialize import keep
+HOT_ROWS = 1_000_000   # right rows of one key joined in one task
 
 
-def left_join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str], keep_left: bool = True) -> DataFrame:
-    """``left LEFT JOIN right USING (keys)`` written as inner ∪ anti.
+def hot_keys(right: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``rows`` rows and the number of salts each needs (at most one key per ``rows`` rows)."""
+    counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
+    return counts.select(*keys, F.ceil(F.col("_n") / rows).cast("int").alias("_salts"))
 
-    Spark can only split the left side of a skewed LEFT OUTER join; here the
-    many side is the right (options per order line). As an inner join both
-    sides of a hot key can be split by AQE; the unmatched left rows come from
-    an anti join against the right's distinct keys, which are pre-aggregated
-    map-side before their shuffle.
+
+def left_join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` where the many side is the right.
+
+    Left rows with a null key match nothing; they stay out of the shuffle.
+    Spark can split a hot key of a LEFT OUTER join on the left side only.
+    ``hot`` (a written result of ``hot_keys``) names right keys that one task
+    should not hold: their right rows are dealt over salts and their left rows
+    copied to each. Such a key has right rows, so a copy that meets none in its
+    salt is dropped.
     """
     keys = list(keys)
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    # Both branches read the same keyed left side. Adaptive execution does not
-    # always reuse the shuffle behind it across the two branches, so it is
-    # persisted (``keep_left``) and computed once; lost blocks are recomputed
-    # from lineage. Rows with a null key can match nothing and pass straight
-    # through (the filter reaches the scan).
-    left_keyed = left.filter(keyed)
-    if keep_left:
-        left_keyed = keep(left_keyed)
-    matched = left_keyed.join(right, keys, "inner")
-    right_keys = right.select(*keys).distinct()
-    unmatched = left_keyed.join(right_keys, keys, "left_anti").unionByName(left.filter(~keyed))
     extra = [f for f in right.schema.fields if f.name not in keys]
-    unmatched = unmatched.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return matched.select(*left.columns, *[f.name for f in extra]).unionByName(unmatched)
+    columns = [*left.columns, *[f.name for f in extra]]
+    if hot is None:
+        joined = left.filter(keyed).join(right, keys, "left").select(*columns)
+    else:
+        dealt = right.join(hot, keys, "left").withColumn("_salt", F.coalesce(
+            F.pmod(F.xxhash64(*right.columns), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts").withColumn("_met", F.lit(1))
+        copied = left.filter(keyed).join(hot, keys, "left") \
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        joined = copied.join(dealt, [*keys, "_salt"], "left").filter("_salts is null or _met is not null").select(*columns)
+    alone = left.filter(~keyed).select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return joined.unionByName(alone)
 
 
 def null_safe_lookup(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None) -> DataFrame:

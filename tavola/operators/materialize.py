@@ -1,41 +1,24 @@
-"""Cut lineage of a reused intermediate by checkpointing it to the shared folder."""
+"""Cut lineage of a reused intermediate by writing it to the shared checkpoint folder."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
 
-_KEPT: list[DataFrame] = []
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Persist a reused intermediate (memory, spilling to disk); ``release()`` drops it.
-
-    Lost blocks are recomputed from lineage, so this never affects results.
-    """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _KEPT.append(kept)
-    return kept
-
-
-def release() -> None:
-    """Unpersist every intermediate kept by the library so far (after a job's writes)."""
-    while _KEPT:
-        _KEPT.pop().unpersist(blocking=False)
-
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to ``spark.checkpoint.dir`` and read it from there.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once under ``spark.checkpoint.dir`` and read it from there.
 
     Used where a plan reads the same intermediate several times (counts,
-    samples, boundary facts, final pass): it is computed once, and a lost
-    executor does not send the recomputation back to the source tables.
+    samples, boundary facts, final pass): it is computed once, a lost executor
+    does not send the work back to the source tables, nothing stays in
+    executors' memory, and the planner knows the real size. Like checkpoint
+    files, the folders are left to the cleaning of that storage.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    # Persist first so writing the checkpoint does not compute the plan twice.
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = kept.checkpoint(eager=True)
-    kept.unpersist(blocking=False)
-    return out
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tavola-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

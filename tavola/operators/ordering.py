@@ -9,15 +9,13 @@ literals, so the range of a row is a pure function of the row and a
 recomputed task after an executor loss puts every row in the same range.
 Windows then run per range, and the few facts that cross a range boundary —
 row counts, the last row, the running total of the last group — are
-gathered per range (``P`` rows, bounded by a parameter, not by the data) and
-joined back by broadcast.
+gathered per range (one row for about ``rows_per_part`` rows) and come back
+into the plan as literal arrays.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import decimal as _decimal
-import functools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -27,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.buckets import ntile_from_position
-from .materialize import keep
+from .materialize import materialize
 
 PART = "_part"
 
@@ -57,49 +55,35 @@ def keys_of(spec: Sequence[Key | str]) -> list[Key]:
 
 @dataclass(frozen=True)
 class RangeConfig:
-    """How finely to cut the order: about ``rows_per_part`` rows per range,
-    at least ``min_parts`` and at most ``max_parts`` ranges, from a sample of
-    about ``sample_per_part`` keys per range."""
+    """How finely to cut the order: about ``rows_per_part`` rows per range and
+    at least ``min_parts`` ranges, from a sample of about ``sample_per_part``
+    keys per range. The number of ranges grows with the rows."""
 
     rows_per_part: int = 2_000_000
     min_parts: int = 8
-    max_parts: int = 256   # the range lookup stays within one compiled method up to here
     sample_per_part: int = 64
     seed: int = 17
 
     def parts_for(self, n: int) -> int:
-        if n <= 2 * self.min_parts:
-            return 1
-        return max(self.min_parts, min(self.max_parts, math.ceil(n / self.rows_per_part)))
+        return max(self.min_parts, math.ceil(n / self.rows_per_part))
 
 
-def _cmp(c: Column) -> Column:
+def _false(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def _before(key: Key, value) -> Column:
-    """Row's value sorts strictly before ``value`` in this column."""
+def _sorts_before(key: Key, value: Column) -> Column:
+    """The row's value sorts strictly before ``value`` (both may be null)."""
     a = F.col(key.name)
-    if value is None:
-        return _cmp(a.isNotNull()) if not key.nf else F.lit(False)
-    lt = _cmp(a < F.lit(value)) if key.ascending else _cmp(a > F.lit(value))
-    return (a.isNull() | lt) if key.nf else lt
+    lt = _false(a < value) if key.ascending else _false(a > value)
+    if key.nf:
+        return lt | (a.isNull() & value.isNotNull())
+    return lt | (a.isNotNull() & value.isNull())
 
 
-def _equal(key: Key, value) -> Column:
-    a = F.col(key.name)
-    return a.isNull() if value is None else _cmp(a == F.lit(value))
-
-
-def _sorts_before(spec: list[Key], split: tuple) -> Column:
-    expr = _before(spec[-1], split[-1])
-    for key, value in zip(reversed(spec[:-1]), reversed(split[:-1])):
-        expr = _before(key, value) | (_equal(key, value) & expr)
-    return expr
-
-
-_SQL_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-              T.DecimalType, T.StringType, T.DateType)
+def _array_sql(values: list, dtype: T.DataType) -> Column:
+    return F.expr("array(" + ", ".join("CAST(NULL AS " + dtype.simpleString() + ")" if v is None else _sql_literal(v, dtype)
+                                       for v in values) + ")")
 
 
 def _sql_literal(value, dtype: T.DataType) -> str:
@@ -113,117 +97,40 @@ def _sql_literal(value, dtype: T.DataType) -> str:
     return "CAST('" + text.replace("\\", "\\\\").replace("'", "\\'") + "' AS " + dtype.simpleString() + ")"
 
 
-def _range_index_sql(spec: list[Key], splits: list[tuple], types: dict[str, T.DataType]) -> Column | None:
-    """The same binary search as ``_range_index``, rendered as one SQL expression
-    (one call into the JVM instead of thousands); None for unsupported key types."""
-    if not all(isinstance(types[k.name], _SQL_TYPES) for k in spec):
-        return None
-
-    def col(k):
-        return "`" + k.name.replace("`", "``") + "`"
-
-    def before(k, v):
-        a = col(k)
-        if v is None:
-            return "false" if k.nf else f"({a} IS NOT NULL)"
-        lt = f"coalesce({a} {'<' if k.ascending else '>'} {_sql_literal(v, types[k.name])}, false)"
-        return f"({a} IS NULL OR {lt})" if k.nf else lt
-
-    def equal(k, v):
-        a = col(k)
-        return f"({a} IS NULL)" if v is None else f"coalesce({a} = {_sql_literal(v, types[k.name])}, false)"
-
-    def sorts_before(split):
-        e = before(spec[-1], split[-1])
-        for k, v in zip(reversed(spec[:-1]), reversed(split[:-1])):
-            e = f"({before(k, v)} OR ({equal(k, v)} AND {e}))"
-        return e
-
-    def search(lo, hi):
-        if lo >= hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"CASE WHEN {sorts_before(splits[mid])} THEN {search(lo, mid)} ELSE {search(mid + 1, hi)} END"
-
-    return F.expr(search(0, len(splits)))
-
-
-def _range_index(spec: list[Key], splits: list[tuple], lo: int, hi: int) -> Column:
-    """Number of splits ``<=`` the row, by binary search over ``splits[lo:hi]``."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_sorts_before(spec, splits[mid]), _range_index(spec, splits, lo, mid)) \
-        .otherwise(_range_index(spec, splits, mid + 1, hi))
-
-
-_PLAIN = (bool, int, float, str, bytes, _dt.date, _dt.datetime, _decimal.Decimal)
-
-
-def _cmp_values(x, y) -> int:
-    if isinstance(x, float) and math.isnan(x):
-        return 0 if isinstance(y, float) and math.isnan(y) else 1      # NaN sorts last, as in Spark
-    if isinstance(y, float) and math.isnan(y):
-        return -1
-    return (x > y) - (x < y)
-
-
-def sort_like_spark(rows: list[tuple], spec: list[Key]) -> list[tuple] | None:
-    """Sort a bounded sample on the driver with SQL ORDER BY semantics, or
-    ``None`` when a value type is not one whose order matches Spark's."""
-    for r in rows:
-        for v in r:
-            if v is not None and not isinstance(v, _PLAIN):
-                return None
-
-    def cmp(a, b):
-        for key, x, y in zip(spec, a, b):
-            if x is None or y is None:
-                if x is None and y is None:
-                    continue
-                first = -1 if key.nf else 1
-                return first if x is None else -first
-            c = _cmp_values(x, y)
-            if c:
-                return c if key.ascending else -c
-        return 0
-    return sorted(rows, key=functools.cmp_to_key(cmp))
-
-
 def _part_expr(df: DataFrame, spec: list[Key], splits: list[tuple]) -> Column:
-    if not splits:
+    """Number of splits that sort at or before the row: a binary search in literal arrays, one per key column."""
+    n = len(splits)
+    if not n:
         return F.lit(0)
     types = {f.name: f.dataType for f in df.schema.fields}
-    sql = _range_index_sql(spec, splits, types)
-    return sql if sql is not None else _range_index(spec, splits, 0, len(splits))
+    arrays = [_array_sql([s[j] for s in splits], types[k.name]) for j, k in enumerate(spec)]
+
+    def passed(i: Column) -> Column:
+        """The split at position ``i`` (from 1) does not sort after the row."""
+        values = [F.get(a, i - 1) for a in arrays]
+        before = _sorts_before(spec[-1], values[-1])
+        for key, v in zip(reversed(spec[:-1]), reversed(values[:-1])):
+            before = _sorts_before(key, v) | (F.col(key.name).eqNullSafe(v) & before)
+        return ~before
+
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda pos, step: F.when((pos + step <= n) & passed(pos + step), pos + step).otherwise(pos))
 
 
 def sample_splits(df: DataFrame, spec: list[Key], n: int, parts: int, cfg: RangeConfig,
                   rows: list[tuple] | None = None) -> list[tuple]:
-    """``parts - 1`` split keys at even quantiles of a bounded sample.
+    """``parts - 1`` split keys at even quantiles of a bounded sample, ordered by Spark.
 
-    The sample holds about ``parts * sample_per_part`` keys whatever the size
-    of ``df``. It is ordered exactly as Spark orders (strings by code point
-    = UTF-8 bytes, nulls placed per key, NaN last), on the driver for plain
-    types and by Spark otherwise. Uneven splits only unbalance the ranges;
-    results stay exact.
+    The sample holds about ``parts * sample_per_part`` keys, whatever the size
+    of ``df``. Uneven splits only unbalance the ranges; results stay exact.
     """
     names = [k.name for k in spec]
     if rows is None:
-        fraction = min(1.0, cfg.sample_per_part * parts / max(n, 1))
-        sample = df.select(*names)
-        if fraction < 1.0:
-            sample = sample.sample(withReplacement=False, fraction=fraction, seed=cfg.seed)
-        rows = [tuple(r) for r in sample.collect()]
-        ordered = sort_like_spark(rows, spec)
-        if ordered is None:
-            ordered = [tuple(r) for r in sample.orderBy(*[k.sort_expr() for k in spec]).collect()]
+        sample = df.select(*names).sample(withReplacement=False, fraction=min(1.0, cfg.sample_per_part * parts / max(n, 1)),
+                                          seed=cfg.seed)
     else:
-        ordered = sort_like_spark(rows, spec)
-        if ordered is None:
-            local = df.sparkSession.createDataFrame(rows, df.select(*names).schema)
-            ordered = [tuple(r) for r in local.orderBy(*[k.sort_expr() for k in spec]).collect()]
-    rows = ordered
+        sample = df.sparkSession.createDataFrame(rows, df.select(*names).schema)
+    rows = [tuple(r) for r in sample.orderBy(*_order(spec)).collect()]
     if not rows:
         return []
     splits: list[tuple] = []
@@ -235,7 +142,7 @@ def sample_splits(df: DataFrame, spec: list[Key], n: int, parts: int, cfg: Range
 
 
 def with_range(df: DataFrame, spec: Sequence[Key | str], cfg: RangeConfig = RangeConfig(),
-               n: int | None = None, sample_from: DataFrame | None = None) -> tuple[DataFrame, int, int]:
+               n: int | None = None) -> tuple[DataFrame, int, int]:
     """Add ``_part``: index of the contiguous range of the sort order holding the row.
 
     Returns the frame, the number of ranges and the row count.
@@ -243,8 +150,7 @@ def with_range(df: DataFrame, spec: Sequence[Key | str], cfg: RangeConfig = Rang
     spec = keys_of(spec)
     n = df.count() if n is None else n
     parts = cfg.parts_for(n)
-    src = df if sample_from is None else sample_from
-    splits = sample_splits(src, spec, n, parts, cfg) if parts > 1 else []
+    splits = sample_splits(df, spec, n, parts, cfg)
     part = _part_expr(df, spec, splits)
     return df.withColumn(PART, part.cast(T.IntegerType())), len(splits) + 1, n
 
@@ -253,30 +159,6 @@ def _order(spec: list[Key]) -> list[Column]:
     return [k.sort_expr() for k in spec]
 
 
-def global_ntile(df: DataFrame, spec: Sequence[Key | str], k: int, out: str,
-                 cfg: RangeConfig = RangeConfig(), n: int | None = None,
-                 sample_from: DataFrame | None = None) -> DataFrame:
-    """``NTILE(k) OVER (ORDER BY spec)`` without a single-partition window.
-
-    Exact when ``spec`` is a total order (end it with a unique column).
-    ``n`` (row count) and ``sample_from`` (a materialized frame with the same
-    rows and key columns) spare recomputing ``df`` for the count and sample.
-    """
-    spec = keys_of(spec)
-    parted, parts, n = with_range(df, spec, cfg, n=n, sample_from=sample_from)
-    if n == 0:
-        return df.withColumn(out, F.lit(None).cast(T.LongType()))
-    ranked = parted.withColumn("_rn", F.row_number().over(Window.partitionBy(PART).orderBy(*_order(spec))))
-    counts = parted.groupBy(PART).agg(F.count(F.lit(1)).alias("_cnt"))
-    # At most `parts` rows: a window over them is tiny and bounded.
-    offsets = counts.select(PART, F.coalesce(F.sum("_cnt").over(
-        Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    pos = F.col("_off") + F.col("_rn")
-    return (ranked.join(F.broadcast(offsets), PART, "inner")
-            .withColumn(out, ntile_from_position(pos, F.lit(n).cast("long"), k))
-            .drop(PART, "_rn", "_off"))
-
-
 def multi_ntile(df: DataFrame, specs: dict[str, Sequence[Key | str]], k: int,
                 cfg: RangeConfig = RangeConfig(), n: int | None = None) -> DataFrame:
     """Several ``NTILE(k) OVER (ORDER BY spec)`` columns (``out: spec``) in one plan.
@@ -292,18 +174,13 @@ def multi_ntile(df: DataFrame, specs: dict[str, Sequence[Key | str]], k: int,
         return df.select("*", *[F.lit(None).cast(T.LongType()).alias(out) for out in specs])
     parts = cfg.parts_for(n)
     names = sorted({key.name for spec in specs.values() for key in spec})
-    sample_rows: list[tuple] = []
-    if parts > 1:
-        fraction = min(1.0, cfg.sample_per_part * parts / n)
-        sample = df.select(*names)
-        if fraction < 1.0:
-            sample = sample.sample(withReplacement=False, fraction=fraction, seed=cfg.seed)
-        sample_rows = [tuple(r) for r in sample.collect()]   # one bounded sample for every order
+    sample = df.select(*names).sample(withReplacement=False, fraction=min(1.0, cfg.sample_per_part * parts / n), seed=cfg.seed)
+    sample_rows = [tuple(r) for r in sample.collect()]   # one bounded sample for every order
     part_cols = {}
     for out, spec in specs.items():
         idx = [names.index(k.name) for k in spec]
         keyed = [tuple(r[i] for i in idx) for r in sample_rows]
-        splits = sample_splits(df, spec, n, parts, cfg, rows=keyed) if parts > 1 else []
+        splits = sample_splits(df, spec, n, parts, cfg, rows=keyed)
         part_cols[out] = _part_expr(df, spec, splits).cast(T.IntegerType())
     parted = df.select("*", *[c.alias(f"_p_{out}") for out, c in part_cols.items()])
     # Rows per (order, range): at most len(specs) * parts rows reach the driver.
@@ -320,7 +197,7 @@ def multi_ntile(df: DataFrame, specs: dict[str, Sequence[Key | str]], k: int,
             acc += per.get(p, 0)
         pcol = F.col(f"_p_{out}")
         rn = F.row_number().over(Window.partitionBy(pcol).orderBy(*_order(spec)))
-        off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pcol + 1)
+        off = F.element_at(_array_sql(offsets, T.LongType()), pcol + 1)
         result = result.withColumn(out, ntile_from_position(off + rn, F.lit(n).cast("long"), k))
     return result.drop(*[f"_p_{out}" for out in specs])
 
@@ -345,15 +222,8 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
         scanned = scanned.withColumn(out, F.lag(c).over(w))
     for out, c in running.items():
         scanned = scanned.withColumn(out, F.sum(c).over(wg))
-    if parts == 1:
-        fixed = scanned
-        for out in lags:
-            fixed = fixed.withColumn(out, F.when(F.col("_pg") == F.col(group), F.col(out)))
-        return fixed.drop(PART, "_rn", "_pg")
-
-    # The windows feed both the boundary facts and the output: keep them once
-    # (lost blocks are recomputed from the same literal ranges).
-    scanned = keep(scanned)
+    # The windows feed both the boundary facts and the output: written once.
+    scanned = materialize(scanned, "scan")
     # Facts at each range's ends: its first group, its last row and the
     # running totals of the last group there.
     last_fields = [group] + list(lags.values()) + list(running.keys())
@@ -361,7 +231,10 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
         F.min_by(F.col(group), F.col("_rn")).alias("_first"),
         F.max_by(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(last_fields)]),
                  F.col("_rn")).alias("_last"))
-    rows = sorted(tail.collect(), key=lambda r: r[PART])  # one row per range, bounded by max_parts
+    rows = sorted(tail.collect(), key=lambda r: r[PART])  # one row per range, a few facts each
+
+    if not rows:
+        return scanned.drop(PART, "_rn", "_pg")
 
     def add(a, b):
         return b if a is None else (a if b is None else a + b)
@@ -382,7 +255,7 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
             totals.append(add(here, carried))
         prev = (last[0], tuple(last[1:1 + len(lags)]), tuple(totals))
 
-    # Boundary facts travel as literal arrays indexed by range (at most max_parts entries each).
+    # Boundary facts travel as literal arrays indexed by range (one entry per range).
     top = max(r[PART] for r in rows) + 1
     by_part = {row[0]: row[1:] for row in carry_rows}
     types = [df.schema[group].dataType] + [df.schema[c].dataType for c in lags.values()] \
@@ -391,8 +264,7 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
     fixed = scanned
     for j, (name, dtype) in enumerate(zip(names, types)):
         values = [by_part[p][j] if p in by_part else None for p in range(top)]
-        arr = F.array(*[F.lit(v).cast(dtype) for v in values])
-        fixed = fixed.withColumn(name, F.element_at(arr, F.col(PART) + 1))
+        fixed = fixed.withColumn(name, F.element_at(_array_sql(values, dtype), F.col(PART) + 1))
     same_prev = F.coalesce(F.col("_cg") == F.col(group), F.lit(False))
     for out in lags:
         first = F.col("_rn") == 1

@@ -19,12 +19,6 @@ ORDER_KEYS = ("user_id", "order_id", "order_date")
 TIMELINE = (Key("order_date"), Key("order_id"))   # per-customer order; order_id breaks same-day ties
 
 
-def persist(df: DataFrame) -> DataFrame:
-    """Keep a reused intermediate; lost blocks are recomputed from lineage."""
-    from ..operators.materialize import keep
-    return keep(df)
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     from ..operators.materialize import materialize
     return materialize(df)
@@ -244,8 +238,10 @@ def discount_effectiveness_exact(sales: DataFrame) -> DataFrame:
 def _discount_rollup(sales: DataFrame) -> DataFrame:
     per_order = sales.groupBy("order_id").agg(F.sum("total_line_item_revenue").alias("_rev"),
                                               F.count("total_line_item_revenue").alias("_rows"))
-    flagged = discounted_orders(sales).withColumn("_hit", F.lit(1))
-    return (per_order.join(flagged, "order_id", "left")
+    flagged = discounted_orders(sales).select(F.col("order_id").alias("_order"), F.lit(1).alias("_hit"))
+    # The window of the source pipeline groups null order ids, so they join null-safely.
+    same = per_order["order_id"].eqNullSafe(flagged["_order"])
+    return (per_order.join(flagged, same, "left")
             .groupBy(F.coalesce("_hit", F.lit(0)).alias("is_discounted"))
             .agg(F.count("order_id").alias("order_count"), F.sum("_rev").alias("_rev"),
                  F.sum("_rows").alias("_rows"))

@@ -8,9 +8,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tavola.operators.ordering import Key, RangeConfig, global_ntile, grouped_scan, with_range
+from tavola.operators.ordering import Key, RangeConfig, grouped_scan, multi_ntile, with_range
 
-SMALL = RangeConfig(rows_per_part=5, min_parts=3, max_parts=16, sample_per_part=8)
+SMALL = RangeConfig(rows_per_part=5, min_parts=3, sample_per_part=8)
+
+
+def global_ntile(df, spec, k, out, cfg):
+    return multi_ntile(df, {out: spec}, k, cfg)
 
 
 def frame(spark, n, ties=3, nulls=False, seed=1):
@@ -88,25 +92,19 @@ def test_multi_ntile_matches_builtin(spark, n):
     assert sorted(got.collect()) == sorted(want.select(got.columns).collect())
 
 
-def test_driver_sort_matches_spark_order(spark):
-    import datetime as dt
-    from tavola.operators.ordering import sort_like_spark
-    rnd = random.Random(3)
-    words = ["", "a", "B", "ä", "z", "Ω", "日本", "aé", "ab"]
-    rows = []
-    for i in range(300):
-        rows.append((rnd.choice(words + [None]),
-                     rnd.choice([None, float("nan"), -0.0, 0.0, 1.5, -2.0, float("inf")]),
-                     None if rnd.random() < 0.1 else Decimal(rnd.randrange(-500, 500)) / 10,
-                     None if rnd.random() < 0.1 else dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randrange(9)),
-                     i))
-    df = spark.createDataFrame(rows, "s string, f double, d decimal(10,1), t date, i int")
-    for spec in ([Key("s"), Key("i")], [Key("f", ascending=False), Key("i")],
-                 [Key("d", nulls_first=False), Key("t", ascending=False, nulls_first=True), Key("i")]):
-        names = [k.name for k in spec]
-        want = [r["i"] for r in df.orderBy(*[k.sort_expr() for k in spec]).collect()]
-        got = [r[-1] for r in sort_like_spark([tuple(r) for r in df.select(*names).collect()], spec)]
-        assert got == want
+def test_more_than_256_ranges(spark):
+    df = frame(spark, 2000, ties=7, nulls=True)
+    spec, fine = [Key("v", ascending=False), Key("user_id")], RangeConfig(rows_per_part=4, sample_per_part=8)
+    parted, parts, _ = with_range(df, spec, fine)
+    assert parts > 400 and parted.select("_part").distinct().count() > 256
+    got = global_ntile(df, spec, 5, "b", fine)
+    want = df.withColumn("b", F.ntile(5).over(Window.orderBy(F.col("v").desc(), "user_id")))
+    assert sorted(got.collect()) == sorted(want.collect())
+    rows = df.withColumn("order_id", F.col("user_id")).withColumn("user", F.lit("hot")).withColumn("amount", F.col("v").cast("decimal(9,2)"))
+    got = grouped_scan(rows, "user", [Key("order_id")], lags={"p": "v"}, running={"run": "amount"}, cfg=fine)
+    w = Window.partitionBy("user").orderBy("order_id")
+    want = rows.withColumn("p", F.lag("v").over(w)).withColumn("run", F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
 
 
 def test_ntile_with_awkward_key_values(spark):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -45,19 +43,16 @@ def apply_session_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """Return the shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster; it is read
-    from the session and only set here when it is unset (local tests).
+    ``spark.checkpoint.dir`` names it and is read from the session. Where it is
+    unset, a folder in the warehouse is used, which driver and executors share
+    in every deployment.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="tavola-ckpt-")
-    sc.setCheckpointDir(configured)   # created through the cluster file system if missing
-    return sc.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tavola")
+    return sc.getCheckpointDir()

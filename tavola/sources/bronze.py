@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.dates import as_timestamp
+from ..functions.labels import normalise_bool
+
+CORRUPT = "_corrupt_record"
+
+
+@dataclass
+class Bronze:
+    order_items: DataFrame
+    order_item_options: DataFrame
+    date_dim: DataFrame
+    dedup_order: tuple[str, ...] | None = None
+    drop_after_dedup: tuple[str, ...] = ()
+    corrupt: DataFrame | None = None   # (source, line) of text lines that did not parse
 
 
 def lower_case_columns(df: DataFrame) -> DataFrame:
@@ -30,38 +47,60 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             corrupt_column: str | None = "_corrupt_record") -> DataFrame:
+             corrupt_column: str | None = CORRUPT) -> DataFrame:
     """Read a CSV export with a header as text columns (PERMISSIVE).
 
-    Every value is read as text; casts happen in the cleaning step, where a
-    bad value becomes null instead of failing the job.
+    Every value is read as text; ``conform`` gives it its declared type, where
+    a bad value becomes null instead of failing the job.
     """
     text = schemas.as_text(schema)
     if corrupt_column:
         text = text.add(T.StructField(corrupt_column, T.StringType()))
     reader = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-              .option("recursiveFileLookup", "true").schema(text))
+              .option("recursiveFileLookup", "true").option("columnPruning", "false").schema(text))
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return lower_case_columns(reader.csv(path))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select ``schema``'s columns in order; absent ones become typed nulls."""
-    from pyspark.sql import functions as F
-    present = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    """Select ``schema``'s columns in order, each in its declared type.
+
+    Absent columns and values that do not fit become nulls. Booleans may come
+    as 0/1 or as words, timestamps as text.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[_typed(f, types.get(f.name)).alias(f.name) for f in schema.fields])
+
+
+def _typed(field: T.StructField, found: T.DataType | None) -> Column:
+    if found is None:
+        return F.lit(None).cast(field.dataType)
+    if isinstance(field.dataType, T.TimestampType):
+        return as_timestamp(field.name, found)
+    if isinstance(field.dataType, T.BooleanType):
+        return normalise_bool(field.name)
+    if isinstance(field.dataType, T.IntegerType) and isinstance(found, T.StringType):
+        return F.col(field.name).try_cast(T.DecimalType(12, 2)).try_cast(field.dataType)   # "2" and "2.0"
+    return F.col(field.name).try_cast(field.dataType)
 
 
-def read_bronze(spark: SparkSession, root: str, fmt: str = "parquet"):
-    """The three Bronze tables under ``root`` (``order_items/`` …)."""
-    from .star import Bronze
+def read_bronze(spark: SparkSession, root: str, fmt: str = "parquet") -> Bronze:
+    """The three Bronze tables under ``root`` (``order_items/`` …), conformed to the declared schemas.
+
+    CSV lines that do not parse are kept as text in ``corrupt`` (source, line)
+    and stay out of the tables.
+    """
     root = root.rstrip("/")
-    if fmt == "csv":
-        return Bronze(read_csv(spark, f"{root}/order_items", schemas.ORDER_ITEMS),
-                      read_csv(spark, f"{root}/order_item_options", schemas.ORDER_ITEM_OPTIONS),
-                      read_csv(spark, f"{root}/date_dim", schemas.DATE_DIM))
-    return Bronze(read_parquet(spark, f"{root}/order_items"),
-                  read_parquet(spark, f"{root}/order_item_options"),
-                  read_parquet(spark, f"{root}/date_dim"))
+    tables = {"order_items": schemas.ORDER_ITEMS, "order_item_options": schemas.ORDER_ITEM_OPTIONS, "date_dim": schemas.DATE_DIM}
+    if fmt != "csv":
+        return Bronze(*[read_parquet(spark, f"{root}/{name}", schema) for name, schema in tables.items()])
+    good, corrupt = [], None
+    for name, schema in tables.items():
+        text = read_csv(spark, f"{root}/{name}", schema)
+        good.append(conform(text.filter(F.col(CORRUPT).isNull()), schema))
+        # Spark refuses a query that reads the corrupt column alone, so an empty part of another one goes with it.
+        other = F.substring(F.coalesce(F.col(schema.names[0]), F.lit("")), 1, 0)
+        bad = text.filter(F.col(CORRUPT).isNotNull()).select(F.lit(name).alias("source"), F.concat(F.col(CORRUPT), other).alias("line"))
+        corrupt = bad if corrupt is None else corrupt.unionByName(bad)
+    return Bronze(*good, corrupt=corrupt)

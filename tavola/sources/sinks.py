@@ -8,27 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+RECORDS_PER_FILE = 10_000_000
+
+
 def write_partitioned(df: DataFrame, path: str, column: str = "order_date", mode: str = "overwrite",
-                      dynamic: bool = False, max_records_per_file: int | None = None,
-                      legacy_format: bool = False, tasks: int | None = None) -> None:
-    """Write partitioned by ``column`` after one range shuffle on (column, row hash).
+                      dynamic: bool = False, max_records_per_file: int = RECORDS_PER_FILE,
+                      legacy_format: bool = False) -> None:
+    """Write partitioned by ``column``, rebalanced by its values.
 
     Without a shuffle every task writes a file into every partition value it
-    touches (tasks × values small files). Hash-repartitioning on the column
-    alone would send a hot value (one very large day) to a single task, and
-    AQE may coalesce it into one writer. A range shuffle on the column plus a
-    row hash, with an explicit task count, keeps values contiguous (few files
-    per value), packs small values together and splits a large value over
-    several tasks. ``dynamic=True`` replaces only the partition values present
-    in ``df``; ``max_records_per_file`` bounds file size.
+    touches (tasks × values small files). The rebalance hint shuffles once on
+    the column and lets adaptive execution set the tasks from the measured
+    sizes: small values are packed together, and one with a large share of the
+    rows is split over several tasks. ``dynamic=True`` replaces only the
+    partition values present in ``df``.
     """
     spark = df.sparkSession
-    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.xxhash64(*[F.col(c) for c in df.columns if c != column])
-    writer = (df.repartitionByRange(n, F.col(column), spread).write.mode(mode).partitionBy(column)
-              .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer = (df.hint("rebalance", column).write.mode(mode).partitionBy(column)
+              .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+              .option("maxRecordsPerFile", max_records_per_file))
     with _legacy_format(spark, legacy_format):
         writer.parquet(path)
 
@@ -50,31 +48,54 @@ def _legacy_format(spark: SparkSession, on: bool):
         spark.conf.set(key, before)
 
 
-def compact(spark: SparkSession, src: str, dst: str, files: int, partition_by: str | None = None) -> None:
-    """Rewrite ``src`` into ``files`` files at a new path ``dst`` (never in place)."""
+def compact(spark: SparkSession, src: str, dst: str, files: int | None = None, partition_by: str | None = None) -> None:
+    """Rewrite ``src`` into fewer files at a new path ``dst`` (never in place).
+
+    A partitioned table is rebalanced by its partition values, so that small
+    ones end in one file and a large one in several; another table goes into
+    ``files`` files, or as many as its size asks for.
+    """
     df = spark.read.parquet(src)
     if partition_by:
-        df.repartition(files, F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(dst)
+        write_partitioned(df, dst, partition_by)
     else:
-        df.repartition(files).write.mode("overwrite").parquet(dst)
+        (df.repartition(files) if files else df.hint("rebalance")).write.mode("overwrite").parquet(dst)
 
 
-def register_tables(spark: SparkSession, root: str, names, cache: bool = False) -> dict[str, DataFrame]:
-    """Expose written tables to SQL as temp views (partition columns discovered).
+def register_tables(spark: SparkSession, root: str, names, cache: bool = False, database: str | None = None) -> dict[str, DataFrame]:
+    """Expose written tables to SQL.
 
-    ``cache=True`` keeps them in executor memory/disk for repeated report
-    queries (Spark has no time-to-live: re-register after a refresh).
+    Temp views by default. With ``database`` they become external tables of the
+    session's catalog, which other sessions on the same metastore can query;
+    registering again picks up what was written since. ``cache=True`` keeps
+    them in executor memory and disk; a cached table of the same name is
+    dropped first, so that a refreshed table is never served from old blocks.
     """
     out = {}
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name in names:
-        df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-        df.createOrReplaceTempView(name)
+        path = f"{root.rstrip('/')}/{name}"
+        full = f"`{database}`.`{name}`" if database else f"`{name}`"
+        if spark.catalog.tableExists(full.replace("`", "")) and spark.catalog.isCached(full.replace("`", "")):
+            spark.catalog.uncacheTable(full.replace("`", ""))
+        if database:
+            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+            if _is_partitioned(spark, full):
+                spark.sql(f"MSCK REPAIR TABLE {full}")
+        else:
+            spark.read.parquet(path).createOrReplaceTempView(name)
         if cache:
-            spark.catalog.cacheTable(name)
-        out[name] = df
+            spark.catalog.cacheTable(full.replace("`", ""))
+        out[name] = spark.table(full)
     return out
 
 
+def _is_partitioned(spark: SparkSession, table: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(table.replace("`", "")))
+
+
 def read_silver(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """Silver sales, optionally only ``start <= order_date <= end`` (partition pruning)."""
     df = spark.read.parquet(path)

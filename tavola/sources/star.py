@@ -8,13 +8,12 @@ engines see the same Bronze rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import MONEY
+from .bronze import Bronze
 
 # Fixed values of the derivation rules.
 LOYALTY_SEGMENTS = ("BUILDING", "HOUSEHOLD")   # customers in these segments hold a loyalty card
@@ -30,15 +29,6 @@ TIEBREAK_COLUMNS = ("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
 DEDUP_ORDER = ("l_partkey", "l_suppkey", "item_quantity", "l_extendedprice", "l_shipdate")
 
 
-@dataclass
-class Bronze:
-    order_items: DataFrame
-    order_item_options: DataFrame
-    date_dim: DataFrame
-    dedup_order: tuple[str, ...] | None = None
-    drop_after_dedup: tuple[str, ...] = ()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -71,6 +61,27 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+# Which lines of the raw layout are defective.
+NULL_ORDER_EVERY, NULL_TIME_EVERY, BAD_PRICE_EVERY, BAD_QUANTITY_EVERY = 499, 97, 101, 89
+
+
+def null_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines where every 499th order has lost its id."""
+    items = order_items(spark, sf_dir)
+    return items.withColumn("order_id", F.when(F.col("order_id").cast("long") % NULL_ORDER_EVERY != 0, F.col("order_id")))
+
+
+def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as they may arrive: some without order id or time, with negative prices or no quantity."""
+    order = F.col("order_id").cast("long")
+    return (order_items(spark, sf_dir)
+            .withColumn("creation_time_utc", F.when(order % NULL_TIME_EVERY != 0, F.col("creation_time_utc")))
+            .withColumn("item_price", F.when(F.col("l_partkey") % BAD_PRICE_EVERY == 0, -F.col("item_price") - 1)
+                        .otherwise(F.col("item_price")).cast(MONEY))
+            .withColumn("item_quantity", F.when(F.col("l_suppkey") % BAD_QUANTITY_EVERY == 0, 0).otherwise(F.col("item_quantity")))
+            .withColumn("order_id", F.when(order % NULL_ORDER_EVERY != 0, F.col("order_id"))))
+
+
 def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change feed on order lines: every line row is an update at its ship date,
     and a returned line (flag ``R``) is a delete. ``seq`` orders the feed after

@@ -1,85 +1,160 @@
-"""Incremental ingest of change files: file stream → micro-batch merge → versioned state.
-
-New parquet files landing in ``source`` are read as a stream; each
-micro-batch is merged into the keyed state with ``operators.cdc``. Every
-batch writes a complete new state version as partition ``tavola_version=<batch>`` of
-``state_root`` (a new path, never the one being read). A version exists
-only once its write job has committed, and a replayed batch finds its
-version present and skips, so a restarted query is idempotent.
-``trigger(availableNow=True)`` processes everything present and stops —
-the daily refresh; ``processingTime`` keeps it running.
+"""Incremental ingest of change files: file stream → micro-batch merge → versioned, bucketed state.
+
+The keyed state lies in ``buckets`` hash buckets. Version n is a small commit
+file, ``commits/<n>``, that names for each bucket the data folder holding it;
+``data/<n>/bucket=<b>`` holds the buckets that batch n - 1 touched. A batch
+reads and rewrites only the buckets its keys fall into, writes its data
+(overwriting what a failed attempt left), and then creates the commit file
+under its final name in one step. A version without a commit file does not
+exist, so a batch replayed after a crash is applied in full, and one that was
+committed is skipped. Old commits beyond ``keep`` and data that no kept commit
+names are removed. Versions are listed from file names, never from data.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import latest_by_key, live, merge_changes
 
-VERSION = "tavola_version"   # partition column naming a state version
-
-
-def _version_path(state_root: str, version: int) -> str:
-    return f"{state_root.rstrip('/')}/{VERSION}={version}"
-
-
-def _all_versions(spark: SparkSession, state_root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(state_root)     # partition discovery: one `v` per committed version
-    except AnalysisException:
-        return None                               # nothing committed yet
+BUCKET = "tavola_bucket"
+BUCKETS, KEEP = 64, 3
+
+
+class StateStore:
+    """Commit files and data folders of one state, through the cluster's file system."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._jvm = spark._jvm
+        self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def _names(self, folder: str) -> list[int]:
+        path = self._path(folder)
+        if not self._fs.exists(path):
+            return []
+        return sorted(int(n) for n in (s.getPath().getName() for s in self._fs.listStatus(path)) if n.isdigit())
+
+    def versions(self) -> list[int]:
+        return self._names("commits")
+
+    def read_commit(self, version: int) -> dict:
+        stream = self._fs.open(self._path(f"commits/{version}"))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def commit(self, version: int, keys: Sequence[str], buckets: int, folders: dict[int, int]) -> None:
+        text = json.dumps({"keys": list(keys), "buckets": buckets, "folders": {str(b): v for b, v in sorted(folders.items())}})
+        draft = self._path(f"commits/_{version}")
+        out = self._fs.create(draft, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not self._fs.rename(draft, self._path(f"commits/{version}")):
+            raise OSError(f"could not commit version {version} of {self.root}")
+
+    def data(self, version: int) -> str:
+        return f"{self.root}/data/{version}"
+
+    def clean(self, keep: int) -> None:
+        versions = self.versions()
+        for v in versions[:-keep]:
+            self._fs.delete(self._path(f"commits/{v}"), False)
+        kept = versions[-keep:]
+        named = {v for k in kept for v in self.read_commit(k)["folders"].values()}
+        for v in self._names("data"):
+            if v not in named and v <= kept[-1]:
+                self._fs.delete(self._path(f"data/{v}"), True)
+
+
+def _with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def _read(store: StateStore, folders: dict[str, int], wanted: Sequence[int] | None = None) -> DataFrame | None:
+    """The named buckets (default: all) from their data folders."""
+    by_version: dict[int, list[int]] = {}
+    for bucket, version in folders.items():
+        if wanted is None or int(bucket) in wanted:
+            by_version.setdefault(version, []).append(int(bucket))
+    found = None
+    for version, buckets in sorted(by_version.items()):
+        part = store.spark.read.parquet(store.data(version)).filter(F.col(BUCKET).isin(buckets))   # folder pruning
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    return found
 
 
 def committed_versions(spark: SparkSession, state_root: str) -> list[int]:
-    df = _all_versions(spark, state_root)
-    if df is None or VERSION not in df.columns:
-        return []
-    return sorted(r[0] for r in df.select(VERSION).distinct().collect())   # one row per version
+    return StateStore(spark, state_root).versions()
 
 
 def read_state(spark: SparkSession, state_root: str, version: int | None = None) -> DataFrame | None:
-    df = _all_versions(spark, state_root)
-    if df is None:
+    """The state at a kept version (default: the latest), deletes included as tombstones."""
+    store = StateStore(spark, state_root)
+    versions = store.versions()
+    if not versions or (version is not None and version not in versions):
         return None
-    if version is None:
-        versions = committed_versions(spark, state_root)
-        if not versions:
-            return None
-        version = versions[-1]
-    return df.filter(F.col(VERSION) == version).drop(VERSION)    # partition pruning: one version read
+    state = _read(store, store.read_commit(versions[-1] if version is None else version)["folders"])
+    return None if state is None else state.drop(BUCKET)
+
 
+def _write(store: StateStore, version: int, rows: DataFrame) -> list[int]:
+    """Write bucketed rows as the data of a version; the buckets written."""
+    rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(store.data(version))
+    names = [s.getPath().getName() for s in store._fs.listStatus(store._path(f"data/{version}"))]
+    return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
-def write_initial_state(base: DataFrame, state_root: str) -> None:
+
+def write_initial_state(base: DataFrame, state_root: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
     """Version 0: the full-load snapshot the changes apply to."""
-    base.write.mode("overwrite").parquet(_version_path(state_root, 0))
+    store = StateStore(base.sparkSession, state_root)
+    written = _write(store, 0, _with_bucket(base, keys, buckets))
+    store.commit(0, keys, buckets, dict.fromkeys(written, 0))
+
+
+def merge_batch(batch: DataFrame, batch_id: int, state_root: str, keys: Sequence[str], order: Sequence[str],
+                buckets: int = BUCKETS, keep: int = KEEP) -> None:
+    """Apply one micro-batch as version ``batch_id + 1``."""
+    store = StateStore(batch.sparkSession, state_root)
+    done = store.versions()
+    if done and done[-1] > batch_id:
+        return                                       # replayed batch: committed before
+    folders: dict[str, int] = {}
+    if done:
+        last = store.read_commit(done[-1])
+        buckets, folders = last["buckets"], last["folders"]
+    changes = _with_bucket(batch, keys, buckets)
+    touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]   # at most `buckets`
+    current = _read(store, folders, touched)
+    merged = latest_by_key(changes, keys, order) if current is None else merge_changes(current, changes, keys, order)
+    written = _write(store, batch_id + 1, merged) if touched else []
+    store.commit(batch_id + 1, keys, buckets, {**{int(b): v for b, v in folders.items()}, **dict.fromkeys(written, batch_id + 1)})
+    store.clean(keep)
 
 
 def start_ingest(spark: SparkSession, source: str, schema: T.StructType, state_root: str, checkpoint: str,
                  keys: Sequence[str], order: Sequence[str], available_now: bool = True,
                  max_files_per_trigger: int | None = None, processing_time: str = "1 minute"):
-    """Start the stream; returns the ``StreamingQuery``."""
-    keys, order = list(keys), list(order)
-
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        done = committed_versions(s, state_root)
-        if batch_id + 1 in done:
-            return                                   # replayed batch: already applied
-        prior = [v for v in done if v <= batch_id]
-        current = read_state(s, state_root, prior[-1]) if prior else None
-        merged = latest_by_key(batch, keys, order) if current is None \
-            else merge_changes(current, batch, keys, order)
-        merged.write.mode("overwrite").parquet(_version_path(state_root, batch_id + 1))
+    """Start the stream; returns the ``StreamingQuery``.
 
+    ``available_now`` processes everything present and stops (the daily
+    refresh); otherwise a batch starts every ``processing_time``.
+    """
+    keys, order = list(keys), list(order)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    writer = (reader.parquet(source).writeStream.foreachBatch(merge_batch)
+    writer = (reader.parquet(source).writeStream
+              .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, state_root, keys, order))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -151,6 +151,21 @@ discount AS (
 )"""
 
 
-def with_ctes(body: str, *extra: str) -> str:
-    ctes = ",".join([BRONZE, SILVER, GOLD, *extra])
+# Defective order lines (same rules as sources.star).
+NULL_ORDERS = "SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 499 <> 0 THEN order_id END AS order_id) FROM f_items0"
+RAW_ITEMS = """SELECT * REPLACE (
+    CASE WHEN CAST(order_id AS BIGINT) % 499 <> 0 THEN order_id END AS order_id,
+    CASE WHEN CAST(order_id AS BIGINT) % 97 <> 0 THEN creation_time_utc END AS creation_time_utc,
+    CAST(CASE WHEN l_partkey % 101 = 0 THEN -item_price - 1 ELSE item_price END AS DECIMAL(12,2)) AS item_price,
+    CASE WHEN l_suppkey % 89 = 0 THEN 0 ELSE item_quantity END AS item_quantity) FROM f_items0"""
+OUTCOME = """CASE WHEN order_id IS NULL OR lineitem_id IS NULL THEN 'missing_key'
+    WHEN creation_time_utc IS NULL THEN 'missing_timestamp'
+    WHEN item_price IS NULL OR item_price < 0 THEN 'bad_price'
+    WHEN item_quantity IS NULL OR item_quantity <= 0 THEN 'bad_quantity' ELSE 'valid' END"""
+
+
+def with_ctes(body: str, *extra: str, items: str | None = None) -> str:
+    """The shared tables and ``body``; ``items`` derives other order lines from the usual ones (``f_items0``)."""
+    bronze = BRONZE if items is None else BRONZE.replace("f_items AS (", "f_items0 AS (", 1) + f",\nf_items AS ({items})"
+    ctes = ",".join([bronze, SILVER, GOLD, *extra])
     return f"WITH {ctes}\n{body}"

@@ -176,8 +176,8 @@ def q_order_metrics(spark, sf_dir):
     + dbl("monetary_value") + ", avg_gap_between_orders, " + r6("avg_spend_change_pct") + ", "
     + big("recency") + " FROM customer_base"))
 def q_customer_base(spark, sf_dir):
-    s = sales(spark, sf_dir)
-    base = M.customer_base(M.order_timeline(M.checkpointed(M.order_summary(s))), M.reference_date(s))
+    rollup = M.checkpointed(M.order_rollup(sales(spark, sf_dir)))
+    base = M.customer_base(M.order_timeline(M.registered(rollup)), M.reference_date(rollup))
     return comparable(base, round6=("avg_spend_change_pct",))
 
 

@@ -100,13 +100,14 @@ def high_tier_activity(intel: DataFrame) -> DataFrame:
 
 def high_tier_freq_hist(intel: DataFrame, bins: int = HIST_BINS) -> DataFrame:
     """Equal-width histogram of recent order counts among High-tier customers."""
-    h = high_tier(intel).select(F.col("frequency").cast("double").alias("f"))
-    lo, hi = h.agg(F.min("f"), F.max("f")).first()   # two scalars
-    lo_c, hi_c = F.lit(lo).cast("double"), F.lit(hi).cast("double")
-    width = (hi_c - lo_c) / F.lit(float(bins))
-    return (h.withColumn("bin", equal_width_bin(F.col("f"), lo_c, hi_c, bins))
-            .groupBy("bin").agg(F.count(F.lit(1)).alias("customers"))
-            .select("bin", (lo_c + (F.col("bin") - 1) * width).alias("bin_start"), "customers"))
+    # One pass over the customers: equal counts collapse first, then their few rows get the bounds.
+    h = high_tier(intel).groupBy(F.col("frequency").cast("double").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    every = Window.partitionBy(F.lit(0))
+    bounded = h.withColumn("lo", F.min("f").over(every)).withColumn("hi", F.max("f").over(every))
+    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    return (bounded.withColumn("bin", equal_width_bin(F.col("f"), F.col("lo"), F.col("hi"), bins))
+            .withColumn("bin_start", F.col("lo") + (F.col("bin") - 1) * width)
+            .groupBy("bin", "bin_start").agg(F.sum("n").alias("customers")))
 
 
 def winback_list(intel: DataFrame) -> DataFrame:
@@ -149,7 +150,7 @@ def select_locations(trends: DataFrame, locations: Sequence[str] | DataFrame | N
     if locations is None:
         locations = default_locations(trends)
     if isinstance(locations, DataFrame):
-        return trends.join(F.broadcast(locations.select("restaurant_id")), "restaurant_id", "left_semi")
+        return trends.join(locations.select("restaurant_id"), "restaurant_id", "left_semi")   # broadcast only if measured small
     return trends.filter(F.col("restaurant_id").isin(list(locations)))
 
 
@@ -300,10 +301,9 @@ def _intel(spark, sf_dir):
 
 
 def _rolling_and_intel(spark, sf_dir):
-    s = sales(spark, sf_dir)
-    summary = M.checkpointed(M.order_summary(s))
-    timeline = M.order_timeline(summary)
-    return M.customer_rolling_metrics(timeline), M.customer_intelligence(s, timeline=timeline)
+    rollup = M.checkpointed(M.order_rollup(sales(spark, sf_dir)))   # holds every sales date
+    timeline = M.order_timeline(M.registered(rollup))
+    return M.customer_rolling_metrics(timeline), M.customer_intelligence(rollup, timeline=timeline)
 
 
 def _trends(spark, sf_dir):

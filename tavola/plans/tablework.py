@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +11,15 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.dates import parse_date_key
 from ..operators.cdc import apply_changes
-from ..operators.quality import dq_report, validate_table
+from ..operators.materialize import materialize
+from ..operators.quality import dq_report, split_valid, validate_table
 from ..session import ensure_checkpoint_dir
-from ..sources import star
+from ..sources import sinks, star
+from ..sources.bronze import read_bronze, read_parquet
 from ..streaming import ingest
 from . import clean as C
+from . import metrics as M
+from .oracle_sql import NULL_ORDERS, OUTCOME, RAW_ITEMS
 from .registry import big, bronze, comparable, dbl, gold, register, sales, silver, with_ctes
 
 
@@ -80,10 +85,10 @@ def q_cdc_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same change feed landed as files and applied by the incremental stream."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tavola-cdc-{uuid.uuid4().hex}"
     changes = star.item_changes(spark, sf_dir)
-    changes.repartition(4, "order_id").write.parquet(f"{root}/source")
-    ingest.write_initial_state(change_base(_clean_items(spark, sf_dir)), f"{root}/state")
+    changes.write.parquet(f"{root}/source")
+    ingest.write_initial_state(change_base(_clean_items(spark, sf_dir)), f"{root}/state", schemas.ITEM_KEYS)
     q = ingest.start_ingest(spark, f"{root}/source", changes.schema, f"{root}/state", f"{root}/checkpoint",
-                            schemas.ITEM_KEYS, star.CHANGE_ORDER, available_now=True, max_files_per_trigger=1)
+                            schemas.ITEM_KEYS, star.CHANGE_ORDER, available_now=True)
     q.awaitTermination()
     return comparable(ingest.current_rows(spark, f"{root}/state").select(*CDC_OUT))
 
@@ -109,14 +114,76 @@ def q_ingest_validation(spark, sf_dir):
                                         schemas.DATE_DIM)))
 
 
-@register("dq_report", with_ctes(
-    "SELECT CASE WHEN order_id IS NULL OR lineitem_id IS NULL THEN 'missing_key'"
-    " WHEN creation_time_utc IS NULL THEN 'missing_timestamp'"
-    " WHEN item_price IS NULL OR item_price < 0 THEN 'bad_price'"
-    " WHEN item_quantity IS NULL OR item_quantity <= 0 THEN 'bad_quantity' ELSE 'valid' END AS outcome,"
-    " CAST(count(*) AS BIGINT) AS rows FROM f_items GROUP BY 1"))
+@register("dq_report", with_ctes(f"SELECT {OUTCOME} AS outcome, CAST(count(*) AS BIGINT) AS rows FROM f_items GROUP BY 1",
+                                 items=RAW_ITEMS))
 def q_dq_report(spark, sf_dir):
-    return dq_report(bronze(spark, sf_dir).order_items)
+    return dq_report(star.raw_order_items(spark, sf_dir))
+
+
+@register("quarantine_items", with_ctes(
+    f"SELECT {OUTCOME} AS reject_reason, lineitem_id, " + dbl("item_price") + ", " + big("item_quantity") + ", item_name"
+    " FROM f_items WHERE reject_reason <> 'valid'", items=RAW_ITEMS))
+def q_quarantine_items(spark, sf_dir):
+    """Rejected order lines, read back from the written quarantine."""
+    path = _folder(spark, "quarantine")
+    sinks.write_table(split_valid(star.raw_order_items(spark, sf_dir))[1], path)
+    return comparable(spark.read.parquet(path).select("reject_reason", "lineitem_id", "item_price", "item_quantity", "item_name"))
+
+
+def _defective_sales(spark, sf_dir):
+    return C.clean(replace(bronze(spark, sf_dir), order_items=star.null_order_items(spark, sf_dir)))[0]
+
+
+@register("discount_null_orders", with_ctes(
+    "SELECT " + big("is_discounted") + ", " + big("order_count") + ", " + dbl("total_revenue") + ", avg_order_value FROM discount",
+    items=NULL_ORDERS))
+def q_discount_null_orders(spark, sf_dir):
+    """Discount effectiveness where some lines have no order id."""
+    return comparable(M.discount_effectiveness(_defective_sales(spark, sf_dir)))
+
+
+def _folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tavola-{name}-{uuid.uuid4().hex[:12]}"
+
+
+@register("utc_order_dates", with_ctes(
+    "SELECT CAST(creation_time_utc - INTERVAL 330 MINUTE AS DATE) AS order_date, CAST(count(*) AS BIGINT) AS lines FROM items GROUP BY 1"))
+def q_utc_order_dates(spark, sf_dir):
+    """Order dates of lines whose times were recorded at UTC+05:30."""
+    b = bronze(spark, sf_dir)
+    items = C.clean_order_items(C.to_utc_times(b.order_items, "+05:30"), b.dedup_order, b.drop_after_dedup)
+    return items.groupBy("order_date").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@register("csv_bronze_sales", with_ctes(
+    "SELECT order_id, is_loyalty, CAST(sum(total_line_item_revenue) AS DOUBLE) AS revenue, CAST(count(*) AS BIGINT) AS lines"
+    " FROM sales GROUP BY ALL"))
+def q_csv_bronze_sales(spark, sf_dir):
+    """Bronze exported as CSV, read back as text, typed, cleaned and joined."""
+    root, b = _folder(spark, "csv"), bronze(spark, sf_dir)
+    items = C.dedup_order_items(b.order_items, b.dedup_order).drop(*b.drop_after_dedup)
+    for name, df in (("order_items", items), ("order_item_options", b.order_item_options), ("date_dim", b.date_dim)):
+        df.write.option("header", "true").csv(f"{root}/{name}")
+    s = C.clean(read_bronze(spark, root, "csv"))[0]
+    return comparable(s.groupBy("order_id", "is_loyalty").agg(F.sum("total_line_item_revenue").alias("revenue"),
+                                                              F.count(F.lit(1)).alias("lines")))
+
+
+@register("parquet_drift_items", with_ctes(
+    "SELECT CASE WHEN is_loyalty THEN user_id END AS user_id, is_loyalty, CAST(sum(item_quantity) AS BIGINT) AS quantity,"
+    " CAST(sum(item_price) AS DOUBLE) AS price FROM f_items GROUP BY ALL"))
+def q_parquet_drift_items(spark, sf_dir):
+    """Nested folders of two layouts: the older one has upper-case names, booleans as numbers and no user id."""
+    root, items = _folder(spark, "drift"), bronze(spark, sf_dir).order_items
+    fields = [f.name for f in schemas.ORDER_ITEMS.fields]
+    old = items.filter(~F.col("is_loyalty")).select(*[F.col(c).alias(c.upper()) for c in fields if c not in ("user_id", "is_loyalty")],
+                                                    F.lit("0").alias("IS_LOYALTY"))
+    old.write.parquet(f"{root}/2023/12/31")
+    items.filter("is_loyalty").select(*[F.col(c).cast("string") if c == "is_loyalty" else F.col(c) for c in fields]) \
+        .write.parquet(f"{root}/2024/01/01")
+    got = read_parquet(spark, root, schemas.ORDER_ITEMS, merge_schema=True)
+    return comparable(got.groupBy("user_id", "is_loyalty").agg(F.sum("item_quantity").alias("quantity"),
+                                                               F.sum("item_price").alias("price")))
 
 
 @register("sales_by_calendar", with_ctes(
@@ -161,7 +228,79 @@ RANGE = ("2000-01-01", "2000-03-31")   # fixed value: the date-scoped report's q
     " CAST(count(DISTINCT order_id) AS BIGINT) AS orders FROM sales"
     f" WHERE order_date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' GROUP BY order_date"))
 def q_sales_by_date_range(spark, sf_dir):
-    s = sales(spark, sf_dir).filter(F.col("order_date").between(F.lit(RANGE[0]).cast("date"),
-                                                                 F.lit(RANGE[1]).cast("date")))
+    """A quarter of written Silver: only its date folders are read."""
+    path = _folder(spark, "silver")
+    sinks.write_partitioned(sales(spark, sf_dir), path, "order_date")
+    s = sinks.read_silver(spark, path, *RANGE)
     return comparable(s.groupBy("order_date").agg(F.sum("total_line_item_revenue").alias("revenue"),
                                                    F.count_distinct("order_id").alias("orders")))
+
+
+def _quarter(spark, sf_dir):
+    s = sales(spark, sf_dir).filter(F.col("order_date").between(*[F.lit(d).cast("date") for d in RANGE]))
+    return s.groupBy("order_date", "restaurant_id").agg(F.sum("total_line_item_revenue").alias("revenue"))
+
+
+QUARTER = ("SELECT order_date, restaurant_id, CAST({} * sum(total_line_item_revenue) AS DOUBLE) AS revenue FROM sales"
+           f" WHERE order_date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' {{}} GROUP BY order_date, restaurant_id")
+
+
+def _rewritten(spark, sf_dir, dynamic: bool) -> DataFrame:
+    path = _folder(spark, "overwrite")
+    quarter = materialize(_quarter(spark, sf_dir), "quarter")
+    sinks.write_partitioned(quarter, path, "order_date")
+    march = quarter.filter(F.month("order_date") == 3).withColumn("revenue", (F.col("revenue") * 2).cast(quarter.schema["revenue"].dataType))
+    sinks.write_partitioned(march, path, "order_date", dynamic=dynamic)
+    return comparable(spark.read.parquet(path).select("order_date", "restaurant_id", "revenue"))
+
+
+@register("overwrite_dynamic", with_ctes(QUARTER.format("CASE WHEN month(order_date) = 3 THEN 2 ELSE 1 END", "")))
+def q_overwrite_dynamic(spark, sf_dir):
+    """March rewritten in place, the other days kept."""
+    return _rewritten(spark, sf_dir, dynamic=True)
+
+
+@register("overwrite_static", with_ctes(QUARTER.format("2", "AND month(order_date) = 3")))
+def q_overwrite_static(spark, sf_dir):
+    """A static overwrite leaves only what the second write held."""
+    return _rewritten(spark, sf_dir, dynamic=False)
+
+
+SUMMARY_SQL = with_ctes("SELECT is_loyalty, CAST(sum(order_revenue) AS DOUBLE) AS revenue, CAST(count(*) AS BIGINT) AS orders"
+                        " FROM order_summary GROUP BY is_loyalty")
+
+
+def _summary_written(spark, sf_dir, legacy: bool) -> DataFrame:
+    path = _folder(spark, "plain")
+    for _ in range(2):   # the second write replaces the first
+        sinks.write_table(M.order_summary(sales(spark, sf_dir)), path, legacy_format=legacy)
+    return comparable(spark.read.parquet(path).groupBy("is_loyalty").agg(F.sum("order_revenue").alias("revenue"),
+                                                                         F.count(F.lit(1)).alias("orders")))
+
+
+@register("write_plain_table", SUMMARY_SQL)
+def q_write_plain_table(spark, sf_dir):
+    return _summary_written(spark, sf_dir, legacy=False)
+
+
+@register("write_legacy_table", SUMMARY_SQL)
+def q_write_legacy_table(spark, sf_dir):
+    return _summary_written(spark, sf_dir, legacy=True)
+
+
+@register("compacted_quarter", with_ctes(QUARTER.format("1", "")))
+def q_compacted_quarter(spark, sf_dir):
+    """A table of many small files compacted by day."""
+    path = _folder(spark, "compact")
+    _quarter(spark, sf_dir).write.partitionBy("order_date").parquet(f"{path}/many")
+    sinks.compact(spark, f"{path}/many", f"{path}/few", partition_by="order_date")
+    return comparable(spark.read.parquet(f"{path}/few").select("order_date", "restaurant_id", "revenue"))
+
+
+@register("catalog_daily_revenue", with_ctes(QUARTER.format("1", "")))
+def q_catalog_daily_revenue(spark, sf_dir):
+    """A written table queried through the catalog."""
+    path = _folder(spark, "catalog")
+    sinks.write_partitioned(_quarter(spark, sf_dir), f"{path}/daily_revenue", "order_date")
+    sinks.register_tables(spark, path, ["daily_revenue"], database="tavola_reports")
+    return comparable(spark.sql("SELECT order_date, restaurant_id, revenue FROM tavola_reports.daily_revenue"))

@@ -40,7 +40,7 @@ def test_streaming_ingest_equals_batch(spark, tmp_out):
     base = feed(spark, [("a", 1, 1, "I"), ("b", 1, 1, "I")])
     changes = feed(spark, [("a", 2, 2, "U"), ("b", 0, 3, "D"), ("c", 5, 2, "I"), ("a", 7, 4, "U")])
     changes.repartition(3).write.parquet(f"{tmp_out}/src")
-    ingest.write_initial_state(base, f"{tmp_out}/state")
+    ingest.write_initial_state(base, f"{tmp_out}/state", ["k"])
     for _ in range(2):   # second run: nothing new, state unchanged (replay-safe)
         q = ingest.start_ingest(spark, f"{tmp_out}/src", changes.schema, f"{tmp_out}/state", f"{tmp_out}/ckpt",
                                 ["k"], ["commit_ts"], max_files_per_trigger=1)
@@ -50,6 +50,36 @@ def test_streaming_ingest_equals_batch(spark, tmp_out):
     assert got == want == {"a": 7, "c": 5}
 
 
+def test_replay_after_a_crash_applies_the_whole_batch(spark, tmp_out):
+    from tavola.streaming import ingest
+    root = f"{tmp_out}/state"
+    ingest.write_initial_state(feed(spark, [("a", 1, 1, "I"), ("b", 1, 1, "I")]), root, ["k"], buckets=4)
+    batch = feed(spark, [("a", 5, 2, "U"), ("c", 9, 2, "I")])
+    # A crash while version 1 was being written: some data, no commit file.
+    ingest._with_bucket(batch.limit(1), ["k"], 4).write.partitionBy(ingest.BUCKET).parquet(f"{root}/data/1")
+    assert ingest.committed_versions(spark, root) == [0]
+    rows = lambda: {r["k"]: r["v"] for r in ingest.current_rows(spark, root).collect()}
+    assert rows() == {"a": 1, "b": 1}
+    ingest.merge_batch(batch, 0, root, ["k"], ["commit_ts"])
+    assert rows() == {"a": 5, "b": 1, "c": 9}
+    ingest.merge_batch(feed(spark, [("a", 0, 9, "D")]), 0, root, ["k"], ["commit_ts"])   # committed before: skipped
+    assert rows() == {"a": 5, "b": 1, "c": 9}
+
+
+def test_versions_are_kept_for_a_while_and_only_touched_buckets_rewritten(spark, tmp_out):
+    from tavola.streaming import ingest
+    root = f"{tmp_out}/state"
+    ingest.write_initial_state(feed(spark, [(f"k{i}", i, 1, "I") for i in range(50)]), root, ["k"], buckets=8)
+    for n in range(6):
+        ingest.merge_batch(feed(spark, [("k7", 100 + n, 2 + n, "U")]), n, root, ["k"], ["commit_ts"], keep=2)
+    assert ingest.committed_versions(spark, root) == [5, 6]
+    folders = sorted(os.listdir(f"{root}/data"))
+    assert folders == ["0", "5", "6"] and len([d for d in os.listdir(f"{root}/data/6") if d.startswith(ingest.BUCKET)]) == 1
+    rows = {r["k"]: r["v"] for r in ingest.current_rows(spark, root).collect()}
+    assert len(rows) == 50 and rows["k7"] == 105
+    assert {r["k"]: r["v"] for r in ingest.read_state(spark, root, 5).collect()}["k7"] == 104
+
+
 def test_quality_rules_split_and_report(spark):
     from frames import items_frame
     df = items_frame(spark, [("o1", "l1", "u", "2024-01-01", True, "A", "1.00", 1),
@@ -88,12 +118,86 @@ def test_bronze_readers_nested_layout_and_csv(spark, tmp_out):
         fh.write("ORDER_ID,LINEITEM_ID,OPTION_GROUP_NAME,OPTION_NAME,OPTION_PRICE,OPTION_QUANTITY\n")
         fh.write("o1,l1,g,x,1.50,2\no2,l1,g,y,oops,1\n")
     from tavola.plans.clean import clean_order_item_options
-    opts = clean_order_item_options(read_csv(spark, f"{tmp_out}/csv", schemas.ORDER_ITEM_OPTIONS)
-                                    .drop("_corrupt_record").withColumn("option_quantity", F.col("option_quantity").cast("int")))
+    from tavola.sources.bronze import conform
+    opts = clean_order_item_options(conform(read_csv(spark, f"{tmp_out}/csv", schemas.ORDER_ITEM_OPTIONS), schemas.ORDER_ITEM_OPTIONS))
     prices = sorted((r["order_id"], r["option_price"]) for r in opts.collect())
     assert str(prices[0][1]) == "1.50" and prices[1][1] is None
 
 
+def test_csv_bronze_runs_through_the_pipeline(spark, tmp_out):
+    from tavola.plans.pipeline import run_pipeline
+    from tavola.sources.bronze import read_bronze
+    files = {
+        "order_items": ["APP_NAME,RESTAURANT_ID,CREATION_TIME_UTC,ORDER_ID,USER_ID,PRINTED_CARD_NUMBER,IS_LOYALTY,CURRENCY,"
+                        "LINEITEM_ID,ITEM_CATEGORY,ITEM_NAME,ITEM_PRICE,ITEM_QUANTITY",
+                        "app,R1,2024-01-01T10:00:00.000Z,o1,u1,,True,USD,l1,Cat,Soup,4.50,2",
+                        "app,R1,2024-01-01 11:00:00,o1,u1,,1,USD,l2,Cat,Tea,oops,1",
+                        "app,R1,2024-01-02 11:00:00,o2,,,false,USD,l1,Cat,Tea,3.00,many",
+                        "app,R2,2024-01-02 11:00:00,o3,u2,,0,USD,l1,Cat,Tea,3.00,1", "too,short"],
+        "order_item_options": ["ORDER_ID,LINEITEM_ID,OPTION_GROUP_NAME,OPTION_NAME,OPTION_PRICE,OPTION_QUANTITY",
+                               "o1,l1,g,x,1.50,2", "o3,l1,g,y,bad,1"],
+        "date_dim": ["DATE_KEY,DAY_OF_WEEK,WEEK,MONTH,YEAR,IS_WEEKEND,IS_HOLIDAY,HOLIDAY_NAME", "01-01-2024,Monday,1,January,2024,False,True,New Year"],
+    }
+    for name, lines in files.items():
+        os.makedirs(f"{tmp_out}/bronze/{name}")
+        with open(f"{tmp_out}/bronze/{name}/part.csv", "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    bronze = read_bronze(spark, f"{tmp_out}/bronze", "csv")
+    run_pipeline(spark, bronze, f"{tmp_out}/out")
+    sales = spark.read.parquet(f"{tmp_out}/out/silver/sales_fact")
+    assert dict(sales.dtypes)["item_total"].startswith("decimal")
+    got = sorted((r["order_id"], str(r["item_total"]), str(r["option_total"]), r["is_loyalty"]) for r in sales.collect())
+    assert got == [("o1", "9.00", "3.00", True), ("o3", "3.00", "0.00", False)]
+    reasons = sorted(r["reject_reason"] for r in spark.read.parquet(f"{tmp_out}/out/quarantine/order_items").collect())
+    assert reasons == ["bad_price", "bad_quantity"]
+    assert [r["line"] for r in spark.read.parquet(f"{tmp_out}/out/quarantine/corrupt").collect()] == ["too,short"]
+    assert spark.read.parquet(f"{tmp_out}/out/silver/date_dim").first()["is_holiday"] is True
+
+
+def test_quarantine_and_silver_hold_every_line_once(spark, tmp_out):
+    from frames import items_frame, options_frame
+    from tavola.plans.pipeline import clean_job
+    from tavola.sources.bronze import Bronze
+    rows = [("o1", "l1", "u", "2024-01-01", True, "A", "1.00", 1), ("o2", None, "u", "2024-01-01", True, "A", "1.00", 1),
+            ("o3", "l1", "u", None, True, "A", "1.00", 1), ("o4", "l1", "u", "2024-01-01", True, "A", "-1.00", 1)]
+    dates = spark.createDataFrame([], "date_key string, day_of_week string, week int, month string, year int, is_weekend boolean,"
+                                      " is_holiday boolean, holiday_name string")
+    bronze = Bronze(items_frame(spark, rows), options_frame(spark, []), dates)
+    paths = clean_job(spark, bronze, tmp_out, source_tz="Europe/Berlin")
+    sales, rejected = (spark.read.parquet(paths[k]) for k in ("sales_fact", "quarantine"))
+    assert sales.count() + rejected.count() == len(rows) and rejected.count() == 3
+    assert sales.first()["creation_time_utc"] == dt.datetime(2024, 1, 1, 11)
+
+
+def test_no_stale_rows_and_nothing_left_persisted(spark, tmp_out):
+    import shutil
+    from tavola.plans.registry import all_queries
+    for name in ("lineitem", "orders", "customer", "part"):
+        shutil.copy(f"{SF0001}/{name}.parquet", f"{tmp_out}/{name}.parquet")
+    run = lambda: sorted(map(str, all_queries()["sales_fact_dedup_options"](spark, tmp_out).collect()))
+    before = run()
+    import pyarrow.parquet as pq
+    lines = pq.read_table(f"{SF0001}/lineitem.parquet")
+    os.chmod(f"{tmp_out}/lineitem.parquet", 0o644)
+    pq.write_table(lines.slice(0, lines.num_rows // 3), f"{tmp_out}/lineitem.parquet")
+    spark.catalog.refreshByPath(tmp_out)
+    after = run()
+    assert 0 < len(after) < len(before)
+    fresh = all_queries()["sales_fact_dedup_options"](spark.newSession(), tmp_out)
+    assert after == sorted(map(str, fresh.collect()))
+    all_queries()["customer_rolling_metrics"](spark, tmp_out).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_hot_line_is_salted_without_losing_rows(spark):
+    from tavola.operators.joins import hot_keys, left_join_fanout
+    left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, v int")
+    right = spark.createDataFrame([("a", i) for i in range(500)] + [("b", 1), (None, 9), ("d", 7)], "k string, o int")
+    plain = sorted(map(str, left_join_fanout(left, right, ["k"]).collect()))
+    salted = sorted(map(str, left_join_fanout(left, right, ["k"], hot_keys(right, ["k"], 50)).collect()))
+    assert plain == salted and len(plain) == 503
+
+
 def test_pipeline_writes_partitioned_silver_and_gold(spark, tmp_out):
     from tavola.plans.pipeline import run_pipeline
     from tavola.schemas import GOLD_TABLES
@@ -147,7 +251,11 @@ def test_partitioned_write_splits_a_hot_day(spark, tmp_out):
     hot = [(_dt.date(2024, 1, 1), i) for i in range(4000)]
     small = [(_dt.date(2024, 1, d), i) for d in range(2, 12) for i in range(10)]
     df = spark.createDataFrame(hot + small, "order_date date, v int")
-    write_partitioned(df, f"{tmp_out}/t", "order_date", tasks=8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        write_partitioned(df.repartition(16), f"{tmp_out}/t", "order_date")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = lambda d: [f for f in os.listdir(f"{tmp_out}/t/order_date={d}") if f.endswith(".parquet")]
     assert len(files("2024-01-01")) >= 3                      # the hot day is written by several tasks
     assert all(len(files(f"2024-01-{d:02d}")) == 1 for d in range(2, 12))   # small days stay in one file

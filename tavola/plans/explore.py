@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.profile import column_profile, non_null_counts
 from ..sources import star
+from .oracle_sql import COMPED
 from .registry import comparable, register, with_ctes
 
 
@@ -131,9 +132,9 @@ def q_options_sometimes_free(spark, sf_dir):
 
 @register("options_always_free", with_ctes(
     "SELECT option_name FROM f_opts WHERE option_price = 0 EXCEPT SELECT option_name FROM f_opts "
-    "WHERE option_price > 0"))
+    "WHERE option_price > 0", options=COMPED))
 def q_options_always_free(spark, sf_dir):
-    return options_always_free(star.order_item_options(spark, sf_dir))
+    return options_always_free(star.comped_options(spark, sf_dir))
 
 
 @register("option_price_sets", with_ctes(
@@ -144,9 +145,9 @@ def q_options_always_free(spark, sf_dir):
     " CAST((SELECT count(*) FROM (SELECT option_name FROM f_opts WHERE option_price = 0 INTERSECT"
     " SELECT option_name FROM f_opts WHERE option_price > 0)) AS BIGINT) AS overlap_names,"
     " CAST((SELECT count(*) FROM (SELECT option_name FROM f_opts WHERE option_price = 0 EXCEPT"
-    " SELECT option_name FROM f_opts WHERE option_price > 0)) AS BIGINT) AS always_free_names"))
+    " SELECT option_name FROM f_opts WHERE option_price > 0)) AS BIGINT) AS always_free_names", options=COMPED))
 def q_option_price_sets(spark, sf_dir):
-    return option_price_sets(star.order_item_options(spark, sf_dir))
+    return option_price_sets(star.comped_options(spark, sf_dir))
 
 
 @register("user_membership_counts", with_ctes(

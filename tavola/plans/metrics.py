@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +12,19 @@ from ..functions.numeric import pct_change, ratio
 from ..operators.ordering import Key, RangeConfig, grouped_scan, multi_ntile
 from .clean import GUEST
 
-# Fixed values of the customer model.
-LOOKBACK_MONTHS = 6          # "recent" window for frequency and monetary value
-CHURN_DAYS = 45              # recency above this is "At Risk" / "Churn Risk"
-TILES = 5                    # quintile scores
+@dataclass(frozen=True)
+class CustomerModel:
+    """Bounds of the customer model. The defaults are fixed values of the source pipeline."""
+
+    lookback_months: int = 6     # "recent" window for frequency and monetary value
+    churn_days: int = 45         # recency above this is "At Risk" / "Churn Risk"
+    tiles: int = 5               # quantile scores run from 1 to this
+    high_from: int = 4           # scores from here are high (VIP, and a recent New Customer)
+    rare_to: int = 2             # frequency scores up to here are rare (New Customer)
+    medium_from: int = 2         # CLV scores from here are Medium, the top score is High
+
+
+MODEL = CustomerModel()
 ORDER_KEYS = ("user_id", "order_id", "order_date")
 TIMELINE = (Key("order_date"), Key("order_id"))   # per-customer order; order_id breaks same-day ties
 
@@ -89,10 +99,10 @@ def reference_date(sales: DataFrame) -> _dt.date | None:
     return sales.agg(F.max("order_date")).first()[0]
 
 
-def customer_base(metrics: DataFrame, as_of: _dt.date | None) -> DataFrame:
+def customer_base(metrics: DataFrame, as_of: _dt.date | None, model: CustomerModel = MODEL) -> DataFrame:
     """Per-customer spend, recent frequency/monetary value, gaps and recency."""
     ref = F.lit(as_of).cast("date")
-    recent = F.col("order_date") >= F.add_months(ref, -LOOKBACK_MONTHS)
+    recent = F.col("order_date") >= F.add_months(ref, -model.lookback_months)
     zero = F.lit(0).cast("decimal(38,2)")
     base = metrics.groupBy("user_id").agg(
         F.max("order_date").alias("last_purchase_date"),
@@ -108,7 +118,7 @@ def customer_base(metrics: DataFrame, as_of: _dt.date | None) -> DataFrame:
             .withColumn("monetary_value", F.coalesce("monetary_value", zero)))
 
 
-def rfm_scores(base: DataFrame, cfg: RangeConfig = RangeConfig()) -> DataFrame:
+def rfm_scores(base: DataFrame, cfg: RangeConfig = RangeConfig(), model: CustomerModel = MODEL) -> DataFrame:
     """Quintiles: recency (most recent = 5, null last), frequency, 6-month and all-time spend.
 
     Ties are broken by ``user_id`` so scores do not depend on input order.
@@ -116,18 +126,19 @@ def rfm_scores(base: DataFrame, cfg: RangeConfig = RangeConfig()) -> DataFrame:
     uid = Key("user_id")
     return multi_ntile(base, {"r_score": [Key("recency", ascending=False), uid], "f_score": [Key("frequency"), uid],
                               "m_score": [Key("monetary_value"), uid], "clv_score": [Key("current_clv"), uid]},
-                       TILES, cfg)
+                       model.tiles, cfg)
 
 
-def label_customers(scored: DataFrame) -> DataFrame:
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
+def label_customers(scored: DataFrame, model: CustomerModel = MODEL) -> DataFrame:
+    """CLV tier, churn status and segment from the scores and the recency."""
+    r, f, m, clv = (F.col(f"{k}_score") for k in ("r", "f", "m", "clv"))
+    lapsed = F.col("recency") > model.churn_days
+    vip = (r >= model.high_from) & (f >= model.high_from) & (m >= model.high_from)
+    newcomer = (f <= model.rare_to) & (r >= model.high_from)
     return (scored
-            .withColumn("clv_tier", F.when(F.col("clv_score") == 5, "High")
-                        .when(F.col("clv_score") >= 2, "Medium").otherwise("Low"))
-            .withColumn("churn_status", F.when(F.col("recency") > CHURN_DAYS, "At Risk").otherwise("Active"))
-            .withColumn("segment", F.when((r >= 4) & (f >= 4) & (m >= 4), "VIP")
-                        .when((f <= 2) & (r >= 4), "New Customer")
-                        .when(F.col("recency") > CHURN_DAYS, "Churn Risk")
+            .withColumn("clv_tier", F.when(clv == model.tiles, "High").when(clv >= model.medium_from, "Medium").otherwise("Low"))
+            .withColumn("churn_status", F.when(lapsed, "At Risk").otherwise("Active"))
+            .withColumn("segment", F.when(vip, "VIP").when(newcomer, "New Customer").when(lapsed, "Churn Risk")
                         .otherwise("Standard")))
 
 
@@ -137,7 +148,8 @@ CUSTOMER_COLUMNS = ("user_id", "last_purchase_date", "current_clv", "frequency",
 
 
 def customer_intelligence(sales: DataFrame, as_of: _dt.date | None = None, *,
-                          timeline: DataFrame | None = None, cfg: RangeConfig = RangeConfig()) -> DataFrame:
+                          timeline: DataFrame | None = None, cfg: RangeConfig = RangeConfig(),
+                          model: CustomerModel = MODEL) -> DataFrame:
     """RFM scores, CLV tier, churn flag and segment per registered customer."""
     if timeline is None:
         # One pass over sales serves both the reference date and the timeline.
@@ -146,8 +158,8 @@ def customer_intelligence(sales: DataFrame, as_of: _dt.date | None = None, *,
         timeline = order_timeline(registered(rollup), cfg)
     elif as_of is None:
         as_of = reference_date(sales)
-    base = checkpointed(customer_base(timeline, as_of))
-    return label_customers(rfm_scores(base, cfg)).select(*CUSTOMER_COLUMNS)
+    base = checkpointed(customer_base(timeline, as_of, model))
+    return label_customers(rfm_scores(base, cfg, model), model).select(*CUSTOMER_COLUMNS)
 
 
 # --- location, loyalty, discount -------------------------------------------

@@ -158,14 +158,22 @@ RAW_ITEMS = """SELECT * REPLACE (
     CASE WHEN CAST(order_id AS BIGINT) % 97 <> 0 THEN creation_time_utc END AS creation_time_utc,
     CAST(CASE WHEN l_partkey % 101 = 0 THEN -item_price - 1 ELSE item_price END AS DECIMAL(12,2)) AS item_price,
     CASE WHEN l_suppkey % 89 = 0 THEN 0 ELSE item_quantity END AS item_quantity) FROM f_items0"""
+RECENT = """SELECT * FROM f_items0 WHERE datediff('day', CAST(creation_time_utc AS DATE), (SELECT CAST(max(o_orderdate) AS DATE) FROM orders))
+    <= CASE WHEN CAST(user_id AS BIGINT) % 3 = 0 THEN 30 ELSE 180 END"""
+COMPED = """SELECT * REPLACE (CAST(CASE WHEN option_group_name = 'A' AND option_quantity = 2 THEN 0 ELSE option_price END
+    AS DECIMAL(12,2)) AS option_price) FROM f_opts0"""
 OUTCOME = """CASE WHEN order_id IS NULL OR lineitem_id IS NULL THEN 'missing_key'
     WHEN creation_time_utc IS NULL THEN 'missing_timestamp'
     WHEN item_price IS NULL OR item_price < 0 THEN 'bad_price'
     WHEN item_quantity IS NULL OR item_quantity <= 0 THEN 'bad_quantity' ELSE 'valid' END"""
 
 
-def with_ctes(body: str, *extra: str, items: str | None = None) -> str:
-    """The shared tables and ``body``; ``items`` derives other order lines from the usual ones (``f_items0``)."""
-    bronze = BRONZE if items is None else BRONZE.replace("f_items AS (", "f_items0 AS (", 1) + f",\nf_items AS ({items})"
+def with_ctes(body: str, *extra: str, items: str | None = None, options: str | None = None) -> str:
+    """The shared tables and ``body``; ``items`` and ``options`` derive other Bronze rows from the usual ones
+    (``f_items0``, ``f_opts0``)."""
+    bronze = BRONZE
+    for name, derived in (("f_items", items), ("f_opts", options)):
+        if derived is not None:
+            bronze = bronze.replace(f"{name} AS (", f"{name}0 AS (", 1) + f",\n{name} AS ({derived})"
     ctes = ",".join([bronze, SILVER, GOLD, *extra])
     return f"WITH {ctes}\n{body}"

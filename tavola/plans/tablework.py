@@ -19,7 +19,7 @@ from ..sources.bronze import read_bronze, read_parquet
 from ..streaming import ingest
 from . import clean as C
 from . import metrics as M
-from .oracle_sql import NULL_ORDERS, OUTCOME, RAW_ITEMS
+from .oracle_sql import NULL_ORDERS, OUTCOME, RAW_ITEMS, RECENT
 from .registry import big, bronze, comparable, dbl, gold, register, sales, silver, with_ctes
 
 
@@ -142,6 +142,14 @@ def q_discount_null_orders(spark, sf_dir):
     return comparable(M.discount_effectiveness(_defective_sales(spark, sf_dir)))
 
 
+@register("segments_of_recent_orders", with_ctes(
+    "SELECT segment, clv_tier, churn_status, CAST(count(*) AS BIGINT) AS customers FROM intel GROUP BY ALL", items=RECENT))
+def q_segments_of_recent_orders(spark, sf_dir):
+    """Segments where many customers have only begun to order: every segment occurs."""
+    s = C.clean(replace(bronze(spark, sf_dir), order_items=star.recent_order_items(spark, sf_dir)))[0]
+    return M.customer_intelligence(s).groupBy("segment", "clv_tier", "churn_status").agg(F.count(F.lit(1)).alias("customers"))
+
+
 def _folder(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tavola-{name}-{uuid.uuid4().hex[:12]}"
 

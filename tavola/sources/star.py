@@ -82,6 +82,16 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("order_id", F.when(order % NULL_ORDER_EVERY != 0, F.col("order_id"))))
 
 
+def recent_order_items(spark: SparkSession, sf_dir: str, days: int = 180, newcomer_days: int = 30) -> DataFrame:
+    """Order lines of the last ``days``; every third customer has only just begun to order."""
+    last = read_table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0]
+    if last is None:
+        return order_items(spark, sf_dir)
+    age = F.datediff(F.lit(last), F.col("creation_time_utc"))
+    newcomer = F.coalesce(F.col("user_id").cast("long") % 3 == 0, F.lit(False))
+    return order_items(spark, sf_dir).filter(age <= F.when(newcomer, newcomer_days).otherwise(days))
+
+
 def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change feed on order lines: every line row is an update at its ship date,
     and a returned line (flag ``R``) is a delete. ``seq`` orders the feed after
@@ -120,6 +130,13 @@ def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+def comped_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Options where the second one of group ``A`` is always free."""
+    comped = (F.col("option_group_name") == "A") & (F.col("option_quantity") == 2)
+    return order_item_options(spark, sf_dir).withColumn(
+        "option_price", F.when(comped, 0).otherwise(F.col("option_price")).cast(MONEY))
+
+
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per day between the first and last order date, as raw text keys."""
     o = read_table(spark, sf_dir, "orders")

@@ -46,7 +46,9 @@ def con():
 
 def test_every_query_has_sql():
     import __spark_entry__ as E
-    assert set(E.queries()) == set(E.oracle_sql())
+    from tavola.plans.registry import all_oracles, all_queries
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", SAMPLE)

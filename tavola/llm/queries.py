@@ -120,6 +120,20 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), min_cosine=0.98)
 
 
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+      WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT c.a AS vec_id, coalesce(n.links, 0) AS n_links, c.component_id, c.a = c.component_id AS kept
+FROM (SELECT a, min(b) AS component_id FROM r GROUP BY a) c
+LEFT JOIN (SELECT a, count(*) AS links FROM l GROUP BY a) n ON n.a = c.a"""
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(_read(spark, sf_dir, "pages").select("page_id", "url", "html"), min_bytes=0)
     return warc.read_archives(manifest)
@@ -152,5 +166,6 @@ QUERIES = {
 ORACLES = {
     "op1_source_mix": OP1_SQL,
     "op8_chat_format": OP8_SQL,
+    "op9_embedding_dedup": OP9_SQL,
     "op10_warc": OP10_SQL,
 }

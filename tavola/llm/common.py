@@ -9,9 +9,10 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.materialize import materialize as table  # noqa: F401  written once, lineage cut
 from ..session import ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,13 +39,6 @@ def drop_scratch(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage is cut and file sizes are known to the planner."""
-    uri = scratch(df.sparkSession, name)
-    df.write.parquet(uri)
-    return df.sparkSession.read.schema(df.schema).parquet(uri)
-
-
 def present_key(c: Column) -> Column:
     """A never-null string key for a nullable column; null sorts and groups apart from every value."""
     return F.when(c.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), c.cast("string")))

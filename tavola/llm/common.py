@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import re
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, SparkSession
@@ -21,10 +23,24 @@ BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings the operators rely on: bounded Arrow batches and the shared checkpoint folder."""
+    """Settings the operators rely on: bounded Arrow batches, the shared checkpoint folder, this package on the workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, whatever their own path holds (once per context)."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_tavola_shipped", False):
+        top = pathlib.Path(__file__).resolve().parents[1]
+        archive = pathlib.Path(tempfile.mkdtemp(prefix="tavola-py-")) / "tavola.zip"   # read by the driver alone
+        with zipfile.ZipFile(archive, "w") as z:
+            for path in sorted(top.rglob("*.py")):
+                z.write(path, path.relative_to(top.parent))
+        sc.addPyFile(str(archive))
+        sc._tavola_shipped = True
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-MAX_PIECES = 1_000_000
+MAX_PIECES = 800_000
 NO_SPACE = "\x1f"   # marks a piece without a space before it
 STOP = re.compile(r"[.,](?<=[a-zA-Z][.,])(?=\s|$)")
 ODD_SPACE = re.compile(r"[^\S \n]")   # white space besides space and line feed; control characters 28 to 31 count too
@@ -63,6 +63,11 @@ class Encoder:
         self.join_id = self._whole(self.join.strip(" "))
         if len(self.join_id) != 1:
             raise ValueError("the vocabulary has no single token for the separator")
+        from tokenizers.pre_tokenizers import ByteLevel
+        self.model = self.tok.model
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        # How the vocabulary writes each Latin-1 character.
+        self.written = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
         self._reset()
 
     def _whole(self, text: str):
@@ -76,28 +81,47 @@ class Encoder:
         self.flat = np.empty(0, np.uint32)
 
     def _learn(self) -> None:
-        """Encode the new pieces, joined by the separator, in one call."""
+        """Encode the new pieces. One of Latin-1 letters alone is one word to the model; the others go through the whole
+        tokenizer, joined by the separator."""
         import numpy as np
         new, self.index.new = self.index.new, []
-        starts, flats = [self.start], [self.flat]
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            lone = [] if self.words else [k for k, p in enumerate(part) if p == NO_SPACE + "\n"]
-            texts = part if self.words else [p[1:] if p[:1] == NO_SPACE else " " + p for p in part]
-            for k in lone:
-                texts[k] = ""
-            ids = self._whole(self.join.join(texts))
-            seps = np.flatnonzero(ids == self.join_id[0])
-            if len(seps) != len(part) - 1:
-                raise ValueError("pieces do not stand alone in this vocabulary")
-            size = np.diff(np.concatenate([[-1], seps, [len(ids)]])) - 1
-            flat = np.delete(ids, seps)
-            for k in lone:
-                flat = np.insert(flat, size[:k].sum(), self.join_id)
-                size[k] = 1
-            starts.append(starts[-1][-1] + np.cumsum(size))
-            flats.append(flat)
-        self.start, self.flat = np.concatenate(starts), np.concatenate(flats)
+        found: list = [None] * len(new)
+        others = []
+        tokenize, space = self.model.tokenize, "" if self.words else self.written[32]
+        for k, piece in enumerate(new):
+            bare = piece[1:] if piece[:1] == NO_SPACE else piece
+            if bare.isalpha() and (bare.isascii() or max(bare) <= "\xff"):
+                word = bare if bare.isascii() else bare.translate(self.written)
+                found[k] = [t.id for t in tokenize(word if bare is not piece else space + word)]
+            else:
+                others.append(k)
+        for i in range(0, len(others), 10_000):
+            self._learn_joined(new, others[i:i + 10_000], found)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def _learn_joined(self, new: list[str], at: list[int], found: list) -> None:
+        import numpy as np
+        texts, of = [], []
+        for k in at:
+            piece = new[k]
+            if not self.words and piece == NO_SPACE + "\n":   # the separator itself
+                found[k] = self.join_id
+                continue
+            texts.append(piece if self.words else piece[1:] if piece[:1] == NO_SPACE else " " + piece)
+            of.append(k)
+        if not of:
+            return
+        ids = self._whole(self.join.join(texts))
+        seps = np.flatnonzero(ids == self.join_id[0])
+        if len(seps) != len(of) - 1:
+            raise ValueError("pieces do not stand alone in this vocabulary")
+        start = np.append(0, seps + 1).tolist()
+        end = np.append(seps, len(ids)).tolist()
+        for k, x, y in zip(of, start, end):
+            found[k] = ids[x:y]
 
     def _safe(self, text: str) -> bool:
         if "<|" in text or "\x01" in text:

@@ -23,9 +23,9 @@ import zlib
 import numpy as np
 
 MAGIC = b"TVIDS1"
-BLOCK, LANES = 4096, 2048
-PRIOR_BITS, GROUP_BITS, MIX_BITS = 18, 8, 14
-TABLE_BITS, CONFIDENCE, GROUPS = 12, 7, 1 << GROUP_BITS
+BLOCK, LANES = 2048, 4096
+PRIOR_BITS, GROUP_BITS, MIX_BITS = 18, 6, 14
+TABLE_BITS, CONFIDENCE, GROUPS = 10, 7, 1 << GROUP_BITS
 NONE = 0xFFFF
 RATE, COUNT_STEP = 5, 24
 TOP, LOW_LIMIT = np.uint64(1 << 63), np.uint64(1 << 31)
@@ -164,11 +164,10 @@ def encode_blocks(blocks: list, prior: Prior) -> list[bytes]:
             low[m] = part << W
             wide[m] <<= W
 
-    live = n
+    live, shortest = n, int(sizes.min())
     for step in range(int(sizes.max())):
-        now = int(np.searchsorted(-sizes, -step, side="left"))   # lanes longer than step
-        if now < live:
-            live = now
+        if step >= shortest:
+            live = int(np.searchsorted(-sizes, -step, side="left"))   # lanes longer than step
             lanes.drop(live)
         x = ids[step, :live]
         f2, f1 = lanes.predict()
@@ -180,14 +179,14 @@ def encode_blocks(blocks: list, prior: Prior) -> list[bytes]:
         size = np.where(is2, f2, np.where(is1, f1, total - f2 - f1))
         lo, w = low[:live], wide[:live]
         r = w >> shift
-        lo = add(lo, r * start.astype(U))
+        more = r * start.astype(U)
         w = r * size.astype(U)
         group = prior.group_of[x]
         at = lanes.group_rows + group
         start = lanes.flat[at] * escape
         size = np.where(escape, lanes.flat[at + 1] - start, total)
         r = w >> shift
-        lo = add(lo, r * start.astype(U))
+        lo = add(lo, more + r * start.astype(U))
         w = r * size.astype(U)
         renormalise(lo, w)
         r = np.where(escape, w // prior.mass[group].astype(U), w)
@@ -227,11 +226,10 @@ def decode_blocks(coded: list[bytes], sizes, prior: Prior) -> list:
             pos[m] = p + 1
             wide[m] <<= W
 
-    live = n
+    live, shortest = n, int(sizes.min())
     for step in range(int(sizes.max())):
-        now = int(np.searchsorted(-sizes, -step, side="left"))
-        if now < live:
-            live = now
+        if step >= shortest:
+            live = int(np.searchsorted(-sizes, -step, side="left"))
             lanes.drop(live)
         f2, f1 = lanes.predict()
         c, w = code[:live], wide[:live]

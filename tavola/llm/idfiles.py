@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import open_file, scratch, table, write_file
 
-RANGE_BYTES, FILE_IDS = 32 << 20, 8_000_000   # text for each range; ids after which a file is closed
+RANGE_BYTES, FILE_IDS = 32 << 20, 6_000_000   # text for each range; ids after which a file is closed
 
 
 def write_documents(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",

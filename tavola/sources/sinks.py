@@ -18,16 +18,17 @@ def write_partitioned(df: DataFrame, path: str, column: str = "order_date", mode
 
     Without a shuffle every task writes a file into every partition value it
     touches (tasks × values small files). The rebalance hint shuffles once on
-    the column and lets adaptive execution set the tasks from the measured
-    sizes: small values are packed together, and one with a large share of the
-    rows is split over several tasks. ``dynamic=True`` replaces only the
-    partition values present in ``df``.
+    the column: small values stay in one file each, and adaptive execution
+    splits one with a large share of the rows over several tasks by measured
+    size. Small shuffle partitions are not coalesced here: with many values the
+    number of files, not their bytes, decides how long a task takes.
+    ``dynamic=True`` replaces only the partition values present in ``df``.
     """
     spark = df.sparkSession
     writer = (df.hint("rebalance", column).write.mode(mode).partitionBy(column)
               .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
               .option("maxRecordsPerFile", max_records_per_file))
-    with _legacy_format(spark, legacy_format):
+    with _legacy_format(spark, legacy_format), _setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
         writer.parquet(path)
 
 
@@ -37,17 +38,21 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", legacy_format
 
 
 @contextmanager
-def _legacy_format(spark: SparkSession, on: bool):
-    """Parquet legacy decimal/integer encoding for readers that need it; the session value is restored."""
-    key = "spark.sql.parquet.writeLegacyFormat"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true" if on else "false")
+def _setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the length of one write."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def _legacy_format(spark: SparkSession, on: bool):
+    """Parquet legacy decimal/integer encoding for readers that need it."""
+    return _setting(spark, "spark.sql.parquet.writeLegacyFormat", "true" if on else "false")
+
+
 def compact(spark: SparkSession, src: str, dst: str, files: int | None = None, partition_by: str | None = None) -> None:
     """Rewrite ``src`` into fewer files at a new path ``dst`` (never in place).
 

@@ -23,7 +23,8 @@ MAX_PIECES = 800_000
 NO_SPACE = "\x1f"   # marks a piece without a space before it
 STOP = re.compile(r"[.,](?<=[a-zA-Z][.,])(?=\s|$)")
 ODD_SPACE = re.compile(r"[^\S \n]")   # white space besides space and line feed; control characters 28 to 31 count too
-ODD_CONTROL = re.compile(r"[\x1c-\x1f]")
+# The same in Latin-1, and the control characters alone.
+ODD_LATIN, ODD_CONTROL = b"\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0", b"\x1c\x1d\x1e\x1f"
 _encoders: dict = {}
 
 
@@ -126,12 +127,18 @@ class Encoder:
     def _safe(self, text: str) -> bool:
         if "<|" in text or "\x01" in text:
             return False
+        try:
+            plain = text.encode("latin-1")
+        except UnicodeEncodeError:
+            plain = None
         if self.words:
             # Latin-1 lower-cases character by character and is its own normal form.
-            return (text.isascii() or max(text) <= "\xff") and not ODD_CONTROL.search(text)
+            return plain is not None and len(plain.translate(None, ODD_CONTROL)) == len(plain)
         if text[0].isspace() or text[-1].isspace():
             return False
-        return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or ODD_SPACE.search(text))
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+            return False
+        return not ODD_SPACE.search(text) if plain is None else len(plain.translate(None, ODD_LATIN)) == len(plain)
 
     def _pieces(self, text: str) -> list[str]:
         if self.words:

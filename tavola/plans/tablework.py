@@ -244,9 +244,10 @@ def q_sales_by_date_range(spark, sf_dir):
                                                    F.count_distinct("order_id").alias("orders")))
 
 
-def _quarter(spark, sf_dir):
-    s = sales(spark, sf_dir).filter(F.col("order_date").between(*[F.lit(d).cast("date") for d in RANGE]))
-    return s.groupBy("order_date", "restaurant_id").agg(F.sum("total_line_item_revenue").alias("revenue"))
+def _quarter(s: DataFrame) -> DataFrame:
+    """Revenue by day and restaurant in the report's quarter of a written table."""
+    return comparable(s.filter(F.col("order_date").between(*[F.lit(d).cast("date") for d in RANGE]))
+                      .groupBy("order_date", "restaurant_id").agg(F.sum("total_line_item_revenue").alias("revenue")))
 
 
 QUARTER = ("SELECT order_date, restaurant_id, CAST({} * sum(total_line_item_revenue) AS DOUBLE) AS revenue FROM sales"
@@ -254,12 +255,15 @@ QUARTER = ("SELECT order_date, restaurant_id, CAST({} * sum(total_line_item_reve
 
 
 def _rewritten(spark, sf_dir, dynamic: bool) -> DataFrame:
+    """All lines of all days written, then those of every March again with doubled revenue; the report reads a quarter."""
     path = _folder(spark, "overwrite")
-    quarter = materialize(_quarter(spark, sf_dir), "quarter")
-    sinks.write_partitioned(quarter, path, "order_date")
-    march = quarter.filter(F.month("order_date") == 3).withColumn("revenue", (F.col("revenue") * 2).cast(quarter.schema["revenue"].dataType))
+    s = materialize(sales(spark, sf_dir), "sales")
+    sinks.write_partitioned(s, path, "order_date")
+    revenue = F.col("total_line_item_revenue")
+    march = s.filter(F.month("order_date") == 3).withColumn(
+        "total_line_item_revenue", (revenue * 2).cast(s.schema["total_line_item_revenue"].dataType))
     sinks.write_partitioned(march, path, "order_date", dynamic=dynamic)
-    return comparable(spark.read.parquet(path).select("order_date", "restaurant_id", "revenue"))
+    return _quarter(spark.read.parquet(path))
 
 
 @register("overwrite_dynamic", with_ctes(QUARTER.format("CASE WHEN month(order_date) = 3 THEN 2 ELSE 1 END", "")))
@@ -296,19 +300,25 @@ def q_write_legacy_table(spark, sf_dir):
     return _summary_written(spark, sf_dir, legacy=True)
 
 
+LOADS = 4   # fixed value: parts of a day, written by different tasks, whose small files are compacted
+
+
 @register("compacted_quarter", with_ctes(QUARTER.format("1", "")))
 def q_compacted_quarter(spark, sf_dir):
-    """A table of many small files compacted by day."""
+    """All lines of all days, lying in several small files a day, compacted by day; the report reads a quarter."""
     path = _folder(spark, "compact")
-    _quarter(spark, sf_dir).write.partitionBy("order_date").parquet(f"{path}/many")
+    load = F.pmod(F.xxhash64("order_id", "lineitem_id", "option_name"), F.lit(LOADS))
+    with sinks._setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        (sales(spark, sf_dir).withColumn("_load", load).hint("rebalance", "order_date", "_load").drop("_load")
+         .write.partitionBy("order_date").parquet(f"{path}/many"))
     sinks.compact(spark, f"{path}/many", f"{path}/few", partition_by="order_date")
-    return comparable(spark.read.parquet(f"{path}/few").select("order_date", "restaurant_id", "revenue"))
+    return _quarter(spark.read.parquet(f"{path}/few"))
 
 
 @register("catalog_daily_revenue", with_ctes(QUARTER.format("1", "")))
 def q_catalog_daily_revenue(spark, sf_dir):
-    """A written table queried through the catalog."""
+    """Written Silver, all lines of all days, queried through the catalog; the report reads a quarter."""
     path = _folder(spark, "catalog")
-    sinks.write_partitioned(_quarter(spark, sf_dir), f"{path}/daily_revenue", "order_date")
-    sinks.register_tables(spark, path, ["daily_revenue"], database="tavola_reports")
-    return comparable(spark.sql("SELECT order_date, restaurant_id, revenue FROM tavola_reports.daily_revenue"))
+    sinks.write_partitioned(sales(spark, sf_dir), f"{path}/sales_fact", "order_date")
+    sinks.register_tables(spark, path, ["sales_fact"], database="tavola_reports")
+    return _quarter(spark.sql("SELECT order_date, restaurant_id, total_line_item_revenue FROM tavola_reports.sales_fact"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import replace
 
@@ -80,15 +81,21 @@ def q_cdc_apply(spark, sf_dir):
     return comparable(out.select(*CDC_OUT))
 
 
+FEED_BATCHES = 4   # fixed value: micro-batches the landed feed is applied in
+
+
 @register("cdc_stream_apply", CDC_SELECT)
 def q_cdc_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same change feed landed as files and applied by the incremental stream."""
+    """The same change feed landed as files and applied by the incremental stream in several batches."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tavola-cdc-{uuid.uuid4().hex}"
     changes = star.item_changes(spark, sf_dir)
-    changes.write.parquet(f"{root}/source")
+    files = max(FEED_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    changes.repartition(files).write.parquet(f"{root}/source")
     ingest.write_initial_state(change_base(_clean_items(spark, sf_dir)), f"{root}/state", schemas.ITEM_KEYS)
+    landed = len(spark.read.schema(changes.schema).parquet(f"{root}/source").inputFiles())
     q = ingest.start_ingest(spark, f"{root}/source", changes.schema, f"{root}/state", f"{root}/checkpoint",
-                            schemas.ITEM_KEYS, star.CHANGE_ORDER, available_now=True)
+                            schemas.ITEM_KEYS, star.CHANGE_ORDER, available_now=True,
+                            max_files_per_trigger=max(1, math.ceil(landed / FEED_BATCHES)))
     q.awaitTermination()
     return comparable(ingest.current_rows(spark, f"{root}/state").select(*CDC_OUT))
 

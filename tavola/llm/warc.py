@@ -23,7 +23,7 @@ from .common import open_file, scratch, table, write_file
 SKIPPABLE = 0x184D2A5D
 DATE = "2024-01-01T00:00:00Z"
 ID = "<urn:page:{}>"
-#: The dictionary: its size, and the sample it is built from (smallest hashes first, only whole records up to a size).
+#: The dictionary: its size, and the sample it is built from (smallest hashes first; of a larger payload a piece of this size).
 DICT_BYTES, SAMPLE_RECORDS, SAMPLE_RECORD_BYTES = 64 << 10, 1000, 64 << 10
 READ = 1 << 18
 
@@ -159,8 +159,11 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str =
                         F.encode(F.coalesce(html_col, F.lit("")), "UTF-8").alias("payload"))
     drawn = F.pmod(F.xxhash64("page_id"), F.lit(1 << 40))
     near = int(min(1.0, 2 * SAMPLE_RECORDS / max(1, pages.count())) * (1 << 40))
-    sample = rows.filter((drawn < near) & (F.length("payload") <= SAMPLE_RECORD_BYTES)) \
-        .orderBy(drawn, "page_id").limit(SAMPLE_RECORDS).collect()
+    # A payload above the bound gives a piece at an offset drawn by another hash, for training only.
+    offset = F.pmod(F.xxhash64("page_id", F.lit("offset")), F.length("payload") - SAMPLE_RECORD_BYTES + 1).cast("int")
+    piece = F.when(F.length("payload") <= SAMPLE_RECORD_BYTES, F.col("payload")) \
+        .otherwise(F.substr("payload", offset + 1, F.lit(SAMPLE_RECORD_BYTES)))
+    sample = rows.filter(drawn < near).withColumn("payload", piece).orderBy(drawn, "page_id").limit(SAMPLE_RECORDS).collect()
     dictionary = build_dictionary([record_bytes(r["page_id"], r["url"], bytes(r["payload"])) for r in sample])
 
     def run(batches):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, idfiles, lm, mixing, packing, quality, simhash, tokenfiles, warc
+from . import align, chat, embeddings, idfiles, lm, mixing, packing, quality, simhash, tokenfiles, warc
 from .common import prepare, table
 
 
@@ -151,6 +151,11 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = best THEN 're
        CASE WHEN page_id <> best THEN best END AS refers_to FROM d"""
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_pack": op2_pack,
@@ -162,6 +167,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLES = {
     "op1_source_mix": OP1_SQL,

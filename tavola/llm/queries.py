@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, chat, embeddings, idfiles, lm, mixing, packing, quality, simhash, tokenfiles, warc
+from . import align, chat, embeddings, idfiles, lm, mixing, packing, quality, simhash, subword, tokenfiles, trie, warc
 from .common import prepare, table
 
 
@@ -151,6 +151,49 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = best THEN 're
        CASE WHEN page_id <> best THEN best END AS refers_to FROM d"""
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _read(spark, sf_dir, "labels").select("doc_id", "quality").filter(~subword.held_out())
+    scored = subword.score_documents(docs, subword.fit(docs, labels))
+    return scored.select("doc_id", subword.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = table(trie.encode_turns(_read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")), "trie-own")
+    return trie.trie_nodes(trie.with_shared_heads(sequences, every=20, heads=4))
+
+
+# crc32 bit by bit over the decimal digits; a node is its members' first d turn codes.
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+e AS (SELECT conv_id, k, md5(length(role) || ':' || role || text) AS code,
+             len(regexp_extract_all(text, '[^ 	-
+]+'))::BIGINT AS words FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, max(k) AS own, CAST(conv_id AS VARCHAR) AS s FROM t GROUP BY conv_id),
+h AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, 8 * len(s)), lambda i:
+                CASE WHEN i % 8 = 0 THEN ord(substr(s, i // 8 + 1, 1)) ELSE 0 END::BIGINT)),
+                lambda a, x: xor(xor(a, x) >> 1, 3988292384::BIGINT * (xor(a, x) & 1))), 4294967295::BIGINT) % 4 AS h FROM c),
+r AS (SELECT h.conv_id, 0 AS side, e.k, e.code, e.words FROM h JOIN e ON e.conv_id = h.base AND e.k <= h.h
+      UNION ALL SELECT h.conv_id, 1, e.k, e.code, e.words FROM h JOIN e ON e.conv_id = h.conv_id AND e.k > h.h),
+p AS (SELECT c.conv_id, coalesce(q.p, []) AS p, coalesce(q.w, []) AS w FROM c LEFT JOIN
+      (SELECT conv_id, list(code ORDER BY side, k) AS p, list(words ORDER BY side, k) AS w FROM r GROUP BY conv_id) q USING (conv_id)),
+m AS (SELECT conv_id, d, p[1:d] AS path, p[1:d - 1] AS up, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS words, len(p) = d AS ends
+      FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM p)),
+n AS (SELECT d, path, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+      FROM m GROUP BY d, path),
+k AS (SELECT up AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY up),
+f AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+s AS (SELECT path[1:a] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM f) GROUP BY path[1:a])
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN s USING (path) LEFT JOIN n q ON f.d > 0 AND q.path = f.up"""
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"),
                                  public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -167,6 +210,8 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_token_alignment": op13_token_alignment,
 }
 ORACLES = {
@@ -174,4 +219,5 @@ ORACLES = {
     "op8_chat_format": OP8_SQL,
     "op9_embedding_dedup": OP9_SQL,
     "op10_warc": OP10_SQL,
+    "op12_conversation_trie": OP12_SQL,
 }

@@ -1,23 +1,21 @@
 """Ordered scans without a single-task window.
 
 A window with no PARTITION BY (global NTILE) runs in one task, and a window
-partitioned by a customer runs a hot customer in one task. Here rows are
-instead cut into ``P`` contiguous ranges of the full sort order (a composite
-key that ends in a unique column, so a hot leading value still spreads over
-many ranges). The range bounds are sampled once and written into the plan as
-literals, so the range of a row is a pure function of the row and a
-recomputed task after an executor loss puts every row in the same range.
-Windows then run per range, and the few facts that cross a range boundary —
-row counts, the last row, the running total of the last group — are
-gathered per range (one row for about ``rows_per_part`` rows) and come back
-into the plan as literal arrays.
+partitioned by a customer runs a hot customer in one task. Here Spark's own
+range partitioner deals the rows into contiguous *ranges* of the full sort
+order (a composite key that ends in a unique column, so a hot leading value
+still spreads over many ranges), and the dealt rows are written with the
+number of their range. What crosses a range boundary lies in a *directory*:
+a table with one row per range (about one for ``rows_per_part`` rows) over
+which Spark takes running totals, and which is joined back by the range.
+Neither the driver nor the plan holds anything per range.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 import math
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,7 +25,9 @@ from pyspark.sql import types as T
 from ..functions.buckets import ntile_from_position
 from .materialize import materialize
 
-PART = "_part"
+PART, PLACE = "_part", "_place"
+ROW_BITS = 33   # fixed value: monotonically_increasing_id() holds the task above the row's place in it
+SAMPLE_SIZE = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
 
 
 @dataclass(frozen=True)
@@ -56,150 +56,89 @@ def keys_of(spec: Sequence[Key | str]) -> list[Key]:
 @dataclass(frozen=True)
 class RangeConfig:
     """How finely to cut the order: about ``rows_per_part`` rows per range and
-    at least ``min_parts`` ranges, from a sample of about ``sample_per_part``
-    keys per range. The number of ranges grows with the rows."""
+    at least ``min_parts`` ranges; Spark chooses their bounds from about
+    ``sample_per_part`` keys per range. The number of ranges grows with the rows."""
 
     rows_per_part: int = 2_000_000
     min_parts: int = 8
     sample_per_part: int = 64
-    seed: int = 17
 
     def parts_for(self, n: int) -> int:
         return max(self.min_parts, math.ceil(n / self.rows_per_part))
 
 
-def _false(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
-
-
-def _sorts_before(key: Key, value: Column) -> Column:
-    """The row's value sorts strictly before ``value`` (both may be null)."""
-    a = F.col(key.name)
-    lt = _false(a < value) if key.ascending else _false(a > value)
-    if key.nf:
-        return lt | (a.isNull() & value.isNotNull())
-    return lt | (a.isNotNull() & value.isNull())
-
-
-def _array_sql(values: list, dtype: T.DataType) -> Column:
-    return F.expr("array(" + ", ".join("CAST(NULL AS " + dtype.simpleString() + ")" if v is None else _sql_literal(v, dtype)
-                                       for v in values) + ")")
-
-
-def _sql_literal(value, dtype: T.DataType) -> str:
-    if isinstance(value, float):
-        text = "NaN" if math.isnan(value) else ("Infinity" if value == math.inf else
-                                                 "-Infinity" if value == -math.inf else repr(value))
-    elif isinstance(value, bool):
-        text = "true" if value else "false"
-    else:
-        text = value.isoformat() if isinstance(value, _dt.date) else str(value)
-    return "CAST('" + text.replace("\\", "\\\\").replace("'", "\\'") + "' AS " + dtype.simpleString() + ")"
-
-
-def _part_expr(df: DataFrame, spec: list[Key], splits: list[tuple]) -> Column:
-    """Number of splits that sort at or before the row: a binary search in literal arrays, one per key column."""
-    n = len(splits)
-    if not n:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    arrays = [_array_sql([s[j] for s in splits], types[k.name]) for j, k in enumerate(spec)]
-
-    def passed(i: Column) -> Column:
-        """The split at position ``i`` (from 1) does not sort after the row."""
-        values = [F.get(a, i - 1) for a in arrays]
-        before = _sorts_before(spec[-1], values[-1])
-        for key, v in zip(reversed(spec[:-1]), reversed(values[:-1])):
-            before = _sorts_before(key, v) | (F.col(key.name).eqNullSafe(v) & before)
-        return ~before
-
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
-    return F.aggregate(steps, F.lit(0), lambda pos, step: F.when((pos + step <= n) & passed(pos + step), pos + step).otherwise(pos))
-
+def _order(spec: list[Key]) -> list[Column]:
+    return [k.sort_expr() for k in spec]
 
-def sample_splits(df: DataFrame, spec: list[Key], n: int, parts: int, cfg: RangeConfig,
-                  rows: list[tuple] | None = None) -> list[tuple]:
-    """``parts - 1`` split keys at even quantiles of a bounded sample, ordered by Spark.
 
-    The sample holds about ``parts * sample_per_part`` keys, whatever the size
-    of ``df``. Uneven splits only unbalance the ranges; results stay exact.
-    """
-    names = [k.name for k in spec]
-    if rows is None:
-        sample = df.select(*names).sample(withReplacement=False, fraction=min(1.0, cfg.sample_per_part * parts / max(n, 1)),
-                                          seed=cfg.seed)
-    else:
-        sample = df.sparkSession.createDataFrame(rows, df.select(*names).schema)
-    rows = [tuple(r) for r in sample.orderBy(*_order(spec)).collect()]
-    if not rows:
-        return []
-    splits: list[tuple] = []
-    for i in range(1, parts):
-        s = rows[min(len(rows) - 1, (i * len(rows)) // parts)]
-        if not splits or s != splits[-1]:
-            splits.append(s)
-    return splits
+@contextmanager
+def _sampling(df: DataFrame, cfg: RangeConfig):
+    """Size of the range partitioner's sample while a dealt frame is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(SAMPLE_SIZE)
+    conf.set(SAMPLE_SIZE, str(cfg.sample_per_part))
+    try:
+        yield
+    finally:
+        conf.set(SAMPLE_SIZE, before)
 
 
 def with_range(df: DataFrame, spec: Sequence[Key | str], cfg: RangeConfig = RangeConfig(),
                n: int | None = None) -> tuple[DataFrame, int, int]:
     """Add ``_part``: index of the contiguous range of the sort order holding the row.
 
-    Returns the frame, the number of ranges and the row count.
+    Returns the frame, the number of ranges asked for and the row count. The
+    bounds are chosen when the frame is executed and hold for that execution,
+    lost tasks included: use the result once, or write it first.
     """
     spec = keys_of(spec)
     n = df.count() if n is None else n
     parts = cfg.parts_for(n)
-    splits = sample_splits(df, spec, n, parts, cfg)
-    part = _part_expr(df, spec, splits)
-    return df.withColumn(PART, part.cast(T.IntegerType())), len(splits) + 1, n
+    return df.repartitionByRange(parts, *_order(spec)).withColumn(PART, F.spark_partition_id()), parts, n
 
 
-def _order(spec: list[Key]) -> list[Column]:
-    return [k.sort_expr() for k in spec]
+def ranked(df: DataFrame, spec: Sequence[Key | str], cfg: RangeConfig = RangeConfig(), n: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``df`` dealt by the order of ``spec`` and written with ``_part`` and ``_place`` (from 0, within the range), and its
+    directory: per range ``_part``, ``_before`` (rows of all earlier ranges) and ``_total`` (rows of all).
+
+    A row's place in the whole order is ``_before + _place``. One shuffle.
+    """
+    spec = keys_of(spec)
+    n = df.count() if n is None else n
+    at = F.monotonically_increasing_id()
+    with _sampling(df, cfg):
+        dealt = materialize(df.repartitionByRange(cfg.parts_for(n), *_order(spec)).sortWithinPartitions(*_order(spec))
+                            .withColumn(PLACE, at), "ranked")
+    dealt = dealt.withColumn(PART, F.shiftright(PLACE, ROW_BITS).cast("int")) \
+        .withColumn(PLACE, F.col(PLACE).bitwiseAND((1 << ROW_BITS) - 1))
+    return dealt, directory(dealt)
+
+
+def directory(dealt: DataFrame) -> DataFrame:
+    """Rows before each range and in all, one written row per range."""
+    every = Window.orderBy(PART)   # over one row per range
+    counts = dealt.groupBy(PART).agg(F.count(F.lit(1)).alias("_rows"))
+    return materialize(counts.select(
+        PART, (F.sum("_rows").over(every.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_rows")).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy()).alias("_total")), "directory")
 
 
 def multi_ntile(df: DataFrame, specs: dict[str, Sequence[Key | str]], k: int,
                 cfg: RangeConfig = RangeConfig(), n: int | None = None) -> DataFrame:
-    """Several ``NTILE(k) OVER (ORDER BY spec)`` columns (``out: spec``) in one plan.
+    """Several ``NTILE(k) OVER (ORDER BY spec)`` columns (``out: spec``).
 
-    ``df`` should be materialized (it is read for the count, one shared key
-    sample, one count per range of every order, and the final pass). Range
-    offsets are written into the plan as literal arrays, so each output
-    column costs one shuffle (by its range) and one windowed row number.
+    Each output column is one range shuffle of the rows and one join with the
+    directory of its ranges. ``df`` should be materialized (it is read for the
+    count, a key sample and the first shuffle).
     """
-    specs = {out: keys_of(spec) for out, spec in specs.items()}
     n = df.count() if n is None else n
     if n == 0:
         return df.select("*", *[F.lit(None).cast(T.LongType()).alias(out) for out in specs])
-    parts = cfg.parts_for(n)
-    names = sorted({key.name for spec in specs.values() for key in spec})
-    sample = df.select(*names).sample(withReplacement=False, fraction=min(1.0, cfg.sample_per_part * parts / n), seed=cfg.seed)
-    sample_rows = [tuple(r) for r in sample.collect()]   # one bounded sample for every order
-    part_cols = {}
     for out, spec in specs.items():
-        idx = [names.index(k.name) for k in spec]
-        keyed = [tuple(r[i] for i in idx) for r in sample_rows]
-        splits = sample_splits(df, spec, n, parts, cfg, rows=keyed)
-        part_cols[out] = _part_expr(df, spec, splits).cast(T.IntegerType())
-    parted = df.select("*", *[c.alias(f"_p_{out}") for out, c in part_cols.items()])
-    # Rows per (order, range): at most len(specs) * parts rows reach the driver.
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("s"), F.col(f"_p_{out}").alias("p"))
-                                for i, out in enumerate(specs)])).alias("sp")
-    counts = parted.select(pairs).groupBy("sp.s", "sp.p").count().collect()
-    result = parted
-    for i, (out, spec) in enumerate(specs.items()):
-        per = {r["p"]: r["count"] for r in counts if r["s"] == i}
-        top = max(per) + 1 if per else 1
-        offsets, acc = [], 0
-        for p in range(top):
-            offsets.append(acc)
-            acc += per.get(p, 0)
-        pcol = F.col(f"_p_{out}")
-        rn = F.row_number().over(Window.partitionBy(pcol).orderBy(*_order(spec)))
-        off = F.element_at(_array_sql(offsets, T.LongType()), pcol + 1)
-        result = result.withColumn(out, ntile_from_position(off + rn, F.lit(n).cast("long"), k))
-    return result.drop(*[f"_p_{out}" for out in specs])
+        dealt, ranges = ranked(df, spec, cfg, n)
+        bucket = ntile_from_position(F.col("_before") + F.col(PLACE) + 1, F.col("_total"), k)
+        df = dealt.join(ranges, PART).withColumn(out, bucket).drop(PART, PLACE, "_before", "_total")
+    return df
 
 
 def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
@@ -211,10 +150,12 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
     ``out: c`` in ``lags`` and ``sum(c) OVER (PARTITION BY group ORDER BY order
     ROWS UNBOUNDED PRECEDING)`` for each ``out: c`` in ``running``. ``group``
     must not be null and ``order`` must make rows unique within a group.
+    Windows run per range; what a range needs from the ones before it is
+    carried by ``_carries``.
     """
     lags, running = dict(lags or {}), dict(running or {})
     spec = [Key(group)] + keys_of(order)
-    parted, parts, n = with_range(df, spec, cfg)
+    parted, _, _ = with_range(df, spec, cfg)
     w = Window.partitionBy(PART).orderBy(*_order(spec))
     wg = Window.partitionBy(PART, group).orderBy(*_order(spec)).rowsBetween(Window.unboundedPreceding, 0)
     scanned = parted.withColumn("_rn", F.row_number().over(w)).withColumn("_pg", F.lag(group).over(w))
@@ -222,49 +163,10 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
         scanned = scanned.withColumn(out, F.lag(c).over(w))
     for out, c in running.items():
         scanned = scanned.withColumn(out, F.sum(c).over(wg))
-    # The windows feed both the boundary facts and the output: written once.
-    scanned = materialize(scanned, "scan")
-    # Facts at each range's ends: its first group, its last row and the
-    # running totals of the last group there.
-    last_fields = [group] + list(lags.values()) + list(running.keys())
-    tail = scanned.groupBy(PART).agg(
-        F.min_by(F.col(group), F.col("_rn")).alias("_first"),
-        F.max_by(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(last_fields)]),
-                 F.col("_rn")).alias("_last"))
-    rows = sorted(tail.collect(), key=lambda r: r[PART])  # one row per range, a few facts each
-
-    if not rows:
-        return scanned.drop(PART, "_rn", "_pg")
-
-    def add(a, b):
-        return b if a is None else (a if b is None else a + b)
-
-    carry_rows = []
-    prev = None  # (group, lag values, group totals) at the end of the previous non-empty range
-    for r in rows:
-        first_g, last = r["_first"], r["_last"]
-        if prev is None:
-            carry_rows.append((r[PART], None, *([None] * len(lags)), *([None] * len(running))))
-        else:
-            carry_rows.append((r[PART], prev[0], *prev[1], *prev[2]))
-        continues = prev is not None and prev[0] == first_g
-        totals = []
-        for j in range(len(running)):
-            here = last[1 + len(lags) + j]
-            carried = prev[2][j] if continues and last[0] == first_g else None
-            totals.append(add(here, carried))
-        prev = (last[0], tuple(last[1:1 + len(lags)]), tuple(totals))
-
-    # Boundary facts travel as literal arrays indexed by range (one entry per range).
-    top = max(r[PART] for r in rows) + 1
-    by_part = {row[0]: row[1:] for row in carry_rows}
-    types = [df.schema[group].dataType] + [df.schema[c].dataType for c in lags.values()] \
-        + [scanned.schema[out].dataType for out in running]
-    names = ["_cg"] + [f"_cl_{out}" for out in lags] + [f"_cr_{out}" for out in running]
-    fixed = scanned
-    for j, (name, dtype) in enumerate(zip(names, types)):
-        values = [by_part[p][j] if p in by_part else None for p in range(top)]
-        fixed = fixed.withColumn(name, F.element_at(_array_sql(values, dtype), F.col(PART) + 1))
+    # The windows feed both the boundary facts and the output, and the ranges hold for one execution: written once.
+    with _sampling(df, cfg):
+        scanned = materialize(scanned, "scan")
+    fixed = scanned.join(_carries(scanned, group, lags, running), PART)
     same_prev = F.coalesce(F.col("_cg") == F.col(group), F.lit(False))
     for out in lags:
         first = F.col("_rn") == 1
@@ -272,7 +174,32 @@ def grouped_scan(df: DataFrame, group: str, order: Sequence[Key | str], *,
                                  .otherwise(F.when(F.col("_pg") == F.col(group), F.col(out))))
     for out in running:
         carried = F.col(f"_cr_{out}")
-        fixed = fixed.withColumn(out, F.when(same_prev & carried.isNotNull(),
-                                             F.coalesce(F.col(out), F.lit(0)) + carried).otherwise(F.col(out)))
+        fixed = fixed.withColumn(out, F.when(same_prev & carried.isNotNull(), F.coalesce(F.col(out), F.lit(0)) + carried)
+                                 .otherwise(F.col(out)).cast(scanned.schema[out].dataType))
     drop = [PART, "_rn", "_pg", "_cg"] + [f"_cl_{o}" for o in lags] + [f"_cr_{o}" for o in running]
     return fixed.drop(*drop)
+
+
+def _carries(scanned: DataFrame, group: str, lags: dict[str, str], running: dict[str, str]) -> DataFrame:
+    """What each range takes over from the ranges before it, one written row per range: the group of the row before it
+    (``_cg``), that row's values (``_cl_…``) and the group's running totals up to it (``_cr_…``).
+
+    The totals are a segmented prefix sum over the ranges: a range that lies
+    within one group and goes on with the group of the range before adds to
+    that one's segment; any other range starts a new segment, with the total
+    its last group has there.
+    """
+    last = F.struct(group, *[F.col(c).alias(f"_cl_{out}") for out, c in lags.items()],
+                    *[F.col(out).alias(f"_cr_{out}") for out in running])
+    ends = scanned.groupBy(PART).agg(F.min_by(group, "_rn").alias("_first"), F.max_by(last, F.col("_rn")).alias("_last"))
+    every = Window.orderBy(PART)   # over one row per range
+    before = F.lag(F.col("_last")[group]).over(every)
+    starts = F.coalesce((F.col("_first") != F.col("_last")[group]) | (F.col("_first") != before), F.lit(True))
+    ends = ends.withColumn("_starts", starts.cast("int")) \
+        .withColumn("_segment", F.sum("_starts").over(every.rowsBetween(Window.unboundedPreceding, 0)))
+    so_far = Window.partitionBy("_segment").orderBy(PART).rowsBetween(Window.unboundedPreceding, 0)
+    totals = ends.select(PART, F.col("_last")[group].alias("_g"), *[F.col("_last")[f"_cl_{out}"].alias(f"_l_{out}") for out in lags],
+                         *[F.sum(F.col("_last")[f"_cr_{out}"]).over(so_far).alias(f"_t_{out}") for out in running])
+    return materialize(totals.select(
+        PART, F.lag("_g").over(every).alias("_cg"), *[F.lag(f"_l_{out}").over(every).alias(f"_cl_{out}") for out in lags],
+        *[F.lag(f"_t_{out}").over(every).alias(f"_cr_{out}") for out in running]), "carries")

@@ -19,29 +19,23 @@ def hot_keys(right: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> Dat
 def left_join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` where the many side is the right.
 
-    Left rows with a null key match nothing; they stay out of the shuffle.
-    Spark can split a hot key of a LEFT OUTER join on the left side only.
+    Left rows with a null key match nothing and stay; they hash alike, and
+    adaptive execution splits them like any hot key of the left side. It can
+    split a LEFT OUTER join on that side only.
     ``hot`` (a written result of ``hot_keys``) names right keys that one task
     should not hold: their right rows are dealt over salts and their left rows
     copied to each. Such a key has right rows, so a copy that meets none in its
     salt is dropped.
     """
     keys = list(keys)
-    keyed = F.lit(True)
-    for k in keys:
-        keyed = keyed & F.col(k).isNotNull()
-    extra = [f for f in right.schema.fields if f.name not in keys]
-    columns = [*left.columns, *[f.name for f in extra]]
+    columns = [*left.columns, *[c for c in right.columns if c not in keys]]
     if hot is None:
-        joined = left.filter(keyed).join(right, keys, "left").select(*columns)
-    else:
-        dealt = right.join(hot, keys, "left").withColumn("_salt", F.coalesce(
-            F.pmod(F.xxhash64(*right.columns), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts").withColumn("_met", F.lit(1))
-        copied = left.filter(keyed).join(hot, keys, "left") \
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-        joined = copied.join(dealt, [*keys, "_salt"], "left").filter("_salts is null or _met is not null").select(*columns)
-    alone = left.filter(~keyed).select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return joined.unionByName(alone)
+        return left.join(right, keys, "left").select(*columns)
+    dealt = right.join(hot, keys, "left").withColumn("_salt", F.coalesce(
+        F.pmod(F.xxhash64(*right.columns), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts").withColumn("_met", F.lit(1))
+    copied = left.join(hot, keys, "left") \
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+    return copied.join(dealt, [*keys, "_salt"], "left").filter("_salts is null or _met is not null").select(*columns)
 
 
 def null_safe_lookup(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None) -> DataFrame:

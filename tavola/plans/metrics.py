@@ -205,29 +205,30 @@ def discount_flags(sales: DataFrame) -> DataFrame:
     return flagged.withColumn("is_true_discount", F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
-def _priced_names(sales: DataFrame) -> Column:
-    """Each row's item and option as (kind, name, price) pairs."""
-    return F.explode(F.array(
-        F.struct(F.lit("item").alias("kind"), F.col("item_name").alias("name"), F.col("item_price").alias("price")),
-        F.struct(F.lit("option").alias("kind"), F.col("option_name").alias("name"),
-                 F.col("option_price").alias("price")))).alias("np")
+def priced_names(sales: DataFrame) -> DataFrame:
+    """One row per order, kind (item, option) and name: highest price, whether a price was zero, and on the item rows the
+    revenue of the sales rows and how many of them have one. Everything the discount metrics need of Silver."""
+    row = F.struct(F.lit("item").alias("kind"), F.col("item_name").alias("name"), F.col("item_price").alias("price"),
+                   F.col("total_line_item_revenue").alias("revenue"))
+    option = F.struct(F.lit("option").alias("kind"), F.col("option_name").alias("name"), F.col("option_price").alias("price"),
+                      F.lit(None).cast(sales.schema["total_line_item_revenue"].dataType).alias("revenue"))
+    return (sales.select("order_id", F.explode(F.array(row, option)).alias("np")).select("order_id", "np.*")
+            .groupBy("order_id", "kind", "name")
+            .agg(F.max("price").alias("max_price"), F.max(F.coalesce(F.col("price") == 0, F.lit(False))).alias("zero"),
+                 F.sum("revenue").alias("revenue"), F.count("revenue").alias("rows")))
 
 
 def discounted_orders(sales: DataFrame) -> DataFrame:
-    """Orders holding at least one true-discount row (one row per order_id).
+    """Orders holding at least one true-discount row (one row per order_id)."""
+    return _discounted(checkpointed(priced_names(sales)))
 
-    Same answer as flagging every row and taking the per-order maximum, but
-    only (order, kind, name) triples with a zero price travel to the
-    per-name maxima, which come from one aggregation over items and options.
-    """
-    maxima = (sales.select(_priced_names(sales)).groupBy("np.kind", "np.name")
-              .agg(F.max("np.price").alias("max_price")))
-    paid = maxima.filter(F.col("max_price") > 0).select(F.col("kind").alias("_k"), F.col("name").alias("_n"))
-    zero = (sales.filter((F.col("item_price") == 0) | (F.col("option_price") == 0))
-            .select("order_id", _priced_names(sales))
-            .filter(F.col("np.price") == 0)
-            .select("order_id", F.col("np.kind").alias("kind"), F.col("np.name").alias("name"))
-            .distinct())
+
+def _discounted(names: DataFrame) -> DataFrame:
+    """Same answer as flagging every row and taking the per-order maximum, from written ``priced_names``: only (order, kind,
+    name) triples with a zero price travel to the names that were once charged."""
+    paid = (names.groupBy("kind", "name").agg(F.max("max_price").alias("max_price")).filter(F.col("max_price") > 0)
+            .select(F.col("kind").alias("_k"), F.col("name").alias("_n")))
+    zero = names.filter("zero").select("order_id", "kind", "name")
     hit = zero.join(paid, (zero["kind"] == paid["_k"]) & zero["name"].eqNullSafe(paid["_n"]), "left_semi")
     return hit.select("order_id").distinct()
 
@@ -248,9 +249,9 @@ def discount_effectiveness_exact(sales: DataFrame) -> DataFrame:
 
 
 def _discount_rollup(sales: DataFrame) -> DataFrame:
-    per_order = sales.groupBy("order_id").agg(F.sum("total_line_item_revenue").alias("_rev"),
-                                              F.count("total_line_item_revenue").alias("_rows"))
-    flagged = discounted_orders(sales).select(F.col("order_id").alias("_order"), F.lit(1).alias("_hit"))
+    names = checkpointed(priced_names(sales))   # Silver is read once
+    per_order = names.filter("kind = 'item'").groupBy("order_id").agg(F.sum("revenue").alias("_rev"), F.sum("rows").alias("_rows"))
+    flagged = _discounted(names).select(F.col("order_id").alias("_order"), F.lit(1).alias("_hit"))
     # The window of the source pipeline groups null order ids, so they join null-safely.
     same = per_order["order_id"].eqNullSafe(flagged["_order"])
     return (per_order.join(flagged, same, "left")

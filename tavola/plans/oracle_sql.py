@@ -158,8 +158,12 @@ RAW_ITEMS = """SELECT * REPLACE (
     CASE WHEN CAST(order_id AS BIGINT) % 97 <> 0 THEN creation_time_utc END AS creation_time_utc,
     CAST(CASE WHEN l_partkey % 101 = 0 THEN -item_price - 1 ELSE item_price END AS DECIMAL(12,2)) AS item_price,
     CASE WHEN l_suppkey % 89 = 0 THEN 0 ELSE item_quantity END AS item_quantity) FROM f_items0"""
-RECENT = """SELECT * FROM f_items0 WHERE datediff('day', CAST(creation_time_utc AS DATE), (SELECT CAST(max(o_orderdate) AS DATE) FROM orders))
-    <= CASE WHEN CAST(user_id AS BIGINT) % 3 = 0 THEN 30 ELSE 180 END"""
+NEWCOMERS = """SELECT * EXCLUDE (last, age) REPLACE (CASE
+    WHEN CAST(user_id AS BIGINT) % 3 <> 0 THEN last - to_days(CAST(age % 180 AS INT))
+    WHEN CAST(user_id AS BIGINT) % 3 = 0 AND CAST(order_id AS BIGINT) % 10 = 0 THEN last - to_days(CAST(age % 30 AS INT))
+    ELSE creation_time_utc END AS creation_time_utc) FROM (
+    SELECT *, max(creation_time_utc) OVER () AS last,
+           datediff('day', CAST(creation_time_utc AS DATE), CAST(max(creation_time_utc) OVER () AS DATE)) AS age FROM f_items0)"""
 COMPED = """SELECT * REPLACE (CAST(CASE WHEN option_group_name = 'A' AND option_quantity = 2 THEN 0 ELSE option_price END
     AS DECIMAL(12,2)) AS option_price) FROM f_opts0"""
 OUTCOME = """CASE WHEN order_id IS NULL OR lineitem_id IS NULL THEN 'missing_key'

@@ -20,26 +20,32 @@ from ..sources.bronze import read_bronze, read_parquet
 from ..streaming import ingest
 from . import clean as C
 from . import metrics as M
-from .oracle_sql import NULL_ORDERS, OUTCOME, RAW_ITEMS, RECENT
+from .oracle_sql import NEWCOMERS, NULL_ORDERS, OUTCOME, RAW_ITEMS
 from .registry import big, bronze, comparable, dbl, gold, register, sales, silver, with_ctes
 
 
 def sales_by_calendar(sales_df: DataFrame, dates: DataFrame) -> DataFrame:
     """Revenue, orders and lines by weekday, weekend and holiday flags.
 
-    The calendar has one row per day — bounded by the date range, not by
-    sales volume — so it is broadcast.
+    A day that stands in the calendar more than once counts once, with the
+    smallest of its rows.
     """
-    cal = dates.select(F.col("date_key").alias("_d"), "day_of_week", "is_weekend", "is_holiday")
-    joined = sales_df.join(F.broadcast(cal), sales_df["order_date"] == cal["_d"], "left")
+    cal = one_row_per_day(dates, "day_of_week", "is_weekend", "is_holiday").withColumnRenamed("date_key", "_d")
+    joined = sales_df.join(cal, sales_df["order_date"] == cal["_d"], "left")
     return (joined.groupBy("day_of_week", "is_weekend", "is_holiday")
             .agg(F.sum("total_line_item_revenue").alias("revenue"),
                  F.count_distinct("order_id").alias("orders"), F.count(F.lit(1)).alias("lines")))
 
 
-def change_base(items: DataFrame) -> DataFrame:
-    """The full load as version 0 of a change feed (``seq`` 0, op ``I``)."""
-    return items.select("order_id", "lineitem_id", "item_name", "item_price", "item_quantity",
+def one_row_per_day(dates: DataFrame, *columns: str) -> DataFrame:
+    """``date_key`` and the given columns of a calendar, one row per day."""
+    return (dates.filter("date_key is not null").groupBy("date_key").agg(F.min(F.struct(*columns)).alias("_row"))
+            .select("date_key", *[F.col("_row")[c].alias(c) for c in columns]))
+
+
+def change_base(items: DataFrame, *more: str) -> DataFrame:
+    """The full load as version 0 of a change feed (``seq`` 0, op ``I``), with ``more`` of its columns."""
+    return items.select(*more, "order_id", "lineitem_id", "item_name", "item_price", "item_quantity",
                         F.col("creation_time_utc").alias("commit_ts"), F.lit(0).alias("seq"),
                         F.lit("I").alias("op"), F.lit(None).cast("bigint").alias("l_partkey"),
                         F.lit(None).cast("bigint").alias("l_suppkey"),
@@ -149,11 +155,11 @@ def q_discount_null_orders(spark, sf_dir):
     return comparable(M.discount_effectiveness(_defective_sales(spark, sf_dir)))
 
 
-@register("segments_of_recent_orders", with_ctes(
-    "SELECT segment, clv_tier, churn_status, CAST(count(*) AS BIGINT) AS customers FROM intel GROUP BY ALL", items=RECENT))
-def q_segments_of_recent_orders(spark, sf_dir):
-    """Segments where many customers have only begun to order: every segment occurs."""
-    s = C.clean(replace(bronze(spark, sf_dir), order_items=star.recent_order_items(spark, sf_dir)))[0]
+@register("segments_with_newcomers", with_ctes(
+    "SELECT segment, clv_tier, churn_status, CAST(count(*) AS BIGINT) AS customers FROM intel GROUP BY ALL", items=NEWCOMERS))
+def q_segments_with_newcomers(spark, sf_dir):
+    """Segments where most customers order often and others come back rarely: every segment occurs, no line is left out."""
+    s = C.clean(replace(bronze(spark, sf_dir), order_items=star.newcomer_order_items(spark, sf_dir)))[0]
     return M.customer_intelligence(s).groupBy("segment", "clv_tier", "churn_status").agg(F.count(F.lit(1)).alias("customers"))
 
 
@@ -251,36 +257,39 @@ def q_sales_by_date_range(spark, sf_dir):
                                                    F.count_distinct("order_id").alias("orders")))
 
 
-def _quarter(s: DataFrame) -> DataFrame:
-    """Revenue by day and restaurant in the report's quarter of a written table."""
-    return comparable(s.filter(F.col("order_date").between(*[F.lit(d).cast("date") for d in RANGE]))
-                      .groupBy("order_date", "restaurant_id").agg(F.sum("total_line_item_revenue").alias("revenue")))
+GRAIN = "month"   # partitions of the tables below: a day of the driver's tables holds a few hundred lines
+
+
+def _daily(s: DataFrame) -> DataFrame:
+    """Revenue and lines by day and restaurant of a written table, all of it."""
+    return comparable(s.groupBy("order_date", "restaurant_id").agg(F.sum("total_line_item_revenue").alias("revenue"),
+                                                                   F.count(F.lit(1)).alias("lines")))
 
 
-QUARTER = ("SELECT order_date, restaurant_id, CAST({} * sum(total_line_item_revenue) AS DOUBLE) AS revenue FROM sales"
-           f" WHERE order_date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' {{}} GROUP BY order_date, restaurant_id")
+DAILY = ("SELECT order_date, restaurant_id, CAST({} * sum(total_line_item_revenue) AS DOUBLE) AS revenue,"
+         " CAST(count(*) AS BIGINT) AS lines FROM sales {} GROUP BY order_date, restaurant_id")
 
 
 def _rewritten(spark, sf_dir, dynamic: bool) -> DataFrame:
-    """All lines of all days written, then those of every March again with doubled revenue; the report reads a quarter."""
+    """All lines of all days written, then those of every March again with doubled revenue."""
     path = _folder(spark, "overwrite")
-    s = materialize(sales(spark, sf_dir), "sales")
-    sinks.write_partitioned(s, path, "order_date")
-    revenue = F.col("total_line_item_revenue")
-    march = s.filter(F.month("order_date") == 3).withColumn(
-        "total_line_item_revenue", (revenue * 2).cast(s.schema["total_line_item_revenue"].dataType))
-    sinks.write_partitioned(march, path, "order_date", dynamic=dynamic)
-    return _quarter(spark.read.parquet(path))
+    sinks.write_partitioned(sales(spark, sf_dir), path, "order_date", grain=GRAIN)
+    s = spark.read.parquet(path)
+    march = s.filter(F.month(sinks.partition_column("order_date", GRAIN)) == 3).drop(sinks.partition_column("order_date", GRAIN))
+    doubled = (F.col("total_line_item_revenue") * 2).cast(s.schema["total_line_item_revenue"].dataType)
+    march = materialize(march.withColumn("total_line_item_revenue", doubled), "march")   # a static overwrite must not read its target
+    sinks.write_partitioned(march, path, "order_date", dynamic=dynamic, grain=GRAIN)
+    return _daily(spark.read.parquet(path))
 
 
-@register("overwrite_dynamic", with_ctes(QUARTER.format("CASE WHEN month(order_date) = 3 THEN 2 ELSE 1 END", "")))
-def q_overwrite_dynamic(spark, sf_dir):
+@register("overwrite_days_dynamic", with_ctes(DAILY.format("CASE WHEN month(order_date) = 3 THEN 2 ELSE 1 END", "")))
+def q_overwrite_days_dynamic(spark, sf_dir):
     """March rewritten in place, the other days kept."""
     return _rewritten(spark, sf_dir, dynamic=True)
 
 
-@register("overwrite_static", with_ctes(QUARTER.format("2", "AND month(order_date) = 3")))
-def q_overwrite_static(spark, sf_dir):
+@register("overwrite_days_static", with_ctes(DAILY.format("2", "WHERE month(order_date) = 3")))
+def q_overwrite_days_static(spark, sf_dir):
     """A static overwrite leaves only what the second write held."""
     return _rewritten(spark, sf_dir, dynamic=False)
 
@@ -307,25 +316,26 @@ def q_write_legacy_table(spark, sf_dir):
     return _summary_written(spark, sf_dir, legacy=True)
 
 
-LOADS = 4   # fixed value: parts of a day, written by different tasks, whose small files are compacted
+LOADS = 4   # fixed value: parts of a month, written by different tasks, whose small files are compacted
 
 
-@register("compacted_quarter", with_ctes(QUARTER.format("1", "")))
-def q_compacted_quarter(spark, sf_dir):
-    """All lines of all days, lying in several small files a day, compacted by day; the report reads a quarter."""
+@register("compacted_days", with_ctes(DAILY.format("1", "")))
+def q_compacted_days(spark, sf_dir):
+    """All lines of all days: the months of odd years lie in several small files, which compaction finds and rewrites."""
     path = _folder(spark, "compact")
-    load = F.pmod(F.xxhash64("order_id", "lineitem_id", "option_name"), F.lit(LOADS))
+    load = F.when(F.year("order_date") % 2 == 1, F.pmod(F.xxhash64("order_id", "lineitem_id", "option_name"), F.lit(LOADS)))
+    part = sinks.partition_column("order_date", GRAIN)
     with sinks._setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-        (sales(spark, sf_dir).withColumn("_load", load).hint("rebalance", "order_date", "_load").drop("_load")
-         .write.partitionBy("order_date").parquet(f"{path}/many"))
-    sinks.compact(spark, f"{path}/many", f"{path}/few", partition_by="order_date")
-    return _quarter(spark.read.parquet(f"{path}/few"))
+        (sales(spark, sf_dir).withColumn(part, F.trunc("order_date", GRAIN)).withColumn("_load", load)
+         .hint("rebalance", part, "_load").drop("_load").write.partitionBy(part).parquet(path))
+    sinks.compact_partitions(spark, path, part)
+    return _daily(spark.read.parquet(path))
 
 
-@register("catalog_daily_revenue", with_ctes(QUARTER.format("1", "")))
-def q_catalog_daily_revenue(spark, sf_dir):
-    """Written Silver, all lines of all days, queried through the catalog; the report reads a quarter."""
+@register("catalog_revenue", with_ctes(DAILY.format("1", "")))
+def q_catalog_revenue(spark, sf_dir):
+    """Written Silver, all lines of all days, queried through the catalog."""
     path = _folder(spark, "catalog")
-    sinks.write_partitioned(sales(spark, sf_dir), f"{path}/sales_fact", "order_date")
+    sinks.write_partitioned(sales(spark, sf_dir), f"{path}/sales_fact", "order_date", grain=GRAIN)
     sinks.register_tables(spark, path, ["sales_fact"], database="tavola_reports")
-    return _quarter(spark.sql("SELECT order_date, restaurant_id, total_line_item_revenue FROM tavola_reports.sales_fact"))
+    return _daily(spark.sql("SELECT order_date, restaurant_id, total_line_item_revenue FROM tavola_reports.sales_fact"))

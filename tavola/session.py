@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -46,13 +48,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names it and is read from the session. Where it is
-    unset, a folder in the warehouse is used, which driver and executors share
-    in every deployment.
+    unset, a folder in the warehouse is used; a warehouse on the machine's own
+    disk is not shared by a cluster, which must name the folder itself.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tavola")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not configured and not sc.master.startswith("local") and re.match(r"file:|/", warehouse):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    sc.setCheckpointDir(configured or f"{warehouse}/_tavola")
     return sc.getCheckpointDir()

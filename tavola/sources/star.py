@@ -82,14 +82,21 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("order_id", F.when(order % NULL_ORDER_EVERY != 0, F.col("order_id"))))
 
 
-def recent_order_items(spark: SparkSession, sf_dir: str, days: int = 180, newcomer_days: int = 30) -> DataFrame:
-    """Order lines of the last ``days``; every third customer has only just begun to order."""
-    last = read_table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0]
+# Most customers' orders lie within REGULAR_DAYS; of every third customer's, each NEW_ORDER_EVERY-th lies within NEW_DAYS.
+REGULAR_DAYS, NEW_CUSTOMER_EVERY, NEW_ORDER_EVERY, NEW_DAYS = 180, 3, 10, 30
+
+
+def newcomer_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All order lines with moved dates: most customers order often of late, every third one hardly ever."""
+    items = order_items(spark, sf_dir)
+    last = items.agg(F.max("creation_time_utc")).first()[0]
     if last is None:
-        return order_items(spark, sf_dir)
-    age = F.datediff(F.lit(last), F.col("creation_time_utc"))
-    newcomer = F.coalesce(F.col("user_id").cast("long") % 3 == 0, F.lit(False))
-    return order_items(spark, sf_dir).filter(age <= F.when(newcomer, newcomer_days).otherwise(days))
+        return items
+    user, age = F.col("user_id").cast("long"), F.datediff(F.lit(last), F.col("creation_time_utc"))
+    moved = lambda days: F.date_sub(F.lit(last).cast("date"), age % days).cast(T.TimestampType())
+    rare = F.col("order_id").cast("long") % NEW_ORDER_EVERY == 0
+    return items.withColumn("creation_time_utc", F.when(user % NEW_CUSTOMER_EVERY != 0, moved(REGULAR_DAYS))
+                            .when((user % NEW_CUSTOMER_EVERY == 0) & rare, moved(NEW_DAYS)).otherwise(F.col("creation_time_utc")))
 
 
 def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

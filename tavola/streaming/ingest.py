@@ -1,6 +1,8 @@
 """Incremental ingest of change files: file stream → micro-batch merge → versioned, bucketed state.
 
-The keyed state lies in ``buckets`` hash buckets. Version n is a small commit
+The keyed state lies in hash buckets of about ``BUCKET_BYTES`` each; their
+number is part of a commit and doubles when the state has outgrown it, with
+a batch that rewrites all of it. Version n is a small commit
 file, ``commits/<n>``, that names for each bucket the data folder holding it;
 ``data/<n>/bucket=<b>`` holds the buckets that batch n - 1 touched. A batch
 reads and rewrites only the buckets its keys fall into, writes its data
@@ -14,16 +16,18 @@ names are removed. Versions are listed from file names, never from data.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import latest_by_key, live, merge_changes
+from ..operators.materialize import materialize, written_bytes
 
 BUCKET = "tavola_bucket"
-BUCKETS, KEEP = 64, 3
+BUCKET_BYTES, KEEP = 256 << 20, 3
 
 
 class StateStore:
@@ -65,6 +69,11 @@ class StateStore:
     def data(self, version: int) -> str:
         return f"{self.root}/data/{version}"
 
+    def size(self, folders: dict) -> int:
+        """Bytes of the data that a commit names."""
+        named = (self._path(f"data/{v}/{BUCKET}={b}") for b, v in folders.items())
+        return sum(self._fs.getContentSummary(p).getLength() for p in named)
+
     def clean(self, keep: int) -> None:
         versions = self.versions()
         for v in versions[:-keep]:
@@ -114,47 +123,85 @@ def _write(store: StateStore, version: int, rows: DataFrame) -> list[int]:
     return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
 
-def write_initial_state(base: DataFrame, state_root: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
-    """Version 0: the full-load snapshot the changes apply to."""
+def _buckets_for(size: int, bucket_bytes: int) -> int:
+    """A power of two, so that doubling splits every bucket in two."""
+    return 1 << max(0, math.ceil(size / bucket_bytes) - 1).bit_length()
+
+
+def write_initial_state(base: DataFrame, state_root: str, keys: Sequence[str], buckets: int | None = None,
+                        bucket_bytes: int = BUCKET_BYTES) -> None:
+    """Version 0: the full-load snapshot the changes apply to, in as many buckets as its written size asks for."""
     store = StateStore(base.sparkSession, state_root)
+    if buckets is None:
+        base = materialize(base, "snapshot")
+        buckets = _buckets_for(written_bytes(base), bucket_bytes)
     written = _write(store, 0, _with_bucket(base, keys, buckets))
     store.commit(0, keys, buckets, dict.fromkeys(written, 0))
 
 
 def merge_batch(batch: DataFrame, batch_id: int, state_root: str, keys: Sequence[str], order: Sequence[str],
-                buckets: int = BUCKETS, keep: int = KEEP) -> None:
-    """Apply one micro-batch as version ``batch_id + 1``."""
+                buckets: int | None = None, keep: int = KEEP, bucket_bytes: int = BUCKET_BYTES,
+                merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+                on_merged: Callable[[DataFrame, DataFrame, DataFrame, int], None] | None = None) -> None:
+    """Apply one micro-batch as version ``batch_id + 1``.
+
+    ``merge(state, changes)`` gives the new rows of the touched buckets
+    (default: the latest row per key). ``on_merged(before, after, changes,
+    batch_id)`` runs on their rows before the version is committed, so after a
+    failure it may run again with the same number. ``buckets`` counts only
+    where there is no state yet.
+    """
     store = StateStore(batch.sparkSession, state_root)
     done = store.versions()
     if done and done[-1] > batch_id:
         return                                       # replayed batch: committed before
     folders: dict[str, int] = {}
+    grown = False
     if done:
         last = store.read_commit(done[-1])
-        buckets, folders = last["buckets"], last["folders"]
+        folders, held = last["folders"], last["buckets"]
+        buckets = max(held, _buckets_for(store.size(folders), bucket_bytes) // 2)   # at twice the size, in good time
+        grown = buckets > held
+    elif buckets is None:
+        batch = materialize(batch, "snapshot")
+        buckets = _buckets_for(written_bytes(batch), bucket_bytes)
     changes = _with_bucket(batch, keys, buckets)
     touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]   # at most `buckets`
-    current = _read(store, folders, touched)
-    merged = latest_by_key(changes, keys, order) if current is None else merge_changes(current, changes, keys, order)
-    written = _write(store, batch_id + 1, merged) if touched else []
-    store.commit(batch_id + 1, keys, buckets, {**{int(b): v for b, v in folders.items()}, **dict.fromkeys(written, batch_id + 1)})
+    if grown:
+        current = _read(store, folders)
+        current = None if current is None else _with_bucket(current.drop(BUCKET), keys, buckets)
+    else:
+        current = _read(store, folders, touched)
+    if current is None:
+        merged = latest_by_key(changes, keys, order)
+    elif merge is None:
+        merged = merge_changes(current, changes, keys, order)
+    else:
+        merged = _with_bucket(merge(current.drop(BUCKET), changes.drop(BUCKET)), keys, buckets)
+    written = _write(store, batch_id + 1, merged) if touched or grown else []
+    if on_merged is not None and current is not None and written:
+        after = store.spark.read.parquet(store.data(batch_id + 1)).drop(BUCKET)
+        on_merged(current.drop(BUCKET), after, changes.drop(BUCKET), batch_id)
+    kept = {} if grown else {int(b): v for b, v in folders.items()}
+    store.commit(batch_id + 1, keys, buckets, {**kept, **dict.fromkeys(written, batch_id + 1)})
     store.clean(keep)
 
 
 def start_ingest(spark: SparkSession, source: str, schema: T.StructType, state_root: str, checkpoint: str,
                  keys: Sequence[str], order: Sequence[str], available_now: bool = True,
-                 max_files_per_trigger: int | None = None, processing_time: str = "1 minute"):
+                 max_files_per_trigger: int | None = None, processing_time: str = "1 minute", **merging):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``available_now`` processes everything present and stops (the daily
-    refresh); otherwise a batch starts every ``processing_time``.
+    refresh); otherwise a batch starts every ``processing_time``. ``merging``
+    goes to ``merge_batch``.
     """
     keys, order = list(keys), list(order)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     writer = (reader.parquet(source).writeStream
-              .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, state_root, keys, order))
+              .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, state_root, keys, order, **merging))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -80,7 +80,12 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
 
 def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                     weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: int = 2) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it, with the input's columns."""
+    """The documents themselves, each as often as the mix takes it and at most ``cap`` times, with the input's columns.
+
+    Null and empty texts go with the documents that hash like them. Null ids
+    and sources, repeated rows and ties as in ``mix``; columns named like the
+    ones made here pass through; an empty table gives no rows.
+    """
     _, plan = mix_plan(docs, id_col, source_col, text_col, weights, share, cap)
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),
                         present_key(docs[source_col]).alias("_key"), doc_hash(docs[id_col]).alias("_h")) \
@@ -124,8 +129,9 @@ def mix_plan(docs: DataFrame, id_col: str, source_col: str, text_col: str, weigh
             F.min_by(F.col("_cum") - F.col("_sum"), "_b").alias("_base"), F.min_by("_cum", "_b").alias("_end"))
     take_last = (F.col("_end") - F.col("_rest")) < (F.col("_rest") - F.col("_base"))
     cuts = state.select("_key", (F.col("_prefix") + F.when(take_last, 1).otherwise(0)).alias("_cut"))
-    # Sources without a single word have no boundary and no threshold.
-    decided = plan.join(cuts, "_key", "left").withColumn("_cut", F.coalesce("_cut", F.lit(0).cast("long")))
+    # No threshold without a boundary: sources without a single word, and those whose whole copies meet the target.
+    decided = plan.join(cuts, "_key", "left").withColumn(
+        "_cut", F.when(F.col("_rest") > 0, F.coalesce("_cut", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long")))
     return sized, table(decided, "mix-plan")
 
 

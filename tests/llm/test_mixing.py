@@ -1,3 +1,4 @@
+from collections import Counter
 import hashlib
 import random
 import re
@@ -84,3 +85,21 @@ def test_no_rows_and_no_words(spark):
     assert mixing.mix(spark.createDataFrame([], schema)).collect() == []
     got = mixing.mix(spark.createDataFrame([(1, None, None), (2, "a", " ")], schema)).collect()
     assert [(r["size"], r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_empty_texts_come_at_most_cap_times(spark):
+    """A source whose whole copies meet its target has no threshold: nothing is taken once more."""
+    rows = [(i, "a", "one two three" if i % 2 else ["", None][i % 4 // 2]) for i in range(80)] + [(100 + i, "b", "word " * 50) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mixed = [(r.doc_id, r.taken, r.copies, r.size, r.target, r.source_size) for r in mixing.mix(df).collect() if r.doc_id < 100]
+    assert all(r[4] == 2 * r[5] and r[2] == 2 and r[1] == 2 * r[3] for r in mixed)
+    times = Counter(r.doc_id for r in mixing.mixed_documents(df).collect())
+    assert {times[i] for i in range(80)} == {2}
+
+
+def test_mix_of_an_empty_table_and_clashing_names(spark):
+    schema = "doc_id long, source string, text string, _doc string, _n int, _key string, copies int"
+    assert mixing.mixed_documents(spark.createDataFrame([], schema)).collect() == []
+    rows = [(i % 5 or None, None if i % 3 else "s", "a b c", "d", i, "k", 9) for i in range(30)]
+    got = mixing.mixed_documents(spark.createDataFrame(rows, schema))
+    assert got.columns == ["doc_id", "source", "text", "_doc", "_n", "_key", "copies"] and set(map(tuple, got.collect())) <= set(rows)

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from ..operators.materialize import scratch_folder
 from ..operators.ordering import PART, PLACE, Key, RangeConfig, ranked
 from ..sources import sinks
+from . import clean as C
 from . import metrics as M
 from .oracle_sql import with_ctes
-from .registry import ORACLE, comparable, register, sales, silver
+from .registry import ORACLE, bronze, comparable, register, sales, silver
 from .tablework import one_row_per_day
 
 # --- D8, D9: only the folders of the days a calendar names -----------------------------------------------------------
@@ -127,3 +128,33 @@ def q_customer_base_bucketed(spark, sf_dir):
     """``customer_base`` from a timeline that lies bucketed by customer: no shuffle on the customer."""
     timeline, rollup = timeline_by_customer(spark, sales(spark, sf_dir))
     return comparable(M.customer_base(timeline, M.reference_date(rollup)), round6=("avg_spend_change_pct",))
+
+
+ORDER_TOTALS = with_ctes("""SELECT i.order_id, CAST(i.items AS DOUBLE) AS item_total, CAST(coalesce(o.options, 0) AS DOUBLE) AS option_total
+FROM (SELECT order_id, sum(item_total) AS items FROM c_items GROUP BY order_id) i
+LEFT JOIN (SELECT order_id, sum(option_total) AS options FROM c_opts GROUP BY order_id) o ON i.order_id = o.order_id""")
+
+
+def order_totals(items: DataFrame, options: DataFrame) -> DataFrame:
+    """Item and option totals per order, without the fan-out; from tables bucketed alike by order nothing is shuffled."""
+    of_items = items.groupBy("order_id").agg(F.sum("item_total").alias("item_total"))
+    of_options = options.groupBy("order_id").agg(F.sum("option_total").alias("option_total"))
+    return of_items.join(of_options, "order_id", "left").select(
+        "order_id", "item_total", F.coalesce("option_total", F.lit(0)).alias("option_total"))
+
+
+def tables_by_order(spark: SparkSession, bronze, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Cleaned items and options as tables bucketed by order, in the same number of buckets."""
+    from ..operators.materialize import materialize, written_bytes
+    items = materialize(C.clean_order_items(bronze.order_items, bronze.dedup_order, bronze.drop_after_dedup), "by-order")
+    options = C.clean_order_item_options(bronze.order_item_options)
+    buckets = buckets or max(1, math.ceil(written_bytes(items) / BUCKET_BYTES))
+    mark = uuid.uuid4().hex[:12]
+    return tuple(write_bucketed(df, f"{name}_{mark}", "order_id", ("order_id", "lineitem_id"), scratch_folder(spark, name), buckets)
+                 for name, df in (("order_items", items), ("order_item_options", options)))
+
+
+@register("order_totals_bucketed", ORDER_TOTALS)
+def q_order_totals_bucketed(spark, sf_dir):
+    """Order totals from items and options that lie bucketed by order: neither grouping nor join shuffles."""
+    return comparable(order_totals(*tables_by_order(spark, bronze(spark, sf_dir))))

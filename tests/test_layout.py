@@ -99,3 +99,21 @@ def test_discounts_derive_silver_once(spark):
     silver = all_queries()["silver_sales_fact"](spark, SF0001)
     assert scans(silver) == 2   # lines and their options both come from it
     assert scans(all_queries()["discount_effectiveness"](spark, SF0001)) == 0   # read from the written roll-up
+
+
+def test_tables_bucketed_by_order_are_joined_in_place(spark):
+    from tavola.sources import star
+    items, options = L.tables_by_order(spark, star.bronze(spark, SF0001), buckets=6)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(L.order_totals(items, options)).toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("SelectedBucketsCount: 6 out of 6") == 2
+
+
+def test_every_segment_occurs(spark):
+    from tavola.plans.registry import all_queries
+    rows = all_queries()["segments_with_newcomers"](spark, SF0001.replace("0.001", "0.01")).collect()
+    assert {r["segment"] for r in rows} == {"VIP", "New Customer", "Churn Risk", "Standard"}

@@ -137,7 +137,13 @@ def read_loss_text(formatted: Column, spans: Column) -> Column:
 
 
 def format_conversations(turns: DataFrame, **columns) -> DataFrame:
-    """Rows by turn → one formatted conversation each: conv_id, formatted, loss_spans."""
+    """Rows by turn → one formatted conversation each: conv_id, formatted, loss_spans.
+
+    Null turns come first, ties in order of role and text (null first), so
+    repeated rows are turns of their own; null roles and texts are empty; rows
+    with a null id are one conversation. Other columns are left out, whatever
+    their names; an empty table gives none.
+    """
     messages = table(linear_replies(turns, **columns), "chat-messages")
     out = format_paths(messages, reply_paths(messages, top=1))
     return out.select(F.col("tree").alias(columns.get("conv_col", "conv_id")), "formatted", "loss_spans")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.materialize import materialize as table  # noqa: F401  written once, lineage cut
+from ..operators.materialize import scratch_folder
 from ..session import ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,9 +45,8 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """URI of a new folder on the shared checkpoint storage."""
-    root = ensure_checkpoint_dir(spark)
-    return re.sub(r"^file:/+", "file:///", f"{root}/{name}-{uuid.uuid4().hex[:12]}")
+    """URI of a new folder on the shared checkpoint storage, owned by the session like its written tables."""
+    return re.sub(r"^file:/+", "file:///", scratch_folder(spark, name))
 
 
 def drop_scratch(spark: SparkSession, uri: str) -> None:

@@ -25,6 +25,7 @@ WORD_SHARD_BYTES, PAIR_SHARD_BYTES = 256 << 20, 16 << 20   # training text for e
 SPLIT = 500_000                 # occurrences of a first word for each of its shards
 GATHER = 1_500_000              # tokens or different words gathered before they are passed on
 CACHE = 700_000                 # words whose number a worker remembers
+OPEN = 128                      # arrays of each kind a worker keeps mapped
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -103,11 +104,28 @@ class Lexicon:
         return Column(self, name, dtype)
 
 
+class Open(dict):
+    """Mapped arrays by shard: the ones used last, ``OPEN`` of them at most, so that a worker's maps do not grow with the
+    model. A missing one is opened by ``load``."""
+
+    def __init__(self, load):
+        self.load = load
+
+    def __getitem__(self, shard):
+        found = self.pop(shard, None)
+        if found is None:
+            found = self.load(shard)
+            while len(self) >= OPEN:
+                del self[next(iter(self))]
+        self[shard] = found   # the last one now
+        return found
+
+
 class Column:
     """Values by word number, read from the shards' arrays."""
 
     def __init__(self, lexicon: Lexicon, name: str, dtype):
-        self.lexicon, self.name, self.dtype, self.open = lexicon, name, dtype, {}
+        self.dtype, self.open = dtype, Open(lambda s: lexicon.array(name, s, dtype))
         self.bases = lexicon.bases
 
     def __getitem__(self, numbers):
@@ -115,8 +133,6 @@ class Column:
         out = np.zeros(len(numbers), self.dtype)
         shard = np.searchsorted(self.bases, numbers, side="right") - 1
         for s in np.unique(shard):
-            if s not in self.open:
-                self.open[s] = self.lexicon.array(self.name, s, self.dtype)
             at = shard == s
             out[at] = self.open[s][numbers[at] - self.bases[s]]
         return out
@@ -126,7 +142,9 @@ class Numbering:
     """Word numbers of lists of words; -1 for words not in the lexicon. Remembers a bounded number of words."""
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.bases, self.open, self.known = lexicon, lexicon.bases, {}, {}
+        import numpy as np
+        self.lexicon, self.bases, self.known = lexicon, lexicon.bases, {}
+        self.open = Open(lambda s: lexicon.array("hash", s, np.uint64))
 
     def find(self, hashes):
         import numpy as np
@@ -135,8 +153,6 @@ class Numbering:
         for s in np.unique(shard):
             if not self.lexicon.sizes[s]:
                 continue
-            if s not in self.open:
-                self.open[s] = self.lexicon.array("hash", s, np.uint64)
             array, at = self.open[s], np.flatnonzero(shard == s)
             place = np.minimum(np.searchsorted(array, hashes[at]), len(array) - 1)
             hit = array[place] == hashes[at]
@@ -335,9 +351,17 @@ class Scorer:
         import numpy as np
         self.m, self.numbering = model, Numbering(model.lexicon)
         self.count, self.before = model.lexicon.column("count", np.uint64), model.lexicon.column("before", np.uint32)
-        self.after: dict = {}
+        self.after = Open(lambda s: model.lexicon.array("after", s, np.int64).reshape(-1, 4))
         self.bases = model.lexicon.bases
-        self.pairs: dict = {}
+        self.pairs = Open(self._pair_arrays)
+
+    def _pair_arrays(self, shard: int):
+        import numpy as np
+        names = (f"{self.m.lexicon.uri}/pairs-{shard:06d}.{x}" for x in ("key", "count"))
+        try:
+            return tuple(map_array(x, d) for x, d in zip(names, (np.uint64, np.uint32)))
+        except FileNotFoundError:   # no bigram fell into this shard
+            return np.empty(0, np.uint64), np.empty(0, np.uint32)
 
     def followers(self, numbers):
         """Per word: tokens after it, and how many different words follow once, twice, more often."""
@@ -345,8 +369,6 @@ class Scorer:
         out = np.zeros((len(numbers), 4))
         shard = np.searchsorted(self.bases, numbers, side="right") - 1
         for s in np.unique(shard):
-            if s not in self.after:
-                self.after[s] = self.m.lexicon.array("after", s, np.int64).reshape(-1, 4)
             at = shard == s
             out[at] = self.after[s][numbers[at] - self.bases[s]]
         return out
@@ -359,12 +381,6 @@ class Scorer:
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(self.m.pair_shards + 1))
         for s in np.flatnonzero(np.diff(edges)):
-            if s not in self.pairs:
-                names = (f"{self.m.lexicon.uri}/pairs-{s:06d}.{x}" for x in ("key", "count"))
-                try:
-                    self.pairs[s] = tuple(map_array(x, d) for x, d in zip(names, (np.uint64, np.uint32)))
-                except FileNotFoundError:   # no bigram fell into this shard
-                    self.pairs[s] = np.empty(0, np.uint64), np.empty(0, np.uint32)
             keys, counts = self.pairs[s]
             at = order[edges[s]:edges[s + 1]]
             if len(keys):
@@ -423,7 +439,12 @@ class Scorer:
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, n_known, base_score, score, perplexity) of whole texts; log10 sums. One row per input row."""
+    """(id, n_tokens, n_known, base_score, score, perplexity) of whole texts; log10 sums.
+
+    One row per input row: repeated rows and null ids are scored like any
+    other, null and empty texts are the end token alone. Other columns are left
+    out, whatever their names; an empty table gives no rows.
+    """
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
 
     def run(batches):

@@ -231,7 +231,12 @@ def judge_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that pass, with all their columns."""
+    """The documents that pass, with all their columns, whatever their names.
+
+    Null and wordless texts fail. Repeated rows pass or fail together, null ids
+    like any other; labels that are null, or of null or absent ids, do not
+    count; an empty table gives none.
+    """
     judge = fit(table(statistics(docs, id_col, text_col), "quality-stats"), labels, id_col)
     return docs.filter(passes(judge, F.col(text_col)))
 

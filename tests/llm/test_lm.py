@@ -112,3 +112,20 @@ def test_empty_training_and_empty_input(spark):
     assert model.train_tokens == 0 and got == [(3, 0, 0.0, 0.0), (1, 0, 0.0, 0.0)]
     model = lm.train(spark.createDataFrame([("a b",)], "text string"))
     assert lm.score(spark.createDataFrame([], "doc_id long, text string"), model).collect() == []
+
+
+def test_null_ids_repeated_rows_and_clashing_names(spark):
+    model = lm.train(spark.createDataFrame([("a b c",), (None,)], "text string"))
+    rows = [(None, "a b", 1.0), (None, None, 2.0), (4, "a b", 3.0), (4, "a b", 3.0), (5, "", 4.0)]
+    got = [tuple(r) for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string, perplexity double"), model).collect()]
+    assert sorted(map(str, (r[0] for r in got))) == ["4", "4", "5", "None", "None"]
+    by_text = {"a b": [r[1:] for r in got if r[1] == 3], "end": [r[1:] for r in got if r[1] == 1]}
+    assert len(by_text["a b"]) == 3 and len(set(by_text["a b"])) == 1 and len(by_text["end"]) == 2 and len(set(by_text["end"])) == 1
+
+
+def test_open_arrays_are_bounded(monkeypatch):
+    monkeypatch.setattr(lm, "OPEN", 3)
+    loaded = []
+    arrays = lm.Open(lambda s: loaded.append(s) or s * 10)
+    assert [arrays[s] for s in (1, 2, 3, 1, 4, 1, 2, 2)] == [10, 20, 30, 10, 40, 10, 20, 20]
+    assert loaded == [1, 2, 3, 4, 2] and sorted(arrays) == [1, 2, 4]

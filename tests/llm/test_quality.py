@@ -75,3 +75,30 @@ def test_forest_scores_outliers_higher():
     x = rng.normal(size=(2000, 5))
     f = Q.grow_forest(x)
     assert f.score(np.full((1, 5), 8.0))[0] > np.quantile(f.score(x), 0.999)
+
+
+def test_path_lengths_match_a_plain_forest():
+    """Scores against path lengths followed node by node, and the trees against the rows that grew them."""
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=(60, 3)), [[9, 9, 9]]])
+    forest = Q.grow_forest(x[:60], trees=7, rows=20, seed=3)
+    seen = np.vstack([x, x[:3] + 1e-9])
+
+    def mean_unsuccessful(n):   # by its definition from harmonic numbers, as the logarithm approximates them
+        return 0 if n < 2 else 1 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+
+    def path(tree, row):
+        at, depth = 0, 0
+        while forest.left[tree, at] != at:
+            at = forest.left[tree, at] if row[forest.feature[tree, at]] < forest.split[tree, at] else forest.right[tree, at]
+            depth += 1
+        return depth, forest.length[tree, at]
+
+    want = []
+    for row in seen:
+        lengths = [path(t, row) for t in range(7)]
+        assert all(h >= d for d, h in lengths)   # a leaf of several rows adds what a search among them would
+        want.append(2 ** (-np.mean([h for _, h in lengths]) / mean_unsuccessful(20)))
+    assert np.allclose(forest.score(seen), want)
+    assert np.argmax(forest.score(x)) == 60
+    assert Q.unsuccessful(1) == 0 and Q.unsuccessful(2) == 1 and abs(Q.unsuccessful(256) - mean_unsuccessful(256)) < 1e-12

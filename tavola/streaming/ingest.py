@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.cdc import latest_by_key, live, merge_changes
+from ..operators.cdc import live, merge_changes
 from ..operators.materialize import materialize, written_bytes
 
 BUCKET = "tavola_bucket"
@@ -167,21 +167,17 @@ def merge_batch(batch: DataFrame, batch_id: int, state_root: str, keys: Sequence
         buckets = _buckets_for(written_bytes(batch), bucket_bytes)
     changes = _with_bucket(batch, keys, buckets)
     touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]   # at most `buckets`
-    if grown:
-        current = _read(store, folders)
-        current = None if current is None else _with_bucket(current.drop(BUCKET), keys, buckets)
-    else:
-        current = _read(store, folders, touched)
-    if current is None:
-        merged = latest_by_key(changes, keys, order)
-    elif merge is None:
-        merged = merge_changes(current, changes, keys, order)
-    else:
-        merged = _with_bucket(merge(current.drop(BUCKET), changes.drop(BUCKET)), keys, buckets)
+    current = _read(store, folders, None if grown else touched)
+    if current is None:   # none of these buckets yet: no rows, in the state's columns
+        whole = _read(store, folders)
+        current = (changes if whole is None else whole).limit(0)
+    current = current.drop(BUCKET)
+    apply = merge or (lambda state, new: merge_changes(state, new, keys, order))
+    merged = _with_bucket(apply(current, changes.drop(BUCKET)), keys, buckets)
     written = _write(store, batch_id + 1, merged) if touched or grown else []
-    if on_merged is not None and current is not None and written:
+    if on_merged is not None and written:
         after = store.spark.read.parquet(store.data(batch_id + 1)).drop(BUCKET)
-        on_merged(current.drop(BUCKET), after, changes.drop(BUCKET), batch_id)
+        on_merged(current, after, changes.drop(BUCKET), batch_id)
     kept = {} if grown else {int(b): v for b, v in folders.items()}
     store.commit(batch_id + 1, keys, buckets, {**kept, **dict.fromkeys(written, batch_id + 1)})
     store.clean(keep)

@@ -117,6 +117,11 @@ def test_the_stream_keeps_the_view_current(spark, tmp_out):
     assert len(ingest.committed_versions(spark, f"{tmp_out}/state")) == 3
     want = rebuilt(I.untouched(lines, changes).unionByName(I.next_lines(lines, changes, ORDER, VERSION)), options)
     assert sorted(map(str, view.read(spark).collect())) == want
+    # Lines that the feed brings whole, into buckets that hold nothing yet.
+    new = spark.createDataFrame([line(f"new{i}", "z", "2024-02-01", f"{i}.00") for i in range(9)], LINE)
+    ingest.merge_batch(new, 2, f"{tmp_out}/state", ITEM_KEYS, ORDER, merge=I.feed_merge(ORDER, VERSION), on_merged=I.feed_refresh(view, options))
+    got = [r for r in view.read(spark).collect() if r["order_date"] == dt.date(2024, 2, 1)]
+    assert [(r["daily_revenue"], r["daily_order_count"]) for r in got] == [(Decimal("36.00"), 9)]
 
 
 def test_state_buckets_follow_its_size(spark, tmp_out):

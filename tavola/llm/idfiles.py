@@ -1,9 +1,9 @@
 """Documents as token ids in compressed files, in ascending order of their names.
 
-The rows are dealt by ranges of the name, each range sorted, so that files in
-order hold the documents in order. A task closes a file after FILE_IDS ids, so
-neither a range with many rows nor a name that many rows share is ever held
-whole.
+The rows are dealt by ranges of the name and the beginning of the text, each
+range sorted, so that files in order hold the documents in order and rows that
+share a name spread over many ranges. A task closes a file after FILE_IDS ids,
+so a range with many rows is never held whole.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .common import open_file, scratch, table, write_file
 
 RANGE_BYTES, FILE_IDS = 32 << 20, 6_000_000   # text for each range; ids after which a file is closed
+KEY_CHARS = 64   # characters of the text in the key that rows are dealt by
 
 
 def write_documents(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
@@ -32,7 +33,8 @@ def write_documents(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col:
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"))
     size = rows.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
     order = [F.col("_id").asc_nulls_first(), F.col("_t").asc_nulls_first()]
-    dealt = rows.repartitionByRange(1 + size // RANGE_BYTES, order[0]).sortWithinPartitions(*order)
+    key = F.substring("_t", 1, KEY_CHARS).asc_nulls_first()   # sorts as the text does
+    dealt = rows.repartitionByRange(1 + size // RANGE_BYTES, order[0], key).sortWithinPartitions(*order)
 
     def run(batches):
         import numpy as np

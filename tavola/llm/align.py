@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .tokens import MAX_PIECES, NO_SPACE, Encoder
+from .tokens import NO_SPACE, Encoder
 
 SPACE_MARK = "▁"
 #: Characters of text aligned at once; a longer text is aligned on its own.
 CHUNK_CHARS = 400_000
+#: Different pieces a worker remembers, with both sides' ids.
+MAX_PIECES = 500_000
 #: Rows of the link table read at once.
 COUNT_ROWS = 400
 

@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark and stored as sorted hash arrays.
+"""Interpolated modified Kneser-Ney n-gram model of order two or three, counted in Spark and stored as sorted hash arrays.
 
 Words are numbered by the rank of their 64-bit hash among all training words.
 Counting packs what a batch has gathered into arrays per shard, so a shuffle
@@ -9,6 +9,13 @@ bigrams up by binary search.
 A bigram goes to a shard by its first word, but a word with many occurrences is
 split over several shards by the second word, so no shard depends on how common
 a word is. Bigram keys are two 32-bit word numbers.
+
+Order three counts trigrams and keeps, for bigrams, the number of different
+words before them instead of their occurrences; all else is the same. Trigrams
+and their contexts are keyed by 64-bit hashes of word numbers. A trigram goes
+to a shard by its context, a context that may be common (no more often than its
+rarer word) is split by the third word, and what is known of a context is summed
+in a shard of its own.
 """
 
 from __future__ import annotations
@@ -57,6 +64,22 @@ def pair_shard(first, second, first_count, shards: int):
     return (mix(first.astype(np.uint64) * np.uint64(0x10001) + sub * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shards)).astype(np.int64)
 
 
+def chain(first, *others):
+    """64-bit hashes of runs of word numbers, one array per place."""
+    import numpy as np
+    h = mix(first.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
+    for x in others:
+        h = mix(h + x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return h
+
+
+def triple_shard(context, third, context_most, shards: int):
+    """Shards of trigrams; ``context_most`` bounds the occurrences of their contexts."""
+    import numpy as np
+    sub = mix(third.astype(np.uint64) + np.uint64(0x51ED270B)) % (1 + context_most // SPLIT).astype(np.uint64)
+    return (mix(context + sub * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shards)).astype(np.int64)
+
+
 def merge(keys, counts):
     """Sorted different keys and their summed counts."""
     import numpy as np
@@ -186,6 +209,8 @@ class Model:
     pair_discounts: tuple[float, float, float]
     word_discounts: tuple[float, float, float]
     word_classes: tuple[int, int, int]   # words with 1, 2, 3 or more different words before them
+    order: int = 2
+    triple_discounts: tuple[float, float, float] = (0.75,) * 3
 
     @property
     def words(self) -> int:
@@ -201,12 +226,14 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), float(k)) for k, d in enumerate(found, 1))
 
 
-def train(docs: DataFrame, *, text_col: str = "text") -> Model:
-    """Count the texts and write the model's arrays to the shared folder.
+def train(docs: DataFrame, *, text_col: str = "text", order: int = 2) -> Model:
+    """Count the texts and write the model's arrays to the shared folder. ``order`` is 2 or 3.
 
     Null and empty texts are one end token. No rows give a model without words,
     under which every text has probability 1.
     """
+    if order not in (2, 3):
+        raise ValueError("the order must be 2 or 3")
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -252,9 +279,10 @@ def train(docs: DataFrame, *, text_col: str = "text") -> Model:
     if sum(lexicon.sizes) >= 1 << 32:
         raise ValueError("more than 2^32 different words")
     if not written:
-        return Model(lexicon, pair_shards, 0, 0, (0.75,) * 3, (0.75,) * 3, (0, 0, 0))
+        return Model(lexicon, pair_shards, 0, 0, (0.75,) * 3, (0.75,) * 3, (0, 0, 0), order)
 
-    def count_pairs(batches):
+    def count_runs(batches):
+        """Packed bigrams or trigrams of the texts."""
         import numpy as np
         numbering, counts = Numbering(lexicon), lexicon.column("count", np.uint64)
         end = numbering([END])
@@ -262,26 +290,35 @@ def train(docs: DataFrame, *, text_col: str = "text") -> Model:
         total = 0
 
         def passed_on():
+            if order == 3:
+                a, b, c = (np.concatenate(x) for x in zip(*held))
+                held.clear()
+                _, at, n = np.unique(chain(a, b, c), return_index=True, return_counts=True)
+                a, b, c = a[at], b[at], c[at]
+                most = np.minimum(_values(counts, a), _values(counts, b))
+                shard = triple_shard(chain(a, b), c, most, pair_shards)
+                by = np.argsort(shard, kind="stable")
+                return _batch(_packed(shard[by], *(x[by].astype(np.uint32) for x in (a, b, c, n))), ["shard", "a", "b", "c", "count"])
             key, n = np.unique(np.concatenate(held), return_counts=True)
             first, second = key >> np.uint64(32), key & np.uint64(0xFFFFFFFF)
             different, of = np.unique(first, return_inverse=True)
             shard = pair_shard(first, second, counts[different.astype(np.int64)][of], pair_shards)
-            order = np.argsort(shard, kind="stable")
+            by = np.argsort(shard, kind="stable")
             held.clear()
-            return _batch(_packed(shard[order], key[order], n[order].astype(np.uint32)), ["shard", "key", "count"])
+            return _batch(_packed(shard[by], key[by], n[by].astype(np.uint32)), ["shard", "key", "count"])
 
         for b in batches:
             words: list[bytes] = []
             for t in b.column("text").to_pylist():
                 words += tokens(t)
                 if len(words) > GATHER:
-                    held.append(_pairs(numbering(words), end))
+                    held.append(runs(numbering(words), end))
                     total += len(words)
                     words = []
                     yield passed_on()
                     total = 0
             if words:
-                held.append(_pairs(numbering(words), end))
+                held.append(runs(numbering(words), end))
                 total += len(words)
             if total > GATHER:
                 yield passed_on()
@@ -289,11 +326,62 @@ def train(docs: DataFrame, *, text_col: str = "text") -> Model:
         if held:
             yield passed_on()
 
-    def write_pairs(t):
+    def write_triples(t):
+        """Write a shard's trigrams; give on bigrams with their different words before, sums of contexts, and classes."""
+        import numpy as np
+        import pyarrow as pa
+        s = t.column("shard")[0].as_py()
+        a, b, c, n = (_joined(t.column(x), np.uint32) for x in ("a", "b", "c", "count"))
+        key = chain(a, b, c)
+        by = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.append(True, key[by][1:] != key[by][:-1]))
+        n = np.add.reduceat(n[by].astype(np.int64), first)
+        key, a, b, c = (x[by][first] for x in (key, a, b, c))
+        write_file(f"{uri}/triples-{s:06d}.key", [key.tobytes()])
+        write_file(f"{uri}/triples-{s:06d}.count", [n.astype(np.uint32).tobytes()])
+        counts = lexicon.column("count", np.uint64)
+        rows = [(-1, b"", np.array([(n == k).sum() for k in (1, 2, 3, 4)] + [len(n)], np.int64).tobytes())]
+        context = chain(a, b)
+        by = np.argsort(context, kind="stable")
+        start = np.flatnonzero(np.append(True, context[by][1:] != context[by][:-1]))
+        after = np.stack([np.add.reduceat(x[by].astype(np.int64), start) for x in (n, n == 1, n == 2, n >= 3)], axis=1)
+        context = context[by][start]
+        shard = (context % np.uint64(pair_shards)).astype(np.int64)
+        by = np.argsort(shard, kind="stable")
+        rows += [(2 * w + 1, k, v) for w, k, v in _packed(shard[by], context[by], after[by])]
+        pair, before = np.unique(b.astype(np.uint64) << np.uint64(32) | c.astype(np.uint64), return_counts=True)
+        b, c = pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)
+        shard = pair_shard(b, c, _values(counts, b), pair_shards)
+        by = np.argsort(shard, kind="stable")
+        rows += [(2 * w, k, v) for w, k, v in _packed(shard[by], pair[by], before[by].astype(np.uint32))]
+        return pa.Table.from_batches([_batch(rows, ["shard", "key", "count"])])
+
+    def write_contexts(t):
+        """A shard of bigrams (even), of contexts of trigrams (odd, nothing to give on), or the trigrams' classes (-1)."""
         import numpy as np
         import pyarrow as pa
         s = t.column("shard")[0].as_py()
-        key, n = merge(_joined(t.column("key"), np.uint64), _joined(t.column("count"), np.uint32).astype(np.uint64))
+        if s < 0:
+            rows = [(-2, np.zeros(1, np.int64).tobytes(), v) for v in t.column("count").to_pylist()]
+            return pa.Table.from_batches([_batch(rows, ["shard", "ids", "values"])])
+        key = _joined(t.column("key"), np.uint64)
+        if s % 2 == 0:
+            return write_pairs(s // 2, key, _joined(t.column("count"), np.uint32))
+        after = _joined(t.column("count"), np.int64).reshape(-1, 4)
+        by = np.argsort(key, kind="stable")
+        start = np.flatnonzero(np.append(True, key[by][1:] != key[by][:-1]))
+        write_file(f"{uri}/contexts-{s // 2:06d}.key", [key[by][start].tobytes()])
+        write_file(f"{uri}/contexts-{s // 2:06d}.after", [np.add.reduceat(after[by], start, axis=0).tobytes()])
+        return pa.schema([("shard", pa.int32()), ("ids", pa.binary()), ("values", pa.binary())]).empty_table()
+
+    def write_pair_rows(t):
+        import numpy as np
+        return write_pairs(t.column("shard")[0].as_py(), _joined(t.column("key"), np.uint64), _joined(t.column("count"), np.uint32))
+
+    def write_pairs(s, key, n):
+        import numpy as np
+        import pyarrow as pa
+        key, n = merge(key, n.astype(np.uint64))
         write_file(f"{uri}/pairs-{s:06d}.key", [key.tobytes()])
         write_file(f"{uri}/pairs-{s:06d}.count", [n.astype(np.uint32).tobytes()])
         first, second = (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -328,13 +416,35 @@ def train(docs: DataFrame, *, text_col: str = "text") -> Model:
             totals = np.array([(before == k).sum() for k in (1, 2, 3, 4)] + [(before >= 3).sum()], np.int64)
         return pa.table({"shard": pa.array([s], pa.int32()), "totals": pa.array([totals.tolist()], pa.list_(pa.int64()))})
 
-    packed = texts.mapInArrow(count_pairs, "shard int, key binary, count binary")
-    gathered = packed.groupBy("shard").applyInArrow(write_pairs, "shard int, ids binary, values binary") \
-        .groupBy("shard").applyInArrow(write_statistics, "shard int, totals array<bigint>").collect()
-    pair_classes = next(r["totals"] for r in gathered if r["shard"] < 0)
+    runs = _pairs if order == 2 else _triples
+    if order == 2:
+        packed = texts.mapInArrow(count_runs, "shard int, key binary, count binary")
+        written_pairs = packed.groupBy("shard").applyInArrow(write_pair_rows, "shard int, ids binary, values binary")
+    else:
+        packed = texts.mapInArrow(count_runs, "shard int, a binary, b binary, c binary, count binary")
+        written_pairs = packed.groupBy("shard").applyInArrow(write_triples, "shard int, key binary, count binary") \
+            .groupBy("shard").applyInArrow(write_contexts, "shard int, ids binary, values binary")
+    gathered = written_pairs.groupBy("shard").applyInArrow(write_statistics, "shard int, totals array<bigint>").collect()
+    pair_classes = next(r["totals"] for r in gathered if r["shard"] == -1)
+    triple_classes = next((r["totals"] for r in gathered if r["shard"] == -2), [0] * 5)
     words = [sum(x) for x in zip(*(r["totals"] for r in gathered if r["shard"] % 2 == 1 and r["shard"] > 0))]
     return Model(lexicon, pair_shards, n_tokens, pair_classes[4], discounts(*pair_classes[:4]), discounts(*words[:4]),
-                 (words[0], words[1], words[4]))
+                 (words[0], words[1], words[4]), order, discounts(*triple_classes[:4]))
+
+
+def _values(column, numbers):
+    """A column's values for word numbers that repeat."""
+    import numpy as np
+    different, of = np.unique(numbers.astype(np.int64), return_inverse=True)
+    return column[different][of]
+
+
+def _triples(numbers, end):
+    """Runs of three tokens; two end tokens stand before the first. A text begins after an end token."""
+    import numpy as np
+    before = np.concatenate([end, numbers[:-1]])
+    earlier = np.concatenate([end, before[:-1]])
+    return np.where(before == end[0], end[0], earlier), before, numbers
 
 
 def _pairs(numbers, end):
@@ -353,15 +463,33 @@ class Scorer:
         self.count, self.before = model.lexicon.column("count", np.uint64), model.lexicon.column("before", np.uint32)
         self.after = Open(lambda s: model.lexicon.array("after", s, np.int64).reshape(-1, 4))
         self.bases = model.lexicon.bases
-        self.pairs = Open(self._pair_arrays)
+        self.pairs = Open(lambda s: self._arrays("pairs", s, "count", np.uint32))
+        self.triples = Open(lambda s: self._arrays("triples", s, "count", np.uint32))
+        self.contexts = Open(lambda s: self._arrays("contexts", s, "after", np.int64))
 
-    def _pair_arrays(self, shard: int):
+    def _arrays(self, kind: str, shard: int, values: str, dtype):
         import numpy as np
-        names = (f"{self.m.lexicon.uri}/pairs-{shard:06d}.{x}" for x in ("key", "count"))
+        names = (f"{self.m.lexicon.uri}/{kind}-{shard:06d}.{x}" for x in ("key", values))
         try:
-            return tuple(map_array(x, d) for x, d in zip(names, (np.uint64, np.uint32)))
-        except FileNotFoundError:   # no bigram fell into this shard
-            return np.empty(0, np.uint64), np.empty(0, np.uint32)
+            key, found = (map_array(x, d) for x, d in zip(names, (np.uint64, dtype)))
+        except FileNotFoundError:   # nothing fell into this shard
+            key, found = np.empty(0, np.uint64), np.empty(0, dtype)
+        return key, found.reshape(len(key), -1)
+
+    def look_up(self, arrays: Open, keys, shard, width: int = 1):
+        """Rows of values by key, from the shards that may hold them; zeros where there are none."""
+        import numpy as np
+        out = np.zeros((len(keys), width))
+        order = np.argsort(shard, kind="stable")
+        edges = np.searchsorted(shard[order], np.arange(self.m.pair_shards + 1))
+        for s in np.flatnonzero(np.diff(edges)):
+            there, values = arrays[s]
+            at = order[edges[s]:edges[s + 1]]
+            if len(there):
+                place = np.minimum(np.searchsorted(there, keys[at]), len(there) - 1)
+                hit = there[place] == keys[at]
+                out[at[hit]] = values[place[hit]]
+        return out
 
     def followers(self, numbers):
         """Per word: tokens after it, and how many different words follow once, twice, more often."""
@@ -375,19 +503,35 @@ class Scorer:
 
     def pair_counts(self, first, second, first_count):
         import numpy as np
-        out = np.zeros(len(first))
         key = first.astype(np.uint64) << np.uint64(32) | second.astype(np.uint64)
-        shard = pair_shard(first, second, first_count, self.m.pair_shards)
-        order = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[order], np.arange(self.m.pair_shards + 1))
-        for s in np.flatnonzero(np.diff(edges)):
-            keys, counts = self.pairs[s]
-            at = order[edges[s]:edges[s + 1]]
-            if len(keys):
-                place = np.minimum(np.searchsorted(keys, key[at]), len(keys) - 1)
-                hit = keys[place] == key[at]
-                out[at[hit]] = counts[place[hit]]
-        return out
+        return self.look_up(self.pairs, key, pair_shard(first, second, first_count, self.m.pair_shards))[:, 0]
+
+    def with_two_words(self, ids, start, lower):
+        """p(w) after two words, from the probabilities after one; those stand where the two words are unseen."""
+        import numpy as np
+        m = self.m
+        end = self.numbering([END])[0]
+        before = np.roll(ids, 1)
+        before[start] = end
+        earlier = np.roll(before, 1)
+        earlier[start] = end
+        at = np.flatnonzero((before >= 0) & (earlier >= 0))
+        a, b, c = earlier[at], before[at], ids[at]
+        contexts, first, of = np.unique(chain(a, b), return_index=True, return_inverse=True)
+        after = self.look_up(self.contexts, contexts, (contexts % np.uint64(m.pair_shards)).astype(np.int64), 4)
+        total, left = after[:, 0], after[:, 1:] @ np.array(m.triple_discounts)
+        known = c >= 0
+        triples, place, back = np.unique(chain(a[known], b[known], c[known]), return_index=True, return_inverse=True)
+        most = np.minimum(_values(self.count, a[known][place]), _values(self.count, b[known][place]))
+        shard = triple_shard(contexts[of[known][place]], c[known][place], most, m.pair_shards)
+        n = np.zeros(len(at))
+        n[known] = self.look_up(self.triples, triples, shard)[back, 0]
+        d = np.array((0.0, *m.triple_discounts))
+        p = lower.copy()
+        seen = total[of] > 0
+        whole = np.maximum(total[of], 1)
+        p[at] = np.where(seen, np.maximum(n - d[np.minimum(n, 3).astype(np.int64)], 0) / whole + left[of] / whole * lower[at], lower[at])
+        return p
 
     def word_probability(self, before):
         """p(w) from the number of different words seen before w; the rest is spread over all words and one unknown."""
@@ -434,6 +578,8 @@ class Scorer:
             d = np.array((0.0, *m.pair_discounts))
             with_context = np.maximum(c - d[np.minimum(c, 3).astype(np.int64)], 0) / np.maximum(total, 1) + share * p
             p = np.where(total > 0, with_context, p)
+            if m.order == 3:
+                p = self.with_two_words(ids, start, p)
         add = lambda x: np.add.reduceat(x, start) if len(start) else np.empty(0)
         return add((count > 0)[of].astype(np.int64)), add(base), add(np.log10(p))
 

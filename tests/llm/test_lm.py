@@ -129,3 +129,68 @@ def test_open_arrays_are_bounded(monkeypatch):
     arrays = lm.Open(lambda s: loaded.append(s) or s * 10)
     assert [arrays[s] for s in (1, 2, 3, 1, 4, 1, 2, 2)] == [10, 20, 30, 10, 40, 10, 20, 20]
     assert loaded == [1, 2, 3, 4, 2] and sorted(arrays) == [1, 2, 4]
+
+
+def brute_three(train, texts):
+    """Order three from the textbook formulas: continuation counts below the top."""
+    uni, triples, end = Counter(), Counter(), "</s>"
+    for t in train:
+        w = toks(t)
+        uni.update(w)
+        triples.update(zip([end, end, *w], [end, *w], w))
+    two = Counter((b, c) for _, b, c in triples)
+    one = Counter(c for _, c in two)
+    disc = lambda counts: lm.discounts(*[sum(c == i for c in counts) for i in (1, 2, 3, 4)])
+    d3, d2, d1 = (disc(list(x.values())) for x in (triples, two, one))
+    cut = lambda c, d: 0 if c == 0 else d[min(c, 3) - 1]
+    after_two, after_one = {}, {}
+    for (a, b, _), c in triples.items():
+        after_two.setdefault((a, b), []).append(c)
+    for (b, _), c in two.items():
+        after_one.setdefault(b, []).append(c)
+
+    def level(c, d, after, lower):
+        return max(c - cut(c, d), 0) / sum(after) + sum(cut(x, d) for x in after) / sum(after) * lower
+    out = []
+    for t in texts:
+        total, a, b = 0.0, end, end
+        for w in toks(t):
+            p = max(one[w] - cut(one[w], d1), 0) / len(two) + sum(cut(c, d1) for c in one.values()) / len(two) / (len(uni) + 1)
+            if b in after_one:
+                p = level(two[b, w], d2, after_one[b], p)
+            if (a, b) in after_two:
+                p = level(triples[a, b, w], d3, after_two[a, b], p)
+            total += math.log10(p)
+            a, b = b, w
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_order_three_matches_the_formulas(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(lm, "WORD_SHARD_BYTES", 700)
+        monkeypatch.setattr(lm, "PAIR_SHARD_BYTES", 300)
+    texts = corpus(6)
+    train = texts[:60] + texts[-7:-4] + texts[:9]
+    model = lm.train(spark.createDataFrame([(t,) for t in train], "text string").repartition(3), order=3)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.score for r in sorted(lm.score(df, model).collect(), key=lambda r: r.doc_id)]
+    assert model.order == 3 and (model.pair_shards > 10) == small
+    for g, w in zip(got, brute_three(train, texts), strict=True):
+        assert g == pytest.approx(w, rel=1e-9)
+
+
+def test_order_three_without_texts_and_other_orders(spark):
+    empty = spark.createDataFrame([], "text string")
+    model = lm.train(empty, order=3)
+    assert [r.score for r in lm.score(spark.createDataFrame([(1, "a")], "doc_id long, text string"), model).collect()] == [0.0]
+    with pytest.raises(ValueError):
+        lm.train(empty, order=4)
+
+
+def test_triple_shards_split_common_contexts():
+    import numpy as np
+    third, context = np.arange(5000), lm.chain(np.full(5000, 7), np.full(5000, 8))
+    assert len(set(lm.triple_shard(context, third, np.full(5000, 10), 50))) == 1
+    assert len(set(lm.triple_shard(context, third, np.full(5000, 40 * lm.SPLIT), 50))) > 20

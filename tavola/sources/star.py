@@ -39,15 +39,20 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     p = read_table(spark, sf_dir, "part")
     loyal = F.col("c_mktsegment").isin(*LOYALTY_SEGMENTS)
-    free = F.col("p_name").startswith(ALWAYS_FREE_PREFIX) | (F.col("l_discount") == 0)
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(c, o.o_custkey == c.c_custkey)
-            .join(p, li.l_partkey == p.p_partkey)
+    free = F.col("p_name").startswith(ALWAYS_FREE_PREFIX) | F.col("_undiscounted")
+    # Parts join the lines while they are narrow and customers join the orders, not the lines. Lines and orders meet last, on
+    # the order's text id: the rows then lie by order_id, so that grouping by it and by more columns shuffles nothing again.
+    orders = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").cast("string").alias("order_id"), "o_custkey", "o_orderdate", "o_orderpriority", "c_name", "c_mktsegment")
+    li = li.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("_quantity"),
+                   (F.col("l_discount") == 0).alias("_undiscounted"), *TIEBREAK_COLUMNS)
+    lines = li.join(p, li.l_partkey == p.p_partkey).withColumn("order_id", F.col("l_orderkey").cast("string"))
+    return (lines.join(orders, "order_id")
             .select(
                 F.col("o_orderpriority").alias("app_name"),
                 F.concat(F.lit("R"), (F.col("l_suppkey") % RESTAURANTS).cast("string")).alias("restaurant_id"),
                 F.col("o_orderdate").cast(T.TimestampType()).alias("creation_time_utc"),
-                F.col("l_orderkey").cast("string").alias("order_id"),
+                "order_id",
                 F.when(F.col("o_custkey") % GUEST_EVERY != 0, F.col("o_custkey").cast("string")).alias("user_id"),
                 F.when(loyal, F.col("c_name")).alias("printed_card_number"),
                 loyal.alias("is_loyalty"),
@@ -56,7 +61,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("p_type").alias("item_category"),
                 F.col("p_name").alias("item_name"),
                 F.when(free, F.lit(0.0)).otherwise(F.col("p_retailprice")).cast(MONEY).alias("item_price"),
-                F.col("l_quantity").cast("int").alias("item_quantity"),
+                F.col("_quantity").alias("item_quantity"),
                 *[F.col(c) for c in TIEBREAK_COLUMNS],
             ))
 

@@ -17,13 +17,21 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return first_by_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
-def merge_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def merge_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  deal_by: str | None = None, reduce: bool = False) -> DataFrame:
     """New state: the latest row per key over ``state ∪ changes``; deletes kept as tombstones.
 
     Keeping tombstones makes the merge order-insensitive: a late, older
-    change for a deleted key cannot bring it back.
+    change for a deleted key cannot bring it back. With ``deal_by``, a column
+    the keys decide, rows are shuffled once by it and lie by it afterwards;
+    ``reduce`` then brings changes that name few keys very often down to one
+    row per key first, in a shuffle of their own.
     """
-    return latest_by_key(state.unionByName(changes, allowMissingColumns=True), keys, order)
+    if deal_by is None:
+        return latest_by_key(state.unionByName(changes, allowMissingColumns=True), keys, order)
+    changes = latest_by_key(changes, keys, order) if reduce else changes
+    rows = state.unionByName(changes, allowMissingColumns=True).repartition(deal_by)
+    return latest_by_key(rows, [deal_by, *keys], order)
 
 
 def live(state: DataFrame, op_col: str = "op") -> DataFrame:

@@ -27,7 +27,8 @@ from ..operators.cdc import live, merge_changes
 from ..operators.materialize import materialize, written_bytes
 
 BUCKET = "tavola_bucket"
-BUCKET_BYTES, KEEP = 256 << 20, 3
+BUCKET_BYTES, KEEP = 32 << 20, 3   # a bucket is one task's work
+HOT_CHANGES = 2_000_000   # changes of one bucket in a batch beyond which they are reduced to a row per key before the merge
 
 
 class StateStore:
@@ -116,9 +117,10 @@ def read_state(spark: SparkSession, state_root: str, version: int | None = None)
     return None if state is None else state.drop(BUCKET)
 
 
-def _write(store: StateStore, version: int, rows: DataFrame) -> list[int]:
-    """Write bucketed rows as the data of a version; the buckets written."""
-    rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(store.data(version))
+def _write(store: StateStore, version: int, rows: DataFrame, dealt: bool = False) -> list[int]:
+    """Write bucketed rows as the data of a version; the buckets written. ``dealt``: the rows lie by bucket already."""
+    (rows if dealt else rows.hint("rebalance", BUCKET)).write.mode("overwrite").option("compression", "zstd") \
+        .partitionBy(BUCKET).parquet(store.data(version))
     names = [s.getPath().getName() for s in store._fs.listStatus(store._path(f"data/{version}"))]
     return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
@@ -166,15 +168,19 @@ def merge_batch(batch: DataFrame, batch_id: int, state_root: str, keys: Sequence
         batch = materialize(batch, "snapshot")
         buckets = _buckets_for(written_bytes(batch), bucket_bytes)
     changes = _with_bucket(batch, keys, buckets)
-    touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]   # at most `buckets`
+    counts = dict(changes.groupBy(BUCKET).count().collect())   # at most `buckets`
+    touched = list(counts)
     current = _read(store, folders, None if grown else touched)
     if current is None:   # none of these buckets yet: no rows, in the state's columns
         whole = _read(store, folders)
         current = (changes if whole is None else whole).limit(0)
     current = current.drop(BUCKET)
-    apply = merge or (lambda state, new: merge_changes(state, new, keys, order))
-    merged = _with_bucket(apply(current, changes.drop(BUCKET)), keys, buckets)
-    written = _write(store, batch_id + 1, merged) if touched or grown else []
+    if merge is None:   # one shuffle by bucket serves the merge and the write
+        merged = merge_changes(_with_bucket(current, keys, buckets), changes, keys, order, deal_by=BUCKET,
+                               reduce=bool(counts) and max(counts.values()) > HOT_CHANGES)
+    else:
+        merged = _with_bucket(merge(current, changes.drop(BUCKET)), keys, buckets)
+    written = _write(store, batch_id + 1, merged, dealt=merge is None) if touched or grown else []
     if on_merged is not None and written:
         after = store.spark.read.parquet(store.data(batch_id + 1)).drop(BUCKET)
         on_merged(current, after, changes.drop(BUCKET), batch_id)

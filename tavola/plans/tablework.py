@@ -90,16 +90,27 @@ def q_cdc_apply(spark, sf_dir):
 FEED_BATCHES = 4   # fixed value: micro-batches the landed feed is applied in
 
 
+def _land(changes: DataFrame, root: str) -> tuple[str, int]:
+    """The feed as files, as its tasks write them, and their number; a feed of too few files for its batches is dealt first."""
+    spark, source = changes.sparkSession, f"{root}/source"
+    count = lambda path: len(spark.read.schema(changes.schema).parquet(path).inputFiles())
+    with sinks._setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        changes.write.parquet(source)
+    if count(source) < FEED_BATCHES:
+        few, source = source, f"{root}/dealt"
+        files = max(FEED_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spark.read.schema(changes.schema).parquet(few).repartition(files).write.parquet(source)
+    return source, count(source)
+
+
 @register("cdc_stream_apply", CDC_SELECT)
 def q_cdc_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same change feed landed as files and applied by the incremental stream in several batches."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tavola-cdc-{uuid.uuid4().hex}"
     changes = star.item_changes(spark, sf_dir)
-    files = max(FEED_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    changes.repartition(files).write.parquet(f"{root}/source")
+    source, landed = _land(changes, root)
     ingest.write_initial_state(change_base(_clean_items(spark, sf_dir)), f"{root}/state", schemas.ITEM_KEYS)
-    landed = len(spark.read.schema(changes.schema).parquet(f"{root}/source").inputFiles())
-    q = ingest.start_ingest(spark, f"{root}/source", changes.schema, f"{root}/state", f"{root}/checkpoint",
+    q = ingest.start_ingest(spark, source, changes.schema, f"{root}/state", f"{root}/checkpoint",
                             schemas.ITEM_KEYS, star.CHANGE_ORDER, available_now=True,
                             max_files_per_trigger=max(1, math.ceil(landed / FEED_BATCHES)))
     q.awaitTermination()
@@ -195,8 +206,8 @@ def q_csv_bronze_sales(spark, sf_dir):
     " CAST(sum(item_price) AS DOUBLE) AS price FROM f_items GROUP BY ALL"))
 def q_parquet_drift_items(spark, sf_dir):
     """Nested folders of two layouts: the older one has upper-case names, booleans as numbers and no user id."""
-    root, items = _folder(spark, "drift"), bronze(spark, sf_dir).order_items
-    fields = [f.name for f in schemas.ORDER_ITEMS.fields]
+    root, fields = _folder(spark, "drift"), [f.name for f in schemas.ORDER_ITEMS.fields]
+    items = materialize(bronze(spark, sf_dir).order_items.select(*fields), "drift-items")   # both layouts are written from it
     old = items.filter(~F.col("is_loyalty")).select(*[F.col(c).alias(c.upper()) for c in fields if c not in ("user_id", "is_loyalty")],
                                                     F.lit("0").alias("IS_LOYALTY"))
     old.write.parquet(f"{root}/2023/12/31")
@@ -323,7 +334,7 @@ LOADS = 4   # fixed value: parts of a month, written by different tasks, whose s
 def q_compacted_days(spark, sf_dir):
     """All lines of all days: the months of odd years lie in several small files, which compaction finds and rewrites."""
     path = _folder(spark, "compact")
-    load = F.when(F.year("order_date") % 2 == 1, F.pmod(F.xxhash64("order_id", "lineitem_id", "option_name"), F.lit(LOADS)))
+    load = F.when(F.year("order_date") % 2 == 1, F.pmod(F.xxhash64("order_id"), F.lit(LOADS)))   # an order's rows lie together
     part = sinks.partition_column("order_date", GRAIN)
     with sinks._setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
         (sales(spark, sf_dir).withColumn(part, F.trunc("order_date", GRAIN)).withColumn("_load", load)

@@ -95,7 +95,7 @@ def q_order_counts_from_days(spark, sf_dir):
 
 # --- IO7, IO10: co-located tables ------------------------------------------------------------------------------------
 
-DATABASE, BUCKET_BYTES = "tavola_layout", 256 << 20
+DATABASE, BUCKET_BYTES = "tavola_layout", 32 << 20   # a bucket is one task's work
 
 
 def write_bucketed(df: DataFrame, name: str, column: str, sort: tuple[str, ...], path: str, buckets: int | None = None,

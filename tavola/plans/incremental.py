@@ -31,16 +31,17 @@ BATCH = "tavola_batch"
 
 # --- lines ---------------------------------------------------------------------------------------------------------
 
-def next_lines(lines: DataFrame, changes: DataFrame, order: Sequence[str], version: Sequence[str]) -> DataFrame:
+def next_lines(lines: DataFrame, changes: DataFrame, order: Sequence[str], version: Sequence[str], named: bool = False) -> DataFrame:
     """The changed keys' lines after a batch, deletes as tombstones (op ``D``), from the lines before and the changes.
 
     ``version`` columns come from the latest row per key by ``order`` (nulls
     first), the others of ``lines`` from the line itself. One map-side combined
     aggregation, so a key with very many changes costs a row per task.
+    ``named``: the lines are those that the changes name (``divided``).
     """
     latest = F.max_by(F.struct(*version), F.struct(*order)).alias("_v")
     rest = [c for c in lines.columns if c not in ITEM_KEYS and c not in version]
-    both = touched(lines, changes).unionByName(changes, allowMissingColumns=True)
+    both = (lines if named else touched(lines, changes)).unionByName(changes, allowMissingColumns=True)
     merged = both.groupBy(*ITEM_KEYS).agg(latest, *[F.max(c).alias(c) for c in rest])
     return merged.select(*[F.col("_v")[c].alias(c) if c in version else F.col(c) for c in lines.columns])
 
@@ -68,6 +69,13 @@ def untouched(lines: DataFrame, changes: DataFrame) -> DataFrame:
     return lines.join(changes.select(*ITEM_KEYS).distinct(), list(ITEM_KEYS), "left_anti")
 
 
+def divided(lines: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``touched`` and ``untouched`` from one join, written once."""
+    keys = changes.select(*ITEM_KEYS).distinct().withColumn("_touched", F.lit(True))
+    both = materialize(lines.join(keys, list(ITEM_KEYS), "left").select(*lines.columns, "_touched"), "divided")
+    return both.filter("_touched").drop("_touched"), both.filter("_touched is null").drop("_touched")
+
+
 def line_sales(lines: DataFrame, options: DataFrame) -> DataFrame:
     """Sales rows of lines that are not deleted (item × option, as in Silver)."""
     alive = lines.filter(F.col("op").isNull() | (F.col("op") != DELETE))
@@ -76,8 +84,8 @@ def line_sales(lines: DataFrame, options: DataFrame) -> DataFrame:
 
 def signed_sales(before: DataFrame, after: DataFrame, options: DataFrame) -> DataFrame:
     """Old sales rows of changed lines with -1, new ones with +1."""
-    return line_sales(before, options).withColumn("sign", F.lit(-1)).unionByName(
-        line_sales(after, options).withColumn("sign", F.lit(1)))
+    lines = before.withColumn("sign", F.lit(-1)).unionByName(after.withColumn("sign", F.lit(1)), allowMissingColumns=True)
+    return line_sales(lines, options)   # the options are joined once
 
 
 # --- the view ------------------------------------------------------------------------------------------------------

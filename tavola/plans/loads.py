@@ -57,9 +57,9 @@ DRIFT_SQL = with_ctes(
 def q_drift_rescued(spark, sf_dir):
     """A newer folder has a column more, prices with more digits and quantities that are not all numbers: what the declared
     schema cannot hold is read from the rescue column."""
-    root, items = scratch_folder(spark, "drift"), bronze(spark, sf_dir).order_items
-    fields = [f.name for f in schemas.ORDER_ITEMS.fields]
-    old, new = items.filter(~F.col("is_loyalty")).select(*fields), items.filter("is_loyalty").select(*fields)
+    root, fields = scratch_folder(spark, "drift"), [f.name for f in schemas.ORDER_ITEMS.fields]
+    items = materialize(bronze(spark, sf_dir).order_items.select(*fields), "drift-items")   # both folders are written from it
+    old, new = items.filter(~F.col("is_loyalty")), items.filter("is_loyalty")
     unread = F.col("lineitem_id").cast("int") % NO_NUMBER_EVERY == 0
     new = (new.withColumn("item_price", (F.col("item_price") + F.lit("0.005").cast("decimal(4,3)")).cast("decimal(18,4)"))
            .withColumn("item_quantity", F.when(unread, F.concat(F.lit("x"), "item_quantity")).otherwise(F.col("item_quantity").cast("string")))
@@ -113,7 +113,7 @@ WITHIN = 0.02   # fixed value: how far an estimate may be off
     f" true AS unique_within FROM f_items" for c in PROFILED)))
 def q_profile_two_loads(spark, sf_dir):
     """The profile of two loads from their stored sketches; ``unique_within`` says whether it is within 2 % of exact counts."""
-    items = bronze(spark, sf_dir).order_items.select(*PROFILED)
+    items = materialize(bronze(spark, sf_dir).order_items.select(*PROFILED), "profiled")   # both loads and the exact counts read it
     root = scratch_folder(spark, "profiles")
     for load, part in (("2024/01/01", ~F.col("is_loyalty")), ("2024/01/02", F.col("is_loyalty"))):
         profile_sketches(items.filter(part)).write.parquet(f"{root}/{load}")
@@ -164,7 +164,8 @@ def q_location_trends_incremental(spark, sf_dir):
     for batch in range(VIEW_BATCHES if low is not None else 0):
         early = F.col("commit_ts") < F.lit(low + (high - low) / VIEW_BATCHES)
         part = changes.filter(early if batch == 0 else ~early)
-        after = materialize(incremental.next_lines(lines, part, star.CHANGE_ORDER, version), "after")
-        view.apply(incremental.signed_sales(incremental.touched(lines, part), after, options), batch)
-        lines = materialize(incremental.untouched(lines, part).unionByName(after), "lines")
+        before, others = incremental.divided(lines, part)
+        after = materialize(incremental.next_lines(before, part, star.CHANGE_ORDER, version, named=True), "after")
+        view.apply(incremental.signed_sales(before, after, options), batch)
+        lines = materialize(others.unionByName(after), "lines")
     return comparable(view.read(spark))

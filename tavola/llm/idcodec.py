@@ -23,9 +23,11 @@ import zlib
 import numpy as np
 
 MAGIC = b"TVIDS1"
-BLOCK, LANES = 2048, 4096
+BLOCK, LANES = 2048, 8192
 PRIOR_BITS, GROUP_BITS, MIX_BITS = 18, 8, 14
-TABLE_BITS, CONFIDENCE, GROUPS = 12, 7, 1 << GROUP_BITS
+TABLE_BITS, CONFIDENCE = 12, 7
+FREQ_BITS = PRIOR_BITS + 1   # a frequency may be all of 2 ** PRIOR_BITS
+BUCKET_BITS = 6   # targets of the decoder's search share their first guess in buckets of this size
 NONE = 0xFFFF
 RATE, COUNT_STEP = 5, 24
 TOP, LOW_LIMIT = np.uint64(1 << 63), np.uint64(1 << 31)
@@ -51,7 +53,9 @@ class Prior:
         size = int(self.present.max()) + 1 if len(ids) else 1
         self.group_of, self.inside, self.of = (np.zeros(size, np.int64) for _ in range(3))
         self.group_of[ids], self.inside[ids], self.of[ids] = group, start - self.base[group], f
-        self.at = np.repeat(ids, f)
+        self.at = np.repeat(ids, f).astype(np.uint16)
+        # Group, place in it and frequency of an id in one number.
+        self.packed = (self.group_of << 2 * FREQ_BITS | self.inside << FREQ_BITS | self.of).astype(U)
 
     @classmethod
     def counted(cls, ids):
@@ -68,98 +72,123 @@ class Prior:
 
 
 class Lanes:
-    """The adaptive models of many blocks, one lane each."""
+    """The adaptive models of many blocks, one lane each, for at most ``length`` ids."""
 
-    def __init__(self, n: int, prior: Prior):
-        self.prior, self.n = prior, n
+    def __init__(self, n: int, prior: Prior, length: int, guess: bool = False):
+        self.prior = prior
         self.two = np.full(n << TABLE_BITS, NONE << 8, np.uint32)
         self.one = np.full(n << TABLE_BITS, NONE << 8, np.uint32)
-        # A state is the two confidences and whether both orders name the same id.
+        # A state is the two confidences and whether both orders name the same id; it holds the chances (16 bits) that
+        # order 2 and, if it fails, order 1 names the right one.
         states = 2 * (CONFIDENCE + 1) ** 2
         state = np.arange(states)
-        self.hit_two = np.tile(np.where(state >> 4, 1 << 15, 400).astype(np.int32), n)
-        self.hit_one = np.tile(np.where(state >> 1 & CONFIDENCE, 1 << 15, 400).astype(np.int32), n)
+        chance = np.where(state >> 4, 1 << 15, 400) << 16 | np.where(state >> 1 & CONFIDENCE, 1 << 15, 400)
+        self.hits = np.tile(chance.astype(np.uint32), n)
         self.states = np.arange(n) * states
         self.table = np.arange(n) << TABLE_BITS
+        # Counts of groups, brought up to date from the groups seen when the frequencies are made anew.
         self.counts = np.tile((prior.mass >> 6) + 1, (n, 1)).astype(np.float64)
-        self.count_rows = np.arange(n) * prior.groups
-        # Cumulative group frequencies; a row ends in numbers above any target, for the decoder's search.
-        self.cum = np.full((n, GROUPS + 1), 2 << MIX_BITS, np.int32)
-        self.group_rows = np.arange(n) * (GROUPS + 1)
-        self.h1 = self.h2 = np.zeros(n, np.int64)
+        self.seen, self.counted, self.step = np.zeros((length, n), np.uint8), 0, 0
+        self.spans = np.empty((n, prior.groups), np.uint32)   # start and size of every group's frequencies in one number
+        buckets = (1 << MIX_BITS - BUCKET_BITS) + 1
+        self.guesses = np.empty((n, buckets), np.uint8) if guess else None
+        self.span_rows, self.guess_rows = np.arange(n) * prior.groups, np.arange(n) * buckets
+        self.h1 = self.h2 = np.zeros(n, np.uint16)   # their lower bits are all that is used
         self.rebuild()
 
     def rebuild(self):
-        """Cumulative group frequencies, scaled to 2 ** MIX_BITS, each at least 1."""
+        """Cumulative group frequencies, scaled to 2 ** MIX_BITS, each at least 1; for the decoder's search also the group
+        that every bucket's first target lies in."""
         g = self.prior.groups
-        cum = np.cumsum(self.counts, axis=1)
-        scale = ((1 << MIX_BITS) - g) / cum[:, -1:]
-        self.cum[:, 0] = 0
-        self.cum[:, 1:g + 1] = np.floor(cum * scale).astype(np.int32) + np.arange(1, g + 1, dtype=np.int32)
-        self.cum[:, g] = 1 << MIX_BITS
-        self.flat, self.flat_counts = self.cum.reshape(-1), self.counts.reshape(-1)
+        for k in range(0, len(self.counts), 256):   # few lanes at once stay in the cache
+            counts = self.counts[k:k + 256]
+            n = len(counts)
+            if self.counted < self.step:
+                seen = np.arange(n) * g + self.seen[self.counted:self.step, k:k + n]
+                counts += COUNT_STEP * np.bincount(seen.ravel(), minlength=n * g).reshape(n, g)
+            cum = np.cumsum(counts, axis=1)
+            cum *= ((1 << MIX_BITS) - g) / cum[:, -1:]
+            end = cum.astype(np.int32) + np.arange(1, g + 1, dtype=np.int32)
+            end[:, -1] = 1 << MIX_BITS
+            start = np.zeros_like(end)
+            start[:, 1:] = end[:, :-1]
+            self.spans[k:k + n] = start << 15 | end - start
+            if self.guesses is not None:
+                buckets = self.guesses.shape[1]
+                first = -(-start[:, 1:] >> BUCKET_BITS) + np.arange(n)[:, None] * buckets   # where a group begins to count
+                passed = np.bincount(first.ravel(), minlength=n * buckets).reshape(n, buckets)
+                np.cumsum(passed, axis=1, out=self.guesses[k:k + n], dtype=np.uint8)
+        self.counted = self.step
+        self.flat = self.spans.reshape(-1)
+        self.flat_guesses = self.guesses.reshape(-1) if self.guesses is not None else None
 
     def predict(self):
         """Shares of the mixture that the candidates of order 2 and 1 get."""
-        mask = (1 << TABLE_BITS) - 1
-        self.i1 = self.table + (self.h1 >> 3 & mask)
+        mask = np.uint16((1 << TABLE_BITS) - 1)
+        self.i1 = self.table + (self.h1 >> np.uint16(3) & mask)
         self.i2 = self.table + ((self.h1 ^ self.h2) & mask)
         self.e2, self.e1 = self.two[self.i2], self.one[self.i1]
         self.s2, self.s1 = self.e2 >> 8, self.e1 >> 8
         self.c2, self.c1 = self.e2 & 255, self.e1 & 255
         self.state = self.states + ((self.c2 << 4) + (self.c1 << 1) + (self.s1 == self.s2))
-        self.p2, self.p1 = self.hit_two[self.state], self.hit_one[self.state]
+        chances = self.hits[self.state]
+        self.p2, self.p1 = (chances >> 16).view(np.int32), (chances & 0xFFFF).view(np.int32)
         f2 = self.p2 >> 2 | 1
         return f2, np.maximum(((1 << MIX_BITS) - f2) * (self.p1 >> 2) >> MIX_BITS, 1)
 
-    def update(self, x, x32, group, is2, is1, same1, step: int):
-        """Learn the id that came: it is order 2's candidate, else order 1's, or neither (same1: order 1 named it too)."""
-        self.hit_two[self.state] = self.p2 + (is2 * np.int32(65535) - self.p2 >> RATE)
-        self.hit_one[self.state] = np.where(is2, self.p1, self.p1 + (is1 * np.int32(65535) - self.p1 >> RATE))
+    def update(self, x32, group, is2, same1):
+        """Learn the id that came: it is order 2's candidate, else order 1's, or neither (same1: order 1 named it)."""
+        p2 = self.p2 + (is2 * np.int32(65535) - self.p2 >> RATE)
+        p1 = self.p1 + (same1 * np.int32(65535) - self.p1 >> RATE)
+        p1 = np.where(is2, self.p1, p1)
+        self.hits[self.state] = p2.view(np.uint32) << 16 | p1.view(np.uint32)
         fresh = (x32 << 8) | 1
-        self.two[self.i2] = np.where(is2, self.e2 + (self.c2 < CONFIDENCE), np.where(self.c2 > 0, self.e2 - 1, fresh))
-        self.one[self.i1] = np.where(same1, self.e1 + (self.c1 < CONFIDENCE), np.where(self.c1 > 0, self.e1 - 1, fresh))
-        self.flat_counts[self.count_rows + group] += COUNT_STEP
-        self.h2, self.h1 = self.h1 * 5 + 7, x * 40503 + 12345
-        if step in (64, 128, 256) or step % 512 == 0:
+        self.two[self.i2] = np.where(is2 | (self.c2 > 0), self.e2 + CHANGE[is2.view(np.uint8) << 3 | self.c2], fresh)
+        self.one[self.i1] = np.where(same1 | (self.c1 > 0), self.e1 + CHANGE[same1.view(np.uint8) << 3 | self.c1], fresh)
+        self.seen[self.step, :len(group)] = group
+        self.step += 1
+        self.h2, self.h1 = self.h1 * np.uint16(5) + np.uint16(7), x32.astype(np.uint16) * np.uint16(40503) + np.uint16(12345)
+        if self.step in (64, 128, 256) or self.step % 512 == 0:
             self.rebuild()
 
     def drop(self, keep: int):
         """Lanes from ``keep`` on have ended."""
-        for name in ("states", "table", "count_rows", "group_rows", "h1", "h2", "counts", "cum"):
+        for name in ("states", "table", "span_rows", "guess_rows", "h1", "h2", "counts"):
             setattr(self, name, getattr(self, name)[:keep])
-        self.flat, self.flat_counts = self.cum.reshape(-1), self.counts.reshape(-1)
+
+
+# Change of a candidate's confidence by whether it came true (times 8) and the confidence.
+CHANGE = np.array([0] + [-1] * CONFIDENCE + [1] * CONFIDENCE + [0]).astype(np.uint32)
 
 
 def encode_blocks(blocks: list, prior: Prior) -> list[bytes]:
     """Code blocks (arrays of ids, longest first) side by side."""
     n = len(blocks)
     sizes = np.array([len(b) for b in blocks])
-    ids = np.zeros((int(sizes.max()), n), np.int64)
+    ids = np.zeros((int(sizes.max()), n), np.uint16)
     for k, b in enumerate(blocks):
         ids[:len(b), k] = b
-    out = np.zeros((n, int(sizes.max()) * 2 + 8), np.uint32)
     low, wide, pos = np.zeros(n, U), np.full(n, TOP), np.zeros(n, np.int64)
-    lanes = Lanes(n, prior)
-    total = 1 << MIX_BITS
+    lanes = Lanes(n, prior, int(sizes.max()))
+    total, low_bits = 1 << MIX_BITS, U((1 << FREQ_BITS) - 1)
     shift = U(MIX_BITS)
+    mass = prior.mass.astype(U)
+    wrote: list = []     # (lanes, words)
+    carries: list = []   # (lanes, how many words a lane had written: 1 is to be added to the last of them)
 
     def add(low, more):
         new = low + more
-        over = np.flatnonzero(new < low)
-        if len(over):
-            at = pos[over] - 1
-            while len(over):   # carry into the words already written
-                out[over, at] += np.uint32(1)
-                again = out[over, at] == 0
-                over, at = over[again], at[again] - 1
+        over = new < low
+        if over.any():
+            over = np.flatnonzero(over)
+            carries.append((over, pos[over]))
         return new
 
     def renormalise(low, wide):
         m = np.flatnonzero(wide < LOW_LIMIT)
         if len(m):
             part = low[m]
-            out[m, pos[m]] = (part >> W).astype(np.uint32)
+            wrote.append((m.astype(np.uint16), (part >> W).astype(np.uint32)))
             pos[m] += 1
             low[m] = part << W
             wide[m] <<= W
@@ -170,53 +199,70 @@ def encode_blocks(blocks: list, prior: Prior) -> list[bytes]:
             live = int(np.searchsorted(-sizes, -step, side="left"))   # lanes longer than step
             lanes.drop(live)
         x = ids[step, :live]
-        f2, f1 = lanes.predict()
         x32 = x.astype(np.uint32)
+        f2, f1 = lanes.predict()
         is2, same1 = lanes.s2 == x32, lanes.s1 == x32
-        is1 = same1 & ~is2
-        escape = ~(is2 | is1)
-        start = np.where(is2, 0, np.where(is1, f2, f2 + f1))
-        size = np.where(is2, f2, np.where(is1, f1, total - f2 - f1))
+        hit = np.flatnonzero(is2 | same1)
+        by2 = is2[hit]
+        start = f2 + f1
+        size = total - start
+        start[hit] = np.where(by2, 0, f2[hit])
+        size[hit] = np.where(by2, f2[hit], f1[hit])
         lo, w = low[:live], wide[:live]
         r = w >> shift
         more = r * start.astype(U)
         w = r * size.astype(U)
-        group = prior.group_of[x]
-        at = lanes.group_rows + group
-        start = lanes.flat[at] * escape
-        size = np.where(escape, lanes.flat[at + 1] - start, total)
+        known = prior.packed[x]
+        group = (known >> U(2 * FREQ_BITS)).view(np.int64)
+        span = lanes.flat[lanes.span_rows + group]
+        start, size = span >> 15, span & 0x7FFF
+        start[hit], size[hit] = 0, total
         r = w >> shift
-        lo = add(lo, more + r * start.astype(U))
-        w = r * size.astype(U)
+        lo = add(lo, more + r * start)
+        w = r * size
         renormalise(lo, w)
-        r = np.where(escape, w // prior.mass[group].astype(U), w)
-        lo = add(lo, r * (prior.inside[x] * escape).astype(U))
-        w = r * np.where(escape, prior.of[x], 1).astype(U)
+        parts, inside, of = mass[group], known >> U(FREQ_BITS) & low_bits, known & low_bits
+        parts[hit], inside[hit], of[hit] = 1, 0, 1
+        r = w // parts
+        lo = add(lo, r * inside)
+        w = r * of
         renormalise(lo, w)
         low[:live], wide[:live] = lo, w
-        lanes.update(x, x32, group, is2, is1, same1, step + 1)
+        lanes.update(x32, group, is2, same1)
     for _ in range(2):
-        out[np.arange(n), pos] = (low >> W).astype(np.uint32)
-        pos += 1
+        wrote.append((np.arange(n, dtype=np.uint16), (low >> W).astype(np.uint32)))
         low <<= W
-    return [out[k, :pos[k]].astype("<u4").tobytes() for k in range(n)]
+    # The words in order of their lanes, each lane's in the order they were written, then the carries.
+    order = np.argsort(np.concatenate([m for m, _ in wrote]), kind="stable")
+    words = np.concatenate([part for _, part in wrote])[order].astype(U)
+    ends = np.cumsum(pos + 2)
+    begin = ends - pos - 2
+    at = np.concatenate([np.empty(0, np.int64), *(begin[over] + count - 1 for over, count in carries)])
+    np.add.at(words, at, U(1))
+    over = np.unique(at)
+    while len(over := over[words[over] >> W > 0]):
+        words[over] &= U(0xFFFFFFFF)
+        over = over - 1
+        words[over] += U(1)
+    data = words.astype("<u4")
+    return [data[x:y].tobytes() for x, y in zip(begin.tolist(), ends.tolist())]
 
 
 def decode_blocks(coded: list[bytes], sizes, prior: Prior) -> list:
     """The ids of blocks coded side by side (longest first)."""
     n, sizes = len(coded), np.asarray(sizes)
     length = max(map(len, coded)) // 4 + 2
-    words = np.zeros((n, length), U)
+    words = np.zeros((n, length), np.uint32)
     for k, c in enumerate(coded):
         words[k, :len(c) // 4] = np.frombuffer(c, "<u4")
     flat_words, word_rows = words.ravel(), np.arange(n) * length
-    code = words[:, 0] << W | words[:, 1]
+    code = words[:, 0].astype(U) << W | words[:, 1]
     wide, pos = np.full(n, TOP), np.full(n, 2)
-    lanes = Lanes(n, prior)
-    out = np.zeros((int(sizes.max()), n), np.int64)
-    total, shift = 1 << MIX_BITS, U(MIX_BITS)
+    lanes = Lanes(n, prior, int(sizes.max()), guess=True)
+    out = np.zeros((int(sizes.max()), n), np.uint16)
+    total, shift, low_bits = 1 << MIX_BITS, U(MIX_BITS), U((1 << FREQ_BITS) - 1)
     last = U(total - 1)
-    halves = [1 << k for k in reversed(range(GROUP_BITS))]
+    mass = prior.mass.astype(U)
 
     def renormalise(code, wide):
         m = np.flatnonzero(wide < LOW_LIMIT)
@@ -234,37 +280,47 @@ def decode_blocks(coded: list[bytes], sizes, prior: Prior) -> list:
         f2, f1 = lanes.predict()
         c, w = code[:live], wide[:live]
         r = w >> shift
-        v = np.minimum(c // r, last).astype(np.int64)
-        is2 = v < f2
-        is1 = ~is2 & (v < f2 + f1)
-        escape = ~(is2 | is1)
-        start = np.where(is2, 0, np.where(is1, f2, f2 + f1))
-        size = np.where(is2, f2, np.where(is1, f1, total - f2 - f1))
-        c = c - r * start.astype(U)
-        w = r * size.astype(U)
-        r = w >> shift
         v = np.minimum(c // r, last).astype(np.int32)
-        lo = lanes.group_rows
-        for half in halves:   # the last group whose start is at most v
-            lo = lo + half * (lanes.flat[lo + half] <= v)
-        start = lanes.flat[lo] * escape
-        size = np.where(escape, lanes.flat[lo + 1] - start, total)
+        start = f2 + f1
+        size = total - start
+        hit = np.flatnonzero(v < start)
+        by2 = v[hit] < f2[hit]
+        start[hit] = np.where(by2, 0, f2[hit])
+        size[hit] = np.where(by2, f2[hit], f1[hit])
         c = c - r * start.astype(U)
         w = r * size.astype(U)
+        r = w >> shift
+        v = np.minimum(c // r, last).astype(np.uint32)
+        # The last group whose start is at most v.
+        at = lanes.span_rows + lanes.flat_guesses[lanes.guess_rows + (v >> BUCKET_BITS)]
+        span = lanes.flat[at]
+        more = np.flatnonzero((span >> 15) + (span & 0x7FFF) <= v)
+        while len(more):
+            at[more] += 1
+            span[more] = next_span = lanes.flat[at[more]]
+            more = more[(next_span >> 15) + (next_span & 0x7FFF) <= v[more]]
+        start, size = span >> 15, span & 0x7FFF
+        start[hit], size[hit] = 0, total
+        c = c - r * start
+        w = r * size
         renormalise(c, w)
-        group = lo - lanes.group_rows
-        r = np.where(escape, w // prior.mass[group].astype(U), w)
-        v = np.minimum(c // r, (prior.mass[group] - 1).astype(U)).astype(np.int64)
-        found = prior.at[np.minimum(prior.base[group] + v, len(prior.at) - 1)]
-        x = np.where(is2, lanes.s2, np.where(is1, lanes.s1, found)).astype(np.int64)
-        c = c - r * (prior.inside[x] * escape).astype(U)
-        w = r * np.where(escape, prior.of[x], 1).astype(U)
+        group = at - lanes.span_rows
+        parts = mass[group]
+        parts[hit] = 1
+        r = w // parts
+        v = np.minimum(c // r, parts - U(1)).view(np.int64)
+        x32 = prior.at[np.minimum(prior.base[group] + v, len(prior.at) - 1)].astype(np.uint32)
+        x32[hit] = np.where(by2, lanes.s2[hit], lanes.s1[hit])
+        known = prior.packed[x32]
+        inside, of = known >> U(FREQ_BITS) & low_bits, known & low_bits
+        inside[hit], of[hit] = 0, 1
+        c = c - r * inside
+        w = r * of
         renormalise(c, w)
         code[:live], wide[:live] = c, w
-        out[step, :live] = x
-        x32 = x.astype(np.uint32)
-        lanes.update(x, x32, prior.group_of[x], is2, is1, lanes.s1 == x32, step + 1)
-    return [out[:sizes[k], k] for k in range(n)]
+        out[step, :live] = x32
+        lanes.update(x32, known >> U(2 * FREQ_BITS), lanes.s2 == x32, lanes.s1 == x32)
+    return [out[:sizes[k], k].astype(np.uint32) for k in range(n)]
 
 
 def _section(data: bytes) -> bytes:
@@ -273,16 +329,17 @@ def _section(data: bytes) -> bytes:
 
 def encode_file(names: list, documents: list) -> bytes:
     """A file of documents (name: int or None; ids: arrays of numbers under 65,535)."""
-    ids = np.concatenate([np.empty(0, np.int64), *(d.astype(np.int64) for d in documents)])
+    ids = np.concatenate(documents) if documents else np.empty(0, np.int64)
     if len(ids) and (ids.min() < 0 or ids.max() >= NONE):
         raise ValueError("ids must be from 0 to 65,534")
+    ids = ids.astype(np.uint16)
     prior = Prior.counted(ids)
     blocks = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)]
     coded = [c for i in range(0, len(blocks), LANES) for c in encode_blocks(blocks[i:i + LANES], prior)]
     known = np.array([n is not None for n in names], bool)
     values = np.array([n if n is not None else 0 for n in names], "<i8")
     sizes = np.array([len(d) for d in documents], "<i8")
-    directory = np.array([(len(c), zlib.crc32(b.astype("<u4").tobytes())) for c, b in zip(coded, blocks)], "<u4")
+    directory = np.array([(len(c), zlib.crc32(b.astype("<u4"))) for c, b in zip(coded, blocks)], "<u4")
     head = b"".join(_section(zlib.compress(part, 6)) for part in (
         known.tobytes(), values.tobytes(), sizes.tobytes(), prior.present.astype("<u4").tobytes(), prior.freq.astype("<u4").tobytes(),
         directory.tobytes()))
@@ -313,7 +370,7 @@ def decode_file(data: bytes) -> tuple[list, list]:
     starts = ends - directory[:, 0]
     coded = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
     lengths = np.minimum(BLOCK, total - BLOCK * np.arange(len(coded)))
-    ids = [np.empty(0, np.int64)]
+    ids = [np.empty(0, np.uint32)]
     for i in range(0, len(coded), LANES):
         try:
             with np.errstate(divide="ignore"):
@@ -321,7 +378,7 @@ def decode_file(data: bytes) -> tuple[list, list]:
         except IndexError as e:
             raise ValueError("damaged block") from e
         for k, block in enumerate(blocks, i):
-            if zlib.crc32(block.astype("<u4").tobytes()) != directory[k, 1]:
+            if zlib.crc32(block.astype("<u4")) != directory[k, 1]:
                 raise ValueError(f"block {k} does not match its checksum")
             ids.append(block)
     names = [int(v) if ok else None for ok, v in zip(known.tolist(), values.tolist())]

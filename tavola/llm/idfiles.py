@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import open_file, scratch, table, write_file
 
-RANGE_BYTES, FILE_IDS = 32 << 20, 6_000_000   # text for each range; ids after which a file is closed
+RANGE_BYTES, FILE_IDS = 32 << 20, 14_000_000   # text for each range; ids after which a file is closed
 KEY_CHARS = 64   # characters of the text in the key that rows are dealt by
 
 
@@ -89,11 +89,11 @@ def read_documents(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                 for i in range(0, len(names), 20_000):
                     part = documents[i:i + 20_000]
                     n = np.array([len(d) for d in part], np.int64)
-                    crc = [zlib.crc32(d.astype("<u4").tobytes()) for d in part]
+                    crc = [zlib.crc32(d.astype("<u4")) for d in part]
                     cols = [pa.array(names[i:i + 20_000], pa.int64()), pa.array(start + np.cumsum(n) - n), pa.array(n),
                             pa.array(crc, pa.int64())]
                     if with_ids:
-                        cols.append(pa.array(part, pa.list_(pa.int64())))
+                        cols.append(pa.array([d.astype(np.int64) for d in part], pa.list_(pa.int64())))
                     start += int(n.sum())
                     yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids)
 

@@ -5,9 +5,14 @@ once by the library, and the pieces' ids are put together in order:
 
 * byte-level vocabularies: before a space and around a line feed that stand
   between non-spaces (the pre-tokenizer always starts a new piece there);
-* word vocabularies that lower-case and drop white space: at white space;
+* word vocabularies that lower-case and drop white space: at white space and,
+  in words without an apostrophe, wherever the pre-tokenizer starts a new word
+  (between letters, numbers and other characters; every number is one word);
 * both: between a letter and a single full stop or comma before white space.
 
+Texts for word vocabularies are cut together, as one array of Latin-1 bytes, and
+Arrow finds their different pieces, so that Python only sees those.
+
 Texts for which a cut might not be exact (two white-space characters in a row,
 control characters that only Python counts as space, letters outside Latin-1
 where case matters, marks of special tokens) are encoded whole by the library.
@@ -20,6 +25,8 @@ import re
 from collections.abc import Sequence
 
 MAX_PIECES = 800_000
+WORD_BYTES = 8 << 20   # text cut at a time for word vocabularies
+SPACE, LETTER, NUMBER, OTHER = range(4)   # kinds of characters
 NO_SPACE = "\x1f"   # marks a piece without a space before it
 STOP = re.compile(r"[.,](?<=[a-zA-Z][.,])(?=\s|$)")
 ODD_SPACE = re.compile(r"[^\S \n]")   # white space besides space and line feed; control characters 28 to 31 count too
@@ -36,6 +43,15 @@ def encoder(path: str, plain_specials: bool = False) -> "Encoder":
     return _encoders[key]
 
 
+def kinds():
+    """The kind of each Latin-1 character to a word vocabulary's pre-tokenizer."""
+    import unicodedata
+
+    import numpy as np
+    kind = {"L": LETTER, "N": NUMBER}
+    return np.array([SPACE if chr(c).isspace() else kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(256)], np.uint8)
+
+
 class Pieces(dict):
     """Numbers of pieces; an unknown piece gets the next number and is listed as new."""
 
@@ -69,6 +85,7 @@ class Encoder:
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         # How the vocabulary writes each Latin-1 character.
         self.written = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
+        self.kinds = kinds()
         self._reset()
 
     def _whole(self, text: str):
@@ -82,8 +99,8 @@ class Encoder:
         self.flat = np.empty(0, np.uint32)
 
     def _learn(self) -> None:
-        """Encode the new pieces. One of Latin-1 letters alone is one word to the model; the others go through the whole
-        tokenizer, joined by the separator."""
+        """Encode the new pieces. One of Latin-1 letters alone is one word to the model, as are a word vocabulary's pieces
+        without an apostrophe; the others go through the whole tokenizer, joined by the separator."""
         import numpy as np
         new, self.index.new = self.index.new, []
         found: list = [None] * len(new)
@@ -91,8 +108,8 @@ class Encoder:
         tokenize, space = self.model.tokenize, "" if self.words else self.written[32]
         for k, piece in enumerate(new):
             bare = piece[1:] if piece[:1] == NO_SPACE else piece
-            if bare.isalpha() and (bare.isascii() or max(bare) <= "\xff"):
-                word = bare if bare.isascii() else bare.translate(self.written)
+            if (self.words and "'" not in piece) or (bare.isalpha() and (bare.isascii() or max(bare) <= "\xff")):
+                word = bare if bare.isascii() and bare.isalpha() else bare.translate(self.written)
                 found[k] = [t.id for t in tokenize(word if bare is not piece else space + word)]
             else:
                 others.append(k)
@@ -141,32 +158,68 @@ class Encoder:
         return not ODD_SPACE.search(text) if plain is None else len(plain.translate(None, ODD_LATIN)) == len(plain)
 
     def _pieces(self, text: str) -> list[str]:
-        if self.words:
-            return STOP.sub(r" \g<0>", text.lower()).split()
         pieces = STOP.sub(f" {NO_SPACE}\\g<0>", text).replace("\n", f" {NO_SPACE}\n {NO_SPACE}").split(" ")
         pieces[0] = NO_SPACE + pieces[0]
         return pieces
 
+    def _numbers(self, pieces: Sequence):
+        """The numbers of pieces, the new ones learned."""
+        import numpy as np
+        if len(self.index) > MAX_PIECES:
+            self._reset()
+        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        if self.index.new:
+            self._learn()
+        return at
+
+    def _cut(self, texts: list[str]) -> tuple:
+        """The pieces of safe texts for a word vocabulary: (numbers, how many of the pieces lie before each text's end)."""
+        import numpy as np
+        import pyarrow as pa
+        chars = np.frombuffer(" ".join(texts).lower().encode("latin-1") + b" ", np.uint8)
+        kind = self.kinds[chars]
+        inside = kind != SPACE
+        before = np.append(np.uint8(SPACE), kind[:-1])
+        first = inside & (before == SPACE)
+        cut = inside & ~first & ((kind != before) | (kind == NUMBER))
+        marks = np.flatnonzero(chars == ord("'"))
+        if len(marks):   # words with an apostrophe are cut at a full stop or comma alone
+            words, at = np.flatnonzero(first), np.flatnonzero(cut)
+            held = np.zeros(len(words), bool)
+            held[np.searchsorted(words, marks, "right") - 1] = True
+            at = at[held[np.searchsorted(words, at, "right") - 1]]
+            stop = ((chars[at] == ord(".")) | (chars[at] == ord(","))) & (before[at] == LETTER) & (kind[at + 1] == SPACE)
+            cut[at[~stop]] = False
+        starts = np.flatnonzero(first | cut)
+        data = chars[inside]
+        offsets = np.append(np.cumsum(inside)[starts] - 1, len(data))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        pieces = pieces.dictionary_encode()
+        _, ends, written = pieces.dictionary.buffers()
+        ends = np.frombuffer(ends, np.int64)[:len(pieces.dictionary) + 1].tolist() if len(starts) else [0]
+        written = written.to_pybytes().decode("latin-1") if len(starts) else ""
+        different = [written[x:y] for x, y in zip(ends, ends[1:])]
+        return self._numbers(different)[pieces.indices.to_numpy()], np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+
     def encode(self, texts: Sequence[str | None]) -> tuple:
         """(ids of all texts, offsets): text k has ``ids[offsets[k]:offsets[k + 1]]``. Null is empty."""
         import numpy as np
         ids, sizes = [np.empty(0, np.uint32)], np.zeros(len(texts), np.int64)
-        group: list[tuple[int, list[str]]] = []
-        held = 0
+        group: list[tuple] = []   # (number of the text, its pieces or, for a word vocabulary, itself)
+        held, limit = 0, WORD_BYTES if self.words else MAX_PIECES // 4
 
         def flush():
             nonlocal held
             if group:
-                everything = [p for _, ps in group for p in ps]
-                if len(self.index) > MAX_PIECES:
-                    self._reset()
-                at = np.fromiter(map(self.index.__getitem__, everything), np.int64, len(everything))
-                if self.index.new:
-                    self._learn()
+                if self.words:
+                    at, of = self._cut([t for _, t in group])
+                    of = np.append(0, of)
+                else:
+                    at = self._numbers([p for _, ps in group for p in ps])
+                    of = np.append(0, np.cumsum([len(ps) for _, ps in group]))
                 size = self.start[at + 1] - self.start[at]
                 end = np.cumsum(size)
                 ids.append(self.flat[np.repeat(self.start[at] - (end - size), size) + np.arange(end[-1] if len(end) else 0)])
-                of = np.append(0, np.cumsum([len(ps) for _, ps in group]))
                 total = np.append(0, end)
                 sizes[[k for k, _ in group]] = total[of[1:]] - total[of[:-1]]
                 group.clear()
@@ -181,9 +234,9 @@ class Encoder:
                 ids.append(whole)
                 sizes[k] = len(whole)
                 continue
-            group.append((k, self._pieces(text)))
+            group.append((k, text if self.words else self._pieces(text)))
             held += len(group[-1][1])
-            if held > MAX_PIECES // 4:
+            if held > limit:
                 flush()
         flush()
         return np.concatenate(ids), np.append(0, np.cumsum(sizes))

@@ -10,3 +10,31 @@ def test_contexts_of_a_block_fit_the_tables():
     data = idcodec.encode_file([1], [ids])
     assert (idcodec.decode_file(data)[1][0] == ids).all()
     assert len(data) / len(ids) < 0.72   # 0.803 with 1,024 slots, 0.662 with 4,096
+
+
+def test_frequencies_lag_behind_no_step_and_targets_find_their_group():
+    """Groups seen are counted at every rebuild; the decoder's guess is never past the group that holds a target."""
+    rng = np.random.default_rng(12)
+    prior = idcodec.Prior.counted(rng.zipf(1.2, 30000) % 4000)
+    lanes = idcodec.Lanes(300, prior, 64, guess=True)
+    groups = rng.integers(0, prior.groups, (64, 300))
+    for step in range(64):
+        lanes.predict()
+        ids = np.full(300, step, np.uint32)
+        lanes.update(ids, groups[step], lanes.s2 == ids, lanes.s1 == ids)
+    want = np.tile((prior.mass >> 6) + 1, (300, 1)).astype(float)
+    for row in groups:
+        want[np.arange(300), row] += idcodec.COUNT_STEP
+    assert (lanes.counts == want).all()
+    starts = lanes.spans >> 15
+    assert ((lanes.spans & 0x7FFF).sum(1) == 1 << idcodec.MIX_BITS).all()
+    targets = np.arange(lanes.guesses.shape[1] - 1) << idcodec.BUCKET_BITS
+    for k in (0, 7, 299):
+        assert (lanes.guesses[k, :-1] == np.searchsorted(starts[k], targets, "right") - 1).all()
+
+
+def test_carries_reach_the_words_written():
+    """Many lanes of rare ids and long blocks: carries go through words written long before."""
+    rng = np.random.default_rng(13)
+    ids = rng.integers(0, 60000, 200 * idcodec.BLOCK)
+    assert (idcodec.decode_file(idcodec.encode_file([1], [ids]))[1][0] == ids).all()

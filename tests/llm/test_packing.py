@@ -121,3 +121,14 @@ def test_sequences_hold_the_ids(spark):
     tok = Tokenizer.from_file(BYTE)
     total = sorted(i for r in packing.sequences(packed).collect() for i in r.ids)
     assert total == sorted(i for t in ("one two three", "four", "") for i in [*tok.encode(t).ids, 0])
+
+
+def test_word_vocabulary_learns_each_word_once():
+    """Pieces are cut where the pre-tokenizer cuts, so a word is learned once whatever stands around it."""
+    enc = tokens.Encoder(WORD)
+    texts = ["Größe größe, größe,$$$ größe!! (größe) größe7 größe77.", "it's it's. größe² x.y z.", "".join(map(chr, range(256)))] * 2
+    ids, at = enc.encode(texts)
+    for k, t in enumerate(texts):
+        assert ids[at[k]:at[k + 1]].tolist() == enc.tok.encode(t, add_special_tokens=False).ids
+    assert [p for p in enc.index if "größe" in p] == ["größe"]
+    assert {"it's", ".", ",$$$", "7", "²"} <= set(enc.index)

@@ -23,7 +23,7 @@ import zlib
 import numpy as np
 
 MAGIC = b"TVIDS1"
-BLOCK, LANES = 2048, 8192
+BLOCK, LANES = 2048, 3072   # a lane takes about 42 kB
 PRIOR_BITS, GROUP_BITS, MIX_BITS = 18, 8, 14
 TABLE_BITS, CONFIDENCE = 12, 7
 FREQ_BITS = PRIOR_BITS + 1   # a frequency may be all of 2 ** PRIOR_BITS
@@ -127,11 +127,11 @@ class Lanes:
         mask = np.uint16((1 << TABLE_BITS) - 1)
         self.i1 = self.table + (self.h1 >> np.uint16(3) & mask)
         self.i2 = self.table + ((self.h1 ^ self.h2) & mask)
-        self.e2, self.e1 = self.two[self.i2], self.one[self.i1]
+        self.e2, self.e1 = self.two.take(self.i2, mode="clip"), self.one.take(self.i1, mode="clip")
         self.s2, self.s1 = self.e2 >> 8, self.e1 >> 8
         self.c2, self.c1 = self.e2 & 255, self.e1 & 255
         self.state = self.states + ((self.c2 << 4) + (self.c1 << 1) + (self.s1 == self.s2))
-        chances = self.hits[self.state]
+        chances = self.hits.take(self.state)
         self.p2, self.p1 = (chances >> 16).view(np.int32), (chances & 0xFFFF).view(np.int32)
         f2 = self.p2 >> 2 | 1
         return f2, np.maximum(((1 << MIX_BITS) - f2) * (self.p1 >> 2) >> MIX_BITS, 1)
@@ -143,8 +143,9 @@ class Lanes:
         p1 = np.where(is2, self.p1, p1)
         self.hits[self.state] = p2.view(np.uint32) << 16 | p1.view(np.uint32)
         fresh = (x32 << 8) | 1
-        self.two[self.i2] = np.where(is2 | (self.c2 > 0), self.e2 + CHANGE[is2.view(np.uint8) << 3 | self.c2], fresh)
-        self.one[self.i1] = np.where(same1 | (self.c1 > 0), self.e1 + CHANGE[same1.view(np.uint8) << 3 | self.c1], fresh)
+        some2, some1 = self.c2 > 0, self.c1 > 0
+        self.two[self.i2] = np.where(is2 | some2, self.e2 + (is2 & (self.c2 < CONFIDENCE)) - (some2 & ~is2), fresh)
+        self.one[self.i1] = np.where(same1 | some1, self.e1 + (same1 & (self.c1 < CONFIDENCE)) - (some1 & ~same1), fresh)
         self.seen[self.step, :len(group)] = group
         self.step += 1
         self.h2, self.h1 = self.h1 * np.uint16(5) + np.uint16(7), x32.astype(np.uint16) * np.uint16(40503) + np.uint16(12345)
@@ -157,17 +158,14 @@ class Lanes:
             setattr(self, name, getattr(self, name)[:keep])
 
 
-# Change of a candidate's confidence by whether it came true (times 8) and the confidence.
-CHANGE = np.array([0] + [-1] * CONFIDENCE + [1] * CONFIDENCE + [0]).astype(np.uint32)
-
-
 def encode_blocks(blocks: list, prior: Prior) -> list[bytes]:
     """Code blocks (arrays of ids, longest first) side by side."""
     n = len(blocks)
     sizes = np.array([len(b) for b in blocks])
-    ids = np.zeros((int(sizes.max()), n), np.uint16)
+    ids = np.zeros((n, int(sizes.max())), np.uint16)
     for k, b in enumerate(blocks):
-        ids[:len(b), k] = b
+        ids[k, :len(b)] = b
+    ids = np.ascontiguousarray(ids.T)
     low, wide, pos = np.zeros(n, U), np.full(n, TOP), np.zeros(n, np.int64)
     lanes = Lanes(n, prior, int(sizes.max()))
     total, low_bits = 1 << MIX_BITS, U((1 << FREQ_BITS) - 1)
@@ -212,16 +210,16 @@ def encode_blocks(blocks: list, prior: Prior) -> list[bytes]:
         r = w >> shift
         more = r * start.astype(U)
         w = r * size.astype(U)
-        known = prior.packed[x]
+        known = prior.packed.take(x)
         group = (known >> U(2 * FREQ_BITS)).view(np.int64)
-        span = lanes.flat[lanes.span_rows + group]
+        span = lanes.flat.take(lanes.span_rows + group)
         start, size = span >> 15, span & 0x7FFF
         start[hit], size[hit] = 0, total
         r = w >> shift
         lo = add(lo, more + r * start)
         w = r * size
         renormalise(lo, w)
-        parts, inside, of = mass[group], known >> U(FREQ_BITS) & low_bits, known & low_bits
+        parts, inside, of = mass.take(group), known >> U(FREQ_BITS) & low_bits, known & low_bits
         parts[hit], inside[hit], of[hit] = 1, 0, 1
         r = w // parts
         lo = add(lo, r * inside)
@@ -292,12 +290,12 @@ def decode_blocks(coded: list[bytes], sizes, prior: Prior) -> list:
         r = w >> shift
         v = np.minimum(c // r, last).astype(np.uint32)
         # The last group whose start is at most v.
-        at = lanes.span_rows + lanes.flat_guesses[lanes.guess_rows + (v >> BUCKET_BITS)]
-        span = lanes.flat[at]
+        at = lanes.span_rows + lanes.flat_guesses.take(lanes.guess_rows + (v >> BUCKET_BITS))
+        span = lanes.flat.take(at)
         more = np.flatnonzero((span >> 15) + (span & 0x7FFF) <= v)
         while len(more):
             at[more] += 1
-            span[more] = next_span = lanes.flat[at[more]]
+            span[more] = next_span = lanes.flat.take(at[more])
             more = more[(next_span >> 15) + (next_span & 0x7FFF) <= v[more]]
         start, size = span >> 15, span & 0x7FFF
         start[hit], size[hit] = 0, total
@@ -305,13 +303,13 @@ def decode_blocks(coded: list[bytes], sizes, prior: Prior) -> list:
         w = r * size
         renormalise(c, w)
         group = at - lanes.span_rows
-        parts = mass[group]
+        parts = mass.take(group)
         parts[hit] = 1
         r = w // parts
         v = np.minimum(c // r, parts - U(1)).view(np.int64)
-        x32 = prior.at[np.minimum(prior.base[group] + v, len(prior.at) - 1)].astype(np.uint32)
+        x32 = prior.at.take(prior.base.take(group) + v, mode="clip").astype(np.uint32)
         x32[hit] = np.where(by2, lanes.s2[hit], lanes.s1[hit])
-        known = prior.packed[x32]
+        known = prior.packed.take(x32)
         inside, of = known >> U(FREQ_BITS) & low_bits, known & low_bits
         inside[hit], of[hit] = 0, 1
         c = c - r * inside
@@ -320,22 +318,33 @@ def decode_blocks(coded: list[bytes], sizes, prior: Prior) -> list:
         code[:live], wide[:live] = c, w
         out[step, :live] = x32
         lanes.update(x32, known >> U(2 * FREQ_BITS), lanes.s2 == x32, lanes.s1 == x32)
-    return [out[:sizes[k], k].astype(np.uint32) for k in range(n)]
+    out = np.ascontiguousarray(out.T)
+    return [out[k, :sizes[k]] for k in range(n)]
 
 
 def _section(data: bytes) -> bytes:
     return struct.pack("<I", len(data)) + data
 
 
-def encode_file(names: list, documents: list) -> bytes:
-    """A file of documents (name: int or None; ids: arrays of numbers under 65,535)."""
-    ids = np.concatenate(documents) if documents else np.empty(0, np.int64)
+def side_by_side(n: int) -> list[slice]:
+    """The groups that ``n`` blocks are coded in, of at most LANES and about one size."""
+    groups = -(-n // LANES)
+    return [slice(k * n // groups, (k + 1) * n // groups) for k in range(groups)]
+
+
+def narrow(ids):
+    """Ids as files hold them, two bytes each."""
     if len(ids) and (ids.min() < 0 or ids.max() >= NONE):
         raise ValueError("ids must be from 0 to 65,534")
-    ids = ids.astype(np.uint16)
+    return ids.astype(np.uint16, copy=False)
+
+
+def encode_file(names: list, documents: list) -> bytes:
+    """A file of documents (name: int or None; ids: arrays of numbers under 65,535)."""
+    ids = narrow(np.concatenate(documents)) if documents else np.empty(0, np.uint16)
     prior = Prior.counted(ids)
     blocks = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)]
-    coded = [c for i in range(0, len(blocks), LANES) for c in encode_blocks(blocks[i:i + LANES], prior)]
+    coded = [c for part in side_by_side(len(blocks)) for c in encode_blocks(blocks[part], prior)]
     known = np.array([n is not None for n in names], bool)
     values = np.array([n if n is not None else 0 for n in names], "<i8")
     sizes = np.array([len(d) for d in documents], "<i8")
@@ -347,7 +356,7 @@ def encode_file(names: list, documents: list) -> bytes:
 
 
 def decode_file(data: bytes) -> tuple[list, list]:
-    """(names, documents) of a file; every checksum is verified."""
+    """(names, documents) of a file, ids of two bytes; every checksum is verified."""
     if data[:len(MAGIC)] != MAGIC:
         raise ValueError("not a file of ids")
     n, crc = struct.unpack_from("<II", data, len(MAGIC))
@@ -368,18 +377,18 @@ def decode_file(data: bytes) -> tuple[list, list]:
     if len(directory) != -(-total // BLOCK) or (len(ends) and ends[-1] != len(data)):
         raise ValueError("file cut short")
     starts = ends - directory[:, 0]
-    coded = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-    lengths = np.minimum(BLOCK, total - BLOCK * np.arange(len(coded)))
-    ids = [np.empty(0, np.uint32)]
-    for i in range(0, len(coded), LANES):
+    places = list(zip(starts.tolist(), ends.tolist()))
+    lengths = np.minimum(BLOCK, total - BLOCK * np.arange(len(places)))
+    ids = np.empty(total, np.uint16)
+    for part in side_by_side(len(places)):
         try:
             with np.errstate(divide="ignore"):
-                blocks = decode_blocks(coded[i:i + LANES], lengths[i:i + LANES], prior)
+                blocks = decode_blocks([data[a:b] for a, b in places[part]], lengths[part], prior)
         except IndexError as e:
             raise ValueError("damaged block") from e
-        for k, block in enumerate(blocks, i):
+        for k, block in enumerate(blocks, part.start):
             if zlib.crc32(block.astype("<u4")) != directory[k, 1]:
                 raise ValueError(f"block {k} does not match its checksum")
-            ids.append(block)
+            ids[k * BLOCK:k * BLOCK + len(block)] = block
     names = [int(v) if ok else None for ok, v in zip(known.tolist(), values.tolist())]
-    return names, np.split(np.concatenate(ids), np.cumsum(sizes)[:-1]) if len(sizes) else []
+    return names, np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else []

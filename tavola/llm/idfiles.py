@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import open_file, scratch, table, write_file
 
-RANGE_BYTES, FILE_IDS = 32 << 20, 14_000_000   # text for each range; ids after which a file is closed
+RANGE_BYTES, FILE_IDS = 16 << 20, 14_000_000   # text for each range; ids after which a file is closed
 KEY_CHARS = 64   # characters of the text in the key that rows are dealt by
 
 
@@ -26,7 +26,7 @@ def write_documents(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col:
     by their text (null first). Null text is the end id alone. An empty table
     writes no file.
     """
-    from .idcodec import encode_file
+    from .idcodec import encode_file, narrow
     from .tokens import encoder
     spark = docs.sparkSession
     uri = uri or scratch(spark, "id-files")
@@ -58,10 +58,11 @@ def write_documents(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col:
 
         for b in batches:
             ids, at = enc.encode(b.column("_t").to_pylist())
+            ids, at = narrow(np.insert(ids, at[1:], end_id)), (at + np.arange(len(at))).tolist()
             for name, x, y in zip(b.column("_id").to_pylist(), at, at[1:]):
                 names.append(name)
-                documents.append(np.append(ids[x:y], np.uint32(end_id)))
-                held += int(y - x) + 1
+                documents.append(ids[x:y])
+                held += y - x
                 if held >= FILE_IDS:
                     yield closed()
         if names:

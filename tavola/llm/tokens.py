@@ -23,9 +23,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import chain
 
 MAX_PIECES = 800_000
-WORD_BYTES = 8 << 20   # text cut at a time for word vocabularies
+WORD_BYTES = 2 << 20   # text cut at a time for word vocabularies
 SPACE, LETTER, NUMBER, OTHER = range(4)   # kinds of characters
 NO_SPACE = "\x1f"   # marks a piece without a space before it
 STOP = re.compile(r"[.,](?<=[a-zA-Z][.,])(?=\s|$)")
@@ -107,6 +108,9 @@ class Encoder:
         others = []
         tokenize, space = self.model.tokenize, "" if self.words else self.written[32]
         for k, piece in enumerate(new):
+            if self.words and piece.isascii() and piece.isalpha():
+                found[k] = [t.id for t in tokenize(piece)]
+                continue
             bare = piece[1:] if piece[:1] == NO_SPACE else piece
             if (self.words and "'" not in piece) or (bare.isalpha() and (bare.isascii() or max(bare) <= "\xff")):
                 word = bare if bare.isascii() and bare.isalpha() else bare.translate(self.written)
@@ -116,7 +120,7 @@ class Encoder:
         for i in range(0, len(others), 10_000):
             self._learn_joined(new, others[i:i + 10_000], found)
         size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
         self.flat = np.concatenate([self.flat, flat])
 
@@ -190,9 +194,12 @@ class Encoder:
             at = at[held[np.searchsorted(words, at, "right") - 1]]
             stop = ((chars[at] == ord(".")) | (chars[at] == ord(","))) & (before[at] == LETTER) & (kind[at + 1] == SPACE)
             cut[at[~stop]] = False
-        starts = np.flatnonzero(first | cut)
+        begins = first | cut
+        starts = np.flatnonzero(begins)
+        last = inside.copy()   # a piece's last character: white space or another piece follows (the text ends in white space)
+        last[:-1] &= begins[1:] | ~inside[1:]
         data = chars[inside]
-        offsets = np.append(np.cumsum(inside)[starts] - 1, len(data))
+        offsets = np.append(0, np.cumsum(np.flatnonzero(last) - starts + 1))
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
         pieces = pieces.dictionary_encode()
         _, ends, written = pieces.dictionary.buffers()

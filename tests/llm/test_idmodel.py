@@ -1,6 +1,10 @@
+import tracemalloc
+
 import numpy as np
+import public_tokenizers
 
 from tavola.llm import idcodec
+from tavola.llm.tokens import Encoder
 
 
 def test_contexts_of_a_block_fit_the_tables():
@@ -38,3 +42,32 @@ def test_carries_reach_the_words_written():
     rng = np.random.default_rng(13)
     ids = rng.integers(0, 60000, 200 * idcodec.BLOCK)
     assert (idcodec.decode_file(idcodec.encode_file([1], [ids]))[1][0] == ids).all()
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        result = work()
+        return result, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_file_with_many_blocks(monkeypatch):
+    """The tables of one group of lanes are held at a time, and ids take two bytes."""
+    monkeypatch.setattr(idcodec, "BLOCK", 8)
+    ids = np.arange(8 * 8192) % 5000
+    data, wrote = peak_mb(lambda: idcodec.encode_file([1], [ids]))
+    (_, (got,)), read = peak_mb(lambda: idcodec.decode_file(data))
+    assert (got == ids).all()
+    assert got.itemsize == 2
+    assert wrote < 200 and read < 200   # MB; with 8,192 lanes at once 308
+
+
+def test_memory_of_cutting_texts():
+    """8 MB of texts are cut in pieces of WORD_BYTES."""
+    enc = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["one word, two words; 12 of them. " * 32 for _ in range(8000)]
+    (ids, at), peak = peak_mb(lambda: enc.encode(texts))
+    assert (ids[:at[1]] == enc.encode(texts[:1])[0]).all() and len(ids) == 8000 * at[1]
+    assert peak < 100   # MB
